@@ -1,11 +1,16 @@
-"""Row numbers in a group, without a task that holds the group.
-
-``row_number() over (partition by window ...)`` puts a whole window in one task. Here a
-window is cut into ordered slices, the slices are counted (a partial aggregation), the
-counts are added up to a starting number per slice, and only the rows of one slice are
-numbered together. Where a slice still has too many rows, as when a third of all
-messages share one timestamp, the rows are laid out by range instead, which splits
-between any two rows.
+"""Row numbers in a group, without a task that holds an unbounded group.
+
+``row_number() over (partition by window ...)`` puts a whole window in one task. The windows
+are counted first, from the arrival times alone and with a partial aggregation, and the counts
+pick the plan:
+
+* ``groups``: no window is too large; the plain window function, one shuffle.
+* ``slices``: each window is cut into ordered slices of time. The counts add up to a starting
+  number per slice, and only the rows of one slice are numbered together.
+* ``range``: a slice still has too many rows, as when a third of all messages share one
+  timestamp. The rows are laid out by range, which splits between any two rows.
+
+All three give the same numbers.
 """
 
 from __future__ import annotations
@@ -21,6 +26,8 @@ from ..session import written
 #: Rows one task may sort and number together.
 SLICE_ROWS = 2_000_000
 
+METHODS = ("auto", "groups", "slices", "range")
+
 _SLICE = "_slice"
 _POSITION = "_position"
 _PART = "_part"
@@ -28,30 +35,42 @@ _PART = "_part"
 _PART_SHIFT = 33
 
 
-def _before(count: str, groups: Sequence[str], order: str) -> Column:
-    earlier = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(count).over(earlier), F.lit(0))
+def _offsets(counts: DataFrame, groups: Sequence[str], part: str, size: bool) -> DataFrame:
+    """Rows before each part of a group and, if asked for, in the group as a whole."""
+    earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    if size:
+        offsets = offsets.withColumn("group_rows", F.sum("_n").over(Window.partitionBy(*groups)))
+    return offsets.drop("_n")
 
 
-def _offsets(counts: DataFrame, groups: Sequence[str], order: str) -> DataFrame:
-    """Rows before each part of a group, and in the group as a whole."""
-    whole = Window.partitionBy(*groups)
-    return counts.withColumn("_before", _before("_n", groups, order)).withColumn(
-        "group_rows", F.sum("_n").over(whole)
+def _by_group(
+    rows: DataFrame, groups: Sequence[str], order: Sequence[str], counts: DataFrame, size: bool
+) -> DataFrame:
+    numbered = rows.withColumn(
+        "rn", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("long")
     )
+    if not size:
+        return numbered
+    sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("group_rows"))
+    return numbered.join(sizes, list(groups))
 
 
-def _by_slice(rows: DataFrame, groups: Sequence[str], order: Sequence[str], counts: DataFrame) -> DataFrame:
-    offsets = _offsets(counts, groups, _SLICE).drop("_n")
+def _by_slice(
+    rows: DataFrame, groups: Sequence[str], order: Sequence[str], counts: DataFrame, size: bool
+) -> DataFrame:
+    offsets = _offsets(counts, groups, _SLICE, size)
     in_slice = Window.partitionBy(*groups, _SLICE).orderBy(*order)
     return (
         rows.join(offsets, [*groups, _SLICE])
         .withColumn("rn", F.col("_before") + F.row_number().over(in_slice))
-        .drop(_SLICE, "_before")
+        .drop("_before")
     )
 
 
-def _by_range(rows: DataFrame, groups: Sequence[str], order: Sequence[str], parts: int) -> DataFrame:
+def _by_range(
+    rows: DataFrame, groups: Sequence[str], order: Sequence[str], parts: int, size: bool
+) -> DataFrame:
     # The layout depends on sampling, so it is written before it is counted: every
     # later stage, and every retry, sees the same positions.
     laid_out = written(
@@ -64,7 +83,7 @@ def _by_range(rows: DataFrame, groups: Sequence[str], order: Sequence[str], part
     spans = laid_out.groupBy(*groups, _PART).agg(
         F.count(F.lit(1)).alias("_n"), F.min(_POSITION).alias("_first")
     )
-    offsets = _offsets(spans, groups, _PART).drop("_n")
+    offsets = _offsets(spans, groups, _PART, size)
     return (
         laid_out.join(offsets, [*groups, _PART])
         .withColumn("rn", F.col("_before") + F.col(_POSITION) - F.col("_first") + 1)
@@ -72,36 +91,51 @@ def _by_range(rows: DataFrame, groups: Sequence[str], order: Sequence[str], part
     )
 
 
+def _shuffle_partitions(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def number_rows(
     rows: DataFrame,
     groups: Sequence[str],
     order: Sequence[str],
-    slice_width: str,
+    slice_start: Column,
     *,
+    size: bool = False,
     method: str = "auto",
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Add ``rn`` (1, 2, ... per group in ``order``) and ``group_rows`` (its size).
+    """Add ``rn`` (1, 2, ... per group in ``order``) and, with ``size``, ``group_rows``.
 
-    ``order`` starts with the arrival time, which must not be null, and must be unique
-    in a group. ``slice_width`` is a duration that divides the group's window. ``method`` is
-    ``slices``, ``range``, or ``auto``: slices, unless one has over ``slice_rows`` rows.
+    ``order`` is unique in a group and ``slice_start`` does not decrease along it. The join
+    with the offsets is left to the planner, which broadcasts them when they are small.
     """
-    if method not in ("auto", "slices", "range"):
+    if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
     if method == "range":
-        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return _by_range(rows, groups, order, parts)
+        return _by_range(rows, groups, order, _shuffle_partitions(rows), size)
 
-    sliced = rows.withColumn(_SLICE, F.window(order[0], slice_width)["start"])
+    sliced = rows.withColumn(_SLICE, slice_start)
     counts = sliced.groupBy(*groups, _SLICE).agg(F.count(F.lit(1)).alias("_n"))
+    parts = 0
+    if method == "auto":
+        # A row per slice, counted once for the choice and for the offsets.
+        counts = written(counts, "slice-counts")
+        found = (
+            counts.groupBy(*groups)
+            .agg(F.sum("_n").alias("group"), F.max("_n").alias("slice"))
+            .agg(F.max("group"), F.max("slice"), F.sum("group"))
+            .first()
+        )
+        largest_group, largest_slice, total = (n or 0 for n in found)
+        if largest_group <= slice_rows:
+            method = "groups"
+        elif largest_slice <= slice_rows:
+            method = "slices"
+        else:
+            parts = max(_shuffle_partitions(rows), ceil(total / slice_rows))
+    if method == "groups":
+        return _by_group(sliced.drop(_SLICE), groups, order, counts, size)
     if method == "slices":
-        return _by_slice(sliced, groups, order, counts)
-
-    # One row per slice: small next to the rows, and counted once for both uses.
-    counts = written(counts, "slice-counts")
-    size = counts.agg(F.max("_n").alias("largest"), F.sum("_n").alias("total")).first()
-    if (size["largest"] or 0) <= slice_rows:
-        return _by_slice(sliced, groups, order, counts)
-    shuffle_parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _by_range(rows, groups, order, max(shuffle_parts, ceil(size["total"] / slice_rows)))
+        return _by_slice(sliced, groups, order, counts, size).drop(_SLICE)
+    return _by_range(sliced.drop(_SLICE), groups, order, parts, size)

@@ -28,7 +28,7 @@ one block, as nearly all do, skips steps 1 and 2.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -59,7 +59,7 @@ def panes_by_count(
 ) -> DataFrame:
     """Panes of the trigger when the interval never comes first (I at least the window):
     one per ``limit`` rows, and one at the end for a rest."""
-    numbered = numbered_in_window(rows, size, order, "auto", slice_rows)
+    numbered = numbered_in_window(rows, size, order, with_size=True, slice_rows=slice_rows)
     full = F.col("rn") % limit == 0
     return numbered.filter(full | (F.col("rn") == F.col("group_rows"))).select(
         "window_start",
@@ -230,39 +230,64 @@ def _entry_states(passing: DataFrame, highest: int, limit: int, interval: int) -
 def _replayed(
     blocks: DataFrame, order: Sequence[str], limit: int, interval: int, width: int, block_rows: int
 ) -> DataFrame:
-    """The panes of all blocks; ``blocks`` has the entry state where it is not the start."""
-    row_id = order[-1]
+    """The panes of all blocks; ``blocks`` has the entry state where it is not the start.
 
-    def replay(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        window_us, block = key
-        rows = rows.sort_values(["at_us", *order[1:]])
-        head = rows.iloc[0]
-        c, d, before = 0, UNSET, 0
-        if pd.notna(head["entry_c"]):
-            c, d, before = int(head["entry_c"]), int(head["entry_d"]), int(head["entry_fired"])
-        fired, c, d = replay_block(rows["at_us"].to_numpy(), c, d, limit, interval)
-        if head["is_last"]:
-            fired += [(*pane, len(rows)) for pane in end_pane(c, d, window_us + width)]
-        ids = rows[row_id].to_numpy()
-        found = [
-            (
-                window_us,
-                before + place,
-                at,
-                reason,
-                block * block_rows + upto,
-                ids[upto - 1] if upto else head["entry_id"],
-            )
-            for place, (at, reason, upto) in enumerate(fired, start=1)
-        ]
-        names = ["window_us", "pane_no", "fired_us", "reason", "n_rows", "last_id"]
-        return pd.DataFrame(found, columns=names)
+    The blocks of a partition run through one task in order, an Arrow batch at a time with
+    the open pane carried along, so neither many small windows nor a large one cost more
+    than their rows.
+    """
+    row_id = order[-1]
+    names = ["window_us", "pane_no", "fired_us", "reason", "n_rows", "last_id"]
+
+    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[tuple] = []
+        key: tuple[int, int] | None = None
+        c, d, pane_no, n_rows, last_id, is_last = 0, UNSET, 0, 0, None, False
+
+        def note(fired: list[tuple], ids: Sequence) -> None:
+            nonlocal pane_no
+            for at, reason, upto in fired:
+                pane_no += 1
+                row = ids[upto - 1] if upto else last_id
+                found.append((key[0], pane_no, at, reason, n_rows + upto, row))
+
+        def close_block() -> None:
+            if key is not None and is_last:
+                note([(*pane, 0) for pane in end_pane(c, d, key[0] + width)], ())
+
+        for batch in batches:
+            windows, numbers = batch["window_us"].to_numpy(), batch["block"].to_numpy()
+            at, ids = batch["at_us"].to_numpy(), batch[row_id].to_numpy()
+            turns = np.flatnonzero((np.diff(windows) != 0) | (np.diff(numbers) != 0)) + 1
+            edges = [0, *turns.tolist(), len(batch)]
+            for begin, end in zip(edges, edges[1:]):
+                here = (int(windows[begin]), int(numbers[begin]))
+                if here != key:
+                    close_block()
+                    key, first = here, batch.iloc[begin]
+                    c, d, pane_no, last_id = 0, UNSET, 0, first["entry_id"]
+                    if pd.notna(first["entry_c"]):
+                        c, d, pane_no = (int(first[n]) for n in ("entry_c", "entry_d", "entry_fired"))
+                    n_rows, is_last = key[1] * block_rows, bool(first["is_last"])
+                fired, c, d = replay_block(at[begin:end], c, d, limit, interval)
+                note(fired, ids[begin:end])
+                n_rows, last_id = n_rows + end - begin, ids[end - 1]
+            if found:
+                yield pd.DataFrame(found, columns=names)
+                found.clear()
+        close_block()
+        if found:
+            yield pd.DataFrame(found, columns=names)
 
     id_type = blocks.schema[row_id].dataType.simpleString()
-    return blocks.groupBy("window_us", "block").applyInPandas(
-        replay,
-        "window_us long, pane_no long, fired_us long, reason string, "
-        f"n_rows long, last_id {id_type}",
+    return (
+        blocks.repartition("window_us", "block")
+        .sortWithinPartitions("window_us", "block", "at_us", *order[1:])
+        .mapInPandas(
+            replay,
+            "window_us long, pane_no long, fired_us long, reason string, "
+            f"n_rows long, last_id {id_type}",
+        )
     )
 
 
@@ -300,7 +325,7 @@ def panes(
     else:
         block = F.expr(f"(rn - 1) div {block_rows}")
         numbered = written(
-            numbered_in_window(rows, size, order, "auto", slice_rows).select(
+            numbered_in_window(rows, size, order, with_size=True, slice_rows=slice_rows).select(
                 window_us.alias("window_us"),
                 block.alias("block"),
                 at_us.alias("at_us"),

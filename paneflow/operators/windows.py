@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ARRIVAL, DEFAULT_BATCH_ROWS
@@ -54,13 +54,22 @@ def tumbling_counts(rows: DataFrame, size: str, ts: str = "ts") -> DataFrame:
 
 
 def numbered_in_window(
-    rows: DataFrame, size: str, order: Sequence[str], method: str, slice_rows: int
+    rows: DataFrame,
+    size: str,
+    order: Sequence[str] = ARRIVAL,
+    *,
+    with_size: bool = False,
+    method: str = "auto",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
+    """``window_start`` and ``rn``, a row's place in its window; with ``with_size`` also
+    ``group_rows``, the window's rows."""
     return number_rows(
         with_window(rows, size, order[0]),
         ["window_start"],
         order,
-        slice_of(size),
+        F.window(order[0], slice_of(size))["start"],
+        size=with_size,
         method=method,
         slice_rows=slice_rows,
     )
@@ -80,8 +89,8 @@ def count_batches(
     In each window every ``threshold`` rows make a batch, in arrival order, and the
     rest make the last one when the window ends.
     """
-    numbered = numbered_in_window(rows, size, order, method, slice_rows)
-    return numbered.withColumn("batch_no", F.expr(f"(rn - 1) div {int(threshold)}")).drop("group_rows")
+    numbered = numbered_in_window(rows, size, order, method=method, slice_rows=slice_rows)
+    return numbered.withColumn("batch_no", F.expr(f"(rn - 1) div {int(threshold)}"))
 
 
 def batch_summary(members: DataFrame, row_id: str = ARRIVAL[-1]) -> DataFrame:
@@ -116,7 +125,7 @@ def window_lists(
     A list has up to ``list_rows`` records: a window with more gives several, numbered
     by ``list_no``, so that no single array holds a window of any size.
     """
-    numbered = numbered_in_window(rows, size, order, "auto", slice_rows)
+    numbered = numbered_in_window(rows, size, order, slice_rows=slice_rows)
     list_no = F.expr(f"(rn - 1) div {int(list_rows)}").alias("list_no")
     item = F.struct("rn", F.struct(*fields).alias("record"))
     return (
@@ -139,18 +148,20 @@ def running_count(
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """The counter's value after each row of a window (a running sum of ones)."""
-    numbered = numbered_in_window(rows, size, order, "auto", slice_rows)
-    return numbered.withColumnRenamed("rn", "c").drop("group_rows")
+    return numbered_in_window(rows, size, order, slice_rows=slice_rows).withColumnRenamed("rn", "c")
+
 
+def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ARRIVAL) -> DataFrame:
+    """The last row, in arrival order, of each combination of ``keys``.
 
-def latest(columns: Sequence[str], order: Sequence[str] = ARRIVAL) -> list[Column]:
-    """Aggregates that keep the values of the last row in arrival order."""
-    arrival = F.struct(*order)
-    return [F.max_by(F.col(c), arrival).alias(c) for c in columns]
+    Each task passes on one row per key, so a key that holds a large part of the rows does
+    not load the task where it meets.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct(*order)).alias("last")
+    return rows.groupBy(*keys).agg(last).select(*keys, "last.*")
 
 
-def keep_latest(
-    rows: DataFrame, size: str, columns: Sequence[str], order: Sequence[str] = ARRIVAL
-) -> DataFrame:
-    """The last row's columns per window; each task passes on one row per window."""
-    return with_window(rows, size, order[0]).groupBy("window_start").agg(*latest(columns, order))
+def keep_latest(rows: DataFrame, size: str, order: Sequence[str] = ARRIVAL) -> DataFrame:
+    """The last row of each window."""
+    return latest(with_window(rows, size, order[0]), ["window_start"], order)

@@ -199,8 +199,9 @@ def counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def last_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = keep_latest(events(spark, sf_dir), WINDOW, ["event_id", "event_type"])
-    return kept.withColumnRenamed("event_id", "last_id")
+    rows = events(spark, sf_dir).select("ts", "event_id", "event_type")
+    kept = keep_latest(rows, WINDOW)
+    return kept.select("window_start", F.col("event_id").alias("last_id"), "event_type")
 
 
 # --- sinks and jobs ------------------------------------------------------------------

@@ -49,10 +49,8 @@ def keyed_verdict() -> Column:
 
 
 def latest_puts(puts: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
-    """The last put of each key. Tasks pass on one put per key, so a key that holds many
-    of the puts does not load the task it meets in."""
-    values = [c for c in puts.columns if c not in ("rowkey", BATCH_ID, *order)]
-    return puts.groupBy("rowkey").agg(*latest(values, order))
+    """The last put of each key."""
+    return latest(puts.drop(BATCH_ID), ["rowkey"], order)
 
 
 def append_batch(puts: DataFrame, batch_id: int, folder: str) -> None:
@@ -70,14 +68,7 @@ def read_puts(spark: SparkSession, folder: str, schema: T.StructType) -> DataFra
 def compact(spark: SparkSession, folder: str, schema: T.StructType, target: str,
             order: Sequence[str] = ARRIVAL) -> None:
     """Write the log's winning puts, arrival included, as a new log with one batch."""
-    puts = read_puts(spark, folder, schema)
-    values = [F.col(f.name) for f in schema.fields if f.name != "rowkey"]
-    winners = (
-        puts.groupBy("rowkey")
-        .agg(F.max_by(F.struct(*values), F.struct(*order)).alias("put"))
-        .select("rowkey", "put.*")
-    )
-    append_batch(winners, 0, target)
+    append_batch(latest_puts(read_puts(spark, folder, schema), order), 0, target)
 
 
 def put_cells(puts: DataFrame, keep: Sequence[str] = ("rowkey",)) -> DataFrame:
