@@ -28,8 +28,9 @@ LENIENT = {
     "allowUnquotedControlChars": "true",
 }
 
-#: A number that parsing would write differently: a fraction, an exponent, a minus zero.
-REWRITTEN_NUMBER = r"[0-9](\.[0-9]|[eE][+0-9-])|-0"
+#: What parsing makes of a number literal it may have written differently: of a fraction or
+#: an exponent, of one too large for a double, of a minus zero.
+REWRITTEN_NUMBER = r"\A(-?[0-9]+\.[0-9]+(E-?[0-9]+)?|\"?-?Infinity\"?|0)\z"
 #: From the end of the last match: any text and whole strings, then a number literal.
 #: Possessive throughout, so long texts neither backtrack nor recurse.
 NUMBER_LITERAL = (
@@ -65,26 +66,22 @@ def _fields_of(schema: T.StructType, kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, kind) for n in schema.fieldNames()])
 
 
-def classify(messages: DataFrame, schema: T.StructType = USER, value: str = "value") -> DataFrame:
-    """Add ``verdict`` and ``record`` (a struct of ``schema``, null unless ``ok``).
+def _starts_with(text: Column, *characters: str) -> Column:
+    return F.coalesce(_any([F.startswith(text, F.lit(c)) for c in characters]), F.lit(False))
 
-    ``from_json`` alone accepts text after the value. So the message is put in an array
-    with a closing element that carries a hash of the message: only if the whole text
-    is one value does the array have exactly two elements, the second being that seal,
-    and no message can contain the seal of itself.
-    """
+
+def _judged(messages: DataFrame, schema: T.StructType, value: str) -> DataFrame:
+    """Add ``_parsed`` (the sealed array) and ``verdict``."""
     text = F.col(value)
     names = schema.fieldNames()
     seal = F.xxhash64(text).cast("string")
     sealed_object = F.concat(F.lit("["), text, F.lit(f',{{"{_SEAL}":"'), seal, F.lit('"}]'))
     object_array = T.ArrayType(_text_fields(schema, _SEAL))
-    starts_object = text.rlike(OBJECT_START)
+    is_object = _starts_with(text, "{") | F.coalesce(text.rlike(OBJECT_START), F.lit(False))
 
     parsed = messages.withColumn(
-        "_parsed",
-        F.when(starts_object, F.from_json(sealed_object, object_array, LENIENT)),
+        "_parsed", F.when(is_object, F.from_json(sealed_object, object_array, LENIENT))
     )
-
     first = F.get("_parsed", F.lit(0))
     # What follows the message in the array is the seal and nothing else.
     one_object = F.coalesce(F.slice("_parsed", 2, 2)[_SEAL] == F.array(seal), F.lit(False))
@@ -96,7 +93,7 @@ def classify(messages: DataFrame, schema: T.StructType = USER, value: str = "val
 
     # A field's text that begins with a bracket is a nested value or a string that
     # looks like one; typed parses, which are null for anything else, tell them apart.
-    bracketed = _any([F.coalesce(first[n].rlike(r"\A[\{\[]"), F.lit(False)) for n in names])
+    bracketed = _any([_starts_with(first[n], "{", "[") for n in names])
     as_maps = F.from_json(
         text, _fields_of(schema, T.MapType(T.StringType(), T.StringType())), LENIENT
     )
@@ -108,34 +105,59 @@ def classify(messages: DataFrame, schema: T.StructType = USER, value: str = "val
         for f in schema.fields
         if not isinstance(f.dataType, T.StringType)
     ]
-
+    of_object = F.when(~one_object, BAD_JSON).when(bracketed & nested, BAD_FIELD)
+    if misfits:
+        of_object = of_object.when(_any(misfits), BAD_FIELD)
     verdict = (
-        F.when(is_blank(text), BLANK)
-        .when(~starts_object, F.when(one_value, NOT_OBJECT).otherwise(BAD_JSON))
-        .when(~one_object, BAD_JSON)
-        .when(bracketed & nested, BAD_FIELD)
+        F.when(is_object, of_object.otherwise(OK))
+        .when(is_blank(text), BLANK)
+        .when(one_value, NOT_OBJECT)
+        .otherwise(BAD_JSON)
     )
-    if misfits:
-        verdict = verdict.when(_any(misfits), BAD_FIELD)
-    judged = parsed.withColumn("verdict", verdict.otherwise(OK))
-
-    # Number literals keep their text: where parsing would rewrite one, the numbers are
-    # quoted and the (already accepted) message is parsed again.
-    quoted = F.regexp_replace(text, NUMBER_LITERAL, '$1"$2"')
-    exact = F.when(
-        (F.col("verdict") == OK) & text.rlike(REWRITTEN_NUMBER),
-        F.from_json(quoted, _text_fields(schema), LENIENT),
+    return parsed.withColumn("verdict", verdict)
+
+
+def _record(schema: T.StructType, value: str) -> Column:
+    """The record of a judged message, number literals as they were written.
+
+    Where parsing may have rewritten a number, the message's numbers are quoted and the
+    (already accepted) message is parsed again.
+    """
+    first = F.get("_parsed", F.lit(0))
+    quoted = F.regexp_replace(F.col(value), NUMBER_LITERAL, '$1"$2"')
+    rewritten = _any(
+        [F.coalesce(first[n].rlike(REWRITTEN_NUMBER), F.lit(False)) for n in schema.fieldNames()]
     )
-    judged = judged.withColumn("_exact", exact)
-    fields = [
-        F.when(F.col("_exact").isNotNull(), F.col("_exact")[f.name])
-        .otherwise(first[f.name])
-        .try_cast(f.dataType)
-        .alias(f.name)
-        for f in schema.fields
-    ]
-    record = F.when(F.col("verdict") == OK, F.struct(*fields))
-    return judged.withColumn("record", record).drop("_parsed", "_exact")
+    as_text = F.when(rewritten, F.from_json(quoted, _text_fields(schema), LENIENT)).otherwise(
+        F.struct(*[first[n].alias(n) for n in schema.fieldNames()])
+    )
+    return F.when(F.col("verdict") == OK, as_text)
+
+
+def classify(messages: DataFrame, schema: T.StructType = USER, value: str = "value") -> DataFrame:
+    """Add ``verdict`` and ``record`` (a struct of ``schema``, null unless ``ok``).
+
+    ``from_json`` alone accepts text after the value. So the message is put in an array
+    with a closing element that carries a hash of the message: only if the whole text
+    is one value does the array have exactly two elements, the second being that seal,
+    and no message can contain the seal of itself.
+    """
+    judged = _judged(messages, schema, value).withColumn("_text", _record(schema, value))
+    fields = [F.col("_text")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    result = F.struct(
+        F.col("verdict"), F.when(F.col("_text").isNotNull(), F.struct(*fields)).alias("record")
+    )
+    return _sealed_off(judged, messages.columns, result)
+
+
+def _sealed_off(rows: DataFrame, columns: list[str], result: Column) -> DataFrame:
+    """The columns and the fields of ``result``, computed once.
+
+    A filter on a plain column would be pushed below it with the whole parse copied into
+    the filter, once per mention. A generator's output is not: filters on the message's own
+    columns still go down to the scan, those on the result stay above.
+    """
+    return rows.select(*columns, F.inline(F.array(result)))
 
 
 def good_rows(classified: DataFrame, value: str = "value") -> DataFrame:
@@ -151,7 +173,8 @@ def dead_letters(classified: DataFrame) -> DataFrame:
 
 def json_gate(messages: DataFrame, schema: T.StructType = USER, value: str = "value") -> DataFrame:
     """Every message with its verdict."""
-    return classify(messages, schema, value).drop("record")
+    judged = _judged(messages, schema, value)
+    return _sealed_off(judged, messages.columns, F.struct("verdict"))
 
 
 def dead_letter_counts(classified: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ earlier try of that batch wrote.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -30,25 +31,50 @@ from ..sinks import jdbc, keyed, table
 
 @dataclass(frozen=True)
 class SideOutputs:
-    """Folders for what does not reach the target; None leaves an output out."""
+    """What a job gives besides its target; None leaves an output out.
+
+    ``dead_letters`` and ``tap`` are folders. ``report`` is called with the batch's id and its
+    messages per verdict.
+    """
 
     dead_letters: str | None = None
     tap: str | None = None
+    report: Callable[[int, dict[str, int]], None] | None = None
 
 
 def _write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch_id={int(batch_id)}")
 
 
-def _checked(messages: DataFrame, batch_id: int, sides: SideOutputs, schema: T.StructType) -> DataFrame:
-    """Classify the batch and write its side outputs. The result is persisted: the gate
-    runs once for all outputs; lost blocks are recomputed from the source."""
+@contextmanager
+def _checked(
+    messages: DataFrame,
+    batch_id: int,
+    sides: SideOutputs,
+    schema: T.StructType = USER,
+    reused: bool = False,
+) -> Iterator[DataFrame]:
+    """The classified batch, its side outputs written.
+
+    It is persisted if it is read more than once, so that the gate runs once; blocks lost
+    with an executor are computed again from the source.
+    """
     if sides.tap:
         _write_batch(raw_tap(messages), sides.tap, batch_id)
-    classified = classify(messages, schema).persist()
-    if sides.dead_letters:
-        _write_batch(dead_letters(classified), f"{sides.dead_letters}/messages", batch_id)
-    return classified
+    classified = classify(messages, schema)
+    if not (reused or sides.dead_letters or sides.report):
+        yield classified
+        return
+    classified = classified.persist()
+    try:
+        if sides.dead_letters:
+            _write_batch(dead_letters(classified), f"{sides.dead_letters}/messages", batch_id)
+        if sides.report:
+            counted = classified.groupBy("verdict").count().collect()
+            sides.report(batch_id, {row["verdict"]: row["count"] for row in counted})
+        yield classified
+    finally:
+        classified.unpersist()
 
 
 def load_table(
@@ -59,11 +85,8 @@ def load_table(
     schema: T.StructType = USER,
 ) -> None:
     """Job A: good records to a table. No shuffle from the source to the files."""
-    classified = _checked(messages, batch_id, sides, schema)
-    try:
+    with _checked(messages, batch_id, sides, schema) as classified:
         table.append_batch(good_rows(classified), batch_id, target)
-    finally:
-        classified.unpersist()
 
 
 def jdbc_panes(good: DataFrame, window: str = JDBC_JOB_WINDOW, ts: str = ARRIVAL[0]) -> DataFrame:
@@ -81,12 +104,9 @@ def load_jdbc(
     **how,
 ) -> bool:
     """Job B: good records of the batch (its panes) to a database, all or nothing."""
-    classified = _checked(messages, batch_id, sides, schema)
-    try:
+    with _checked(messages, batch_id, sides, schema) as classified:
         rows = good_rows(classified).select(*schema.fieldNames())
         return jdbc.append_batch(rows, batch_id, target, **how)
-    finally:
-        classified.unpersist()
 
 
 def keyed_panes(
@@ -114,12 +134,9 @@ def load_keyed(
 
     Gives the schema of the puts, which reading the store takes.
     """
-    classified = _checked(messages, batch_id, sides, USER)
-    try:
+    with _checked(messages, batch_id, sides, reused=True) as classified:
         tagged = keyed_panes(good_rows(classified), window, batch_rows, order)
         return put_tagged(tagged, batch_id, folder, sides, pattern=pattern, order=order)
-    finally:
-        classified.unpersist()
 
 
 def put_tagged(
