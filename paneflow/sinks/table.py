@@ -47,7 +47,7 @@ def append_batch(rows: DataFrame, batch_id: int, table: str = APPEND_TABLE) -> N
 def append_rows(rows: DataFrame, table: str) -> None:
     """Plain append to a table without a batch partition: at least once, like the row by
     row insert it stands for. Columns are matched by name."""
-    rows.writeTo(table).append()
+    rows.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
 
 def read_table(spark: SparkSession, table: str = APPEND_TABLE) -> DataFrame:
