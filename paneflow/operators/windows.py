@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import ARRIVAL, DEFAULT_BATCH_ROWS
@@ -40,15 +40,26 @@ def slice_of(size: str, parts: int = 60) -> str:
     return f"{micros // parts} microseconds"
 
 
+def window_start(size: str, ts: str = "ts") -> Column:
+    """The start of a row's window.
+
+    ``window`` leaves out rows without a time. A message always has an arrival time, so a
+    missing one is an error of the source and fails the query.
+    """
+    missing = F.raise_error(F.lit(f"a message has no arrival time ({ts})"))
+    return F.window(F.coalesce(F.col(ts), missing), size)["start"]
+
+
 def with_window(rows: DataFrame, size: str, ts: str = "ts") -> DataFrame:
-    return rows.withColumn("window_start", F.window(ts, size)["start"])
+    return rows.withColumn("window_start", window_start(size, ts))
 
 
 def tumbling_counts(rows: DataFrame, size: str, ts: str = "ts") -> DataFrame:
     """Rows per window. Counted before the shuffle, so a hot window is one small row
     per task; an empty window gives no row."""
     return (
-        rows.groupBy(F.window(ts, size)["start"].alias("window_start"))
+        with_window(rows, size, ts)
+        .groupBy("window_start")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

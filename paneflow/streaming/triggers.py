@@ -59,28 +59,29 @@ class CountOrEnd(StatefulProcessor):
         self.counts = handle.getValueState("counts", "held long, batches long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = self.row.fieldNames()
-        fresh = pd.concat([part[names] for part in rows]).sort_values(self.order)
         known = self.counts.exists()
         held, batches = self.counts.get() if known else (0, 0)
         if not known:
             now = timerValues.getCurrentProcessingTimeInMs()
             self.handle.registerTimer(max(key[0] + self.size_ms, now + 1))
-        if held + len(fresh) < self.threshold:
-            self.rows.appendList(list(fresh.itertuples(index=False, name=None)))
-            self.counts.update((held + len(fresh), batches))
-            return
-        if held:
-            fresh = pd.concat([self._held(), fresh], ignore_index=True)
-        full = len(fresh) // self.threshold
-        done = fresh.iloc[: full * self.threshold]
-        batch_no = batches + np.arange(len(done)) // self.threshold
-        rest = fresh.iloc[full * self.threshold :]
-        self.rows.clear()
-        if len(rest):
-            self.rows.put(list(rest.itertuples(index=False, name=None)))
-        self.counts.update((len(rest), batches + full))
-        yield self._tagged(key, done, batch_no, "count")
+        # A part at a time: what is in memory is one part and the rows held so far.
+        for part in rows:
+            fresh = part[self.row.fieldNames()].sort_values(self.order)
+            if held + len(fresh) < self.threshold:
+                self.rows.appendList(list(fresh.itertuples(index=False, name=None)))
+                held += len(fresh)
+                continue
+            if held:
+                fresh = pd.concat([self._held(), fresh], ignore_index=True)
+            full = len(fresh) // self.threshold
+            done, rest = fresh.iloc[: full * self.threshold], fresh.iloc[full * self.threshold :]
+            batch_no = batches + np.arange(len(done)) // self.threshold
+            self.rows.clear()
+            if len(rest):
+                self.rows.put(list(rest.itertuples(index=False, name=None)))
+            held, batches = len(rest), batches + full
+            yield self._tagged(key, done, batch_no, "count")
+        self.counts.update((held, batches))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held, batches = self.counts.get()
@@ -136,7 +137,8 @@ class EarlyPanes(StatefulProcessor):
     """Fire without clearing, by count, by interval and at the window's end.
 
     The state is five numbers, for a pane is told by its length: the rows themselves are
-    not held.
+    not held. A micro-batch's times and ids (of one shard) are sorted in memory; the source's
+    limit per trigger bounds them.
     """
 
     def __init__(self, limit: int, interval_us: int, size_ms: int, order: Sequence[str], row_id: str):

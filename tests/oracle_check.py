@@ -9,7 +9,7 @@ from pathlib import Path
 
 import duckdb
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent.parent)]
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
