@@ -1,16 +1,16 @@
 """Row numbers in a group, without a task that holds an unbounded group.
 
-``row_number() over (partition by window ...)`` puts a whole window in one task. The windows
-are counted first, from the arrival times alone and with a partial aggregation, and the counts
-pick the plan:
+``row_number() over (partition by window ...)`` puts a whole window in one task. So the windows
+are counted first, per slice of time, from the arrival times alone and summed before the shuffle,
+and the counts say what to do with each row:
 
-* ``groups``: no window is too large; the plain window function, one shuffle.
-* ``slices``: each window is cut into ordered slices of time. The counts add up to a starting
-  number per slice, and only the rows of one slice are numbered together.
-* ``range``: a slice still has too many rows, as when a third of all messages share one
-  timestamp. The rows are laid out by range, which splits between any two rows.
+* A window that is not large is numbered by the plain window function.
+* A large window is cut into its slices. The counts add up to a starting number per slice, and
+  only the rows of one slice are numbered together.
+* A slice that is still too large, as when a third of all messages share one timestamp, is laid
+  out by range of the whole order, which splits between any two rows.
 
-All three give the same numbers.
+The first two are one shuffle of the rows; the third concerns the rows of such slices only.
 """
 
 from __future__ import annotations
@@ -35,41 +35,38 @@ _PART = "_part"
 _PART_SHIFT = 33
 
 
-def _offsets(counts: DataFrame, groups: Sequence[str], part: str, size: bool) -> DataFrame:
-    """Rows before each part of a group and, if asked for, in the group as a whole."""
+def _offsets(counts: DataFrame, groups: Sequence[str], part: str) -> DataFrame:
+    """Per part of a group: the rows ``_before`` it, and ``_total``, those of the group."""
     earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    if size:
-        offsets = offsets.withColumn("group_rows", F.sum("_n").over(Window.partitionBy(*groups)))
-    return offsets.drop("_n")
+    return counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).withColumn(
+        "_total", F.sum("_n").over(Window.partitionBy(*groups))
+    )
 
 
-def _by_group(
-    rows: DataFrame, groups: Sequence[str], order: Sequence[str], counts: DataFrame, size: bool
-) -> DataFrame:
-    numbered = rows.withColumn(
-        "rn", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("long")
-    )
-    if not size:
-        return numbered
-    sizes = counts.groupBy(*groups).agg(F.sum("_n").alias("group_rows"))
-    return numbered.join(sizes, list(groups))
+def _plain(rows: DataFrame, groups: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:
+    window = Window.partitionBy(*groups).orderBy(*order)
+    numbered = rows.withColumn("rn", F.row_number().over(window).cast("long"))
+    if last:
+        numbered = numbered.withColumn("is_last", F.lead(F.lit(1)).over(window).isNull())
+    return numbered
 
 
 def _by_slice(
-    rows: DataFrame, groups: Sequence[str], order: Sequence[str], counts: DataFrame, size: bool
+    rows: DataFrame, groups: Sequence[str], order: Sequence[str], offsets: DataFrame, last: bool
 ) -> DataFrame:
-    offsets = _offsets(counts, groups, _SLICE, size)
-    in_slice = Window.partitionBy(*groups, _SLICE).orderBy(*order)
-    return (
-        rows.join(offsets, [*groups, _SLICE])
-        .withColumn("rn", F.col("_before") + F.row_number().over(in_slice))
-        .drop("_before")
-    )
+    """Rows of slices found in ``offsets`` by slice, those of other groups by group."""
+    known = offsets.select(*groups, _SLICE, F.col(_SLICE).alias(_PART), "_before", "_total")
+    placed = rows.join(known, [*groups, _SLICE], "left")
+    numbered = _plain(placed, [*groups, _PART], order, last)
+    numbered = numbered.withColumn("rn", F.coalesce("_before", F.lit(0)) + F.col("rn"))
+    if last:
+        in_slices = F.col("rn") == F.col("_total")
+        numbered = numbered.withColumn("is_last", F.coalesce(in_slices, F.col("is_last")))
+    return numbered.drop(_PART, "_before", "_total")
 
 
 def _by_range(
-    rows: DataFrame, groups: Sequence[str], order: Sequence[str], parts: int, size: bool
+    rows: DataFrame, groups: Sequence[str], order: Sequence[str], parts: int, last: bool
 ) -> DataFrame:
     # The layout depends on sampling, so it is written before it is counted: every
     # later stage, and every retry, sees the same positions.
@@ -83,59 +80,82 @@ def _by_range(
     spans = laid_out.groupBy(*groups, _PART).agg(
         F.count(F.lit(1)).alias("_n"), F.min(_POSITION).alias("_first")
     )
-    offsets = _offsets(spans, groups, _PART, size)
-    return (
-        laid_out.join(offsets, [*groups, _PART])
-        .withColumn("rn", F.col("_before") + F.col(_POSITION) - F.col("_first") + 1)
-        .drop(_PART, _POSITION, "_before", "_first")
+    offsets = _offsets(spans, groups, _PART).select(*groups, _PART, "_before", "_first", "_total")
+    numbered = laid_out.join(offsets, [*groups, _PART]).withColumn(
+        "rn", F.col("_before") + F.col(_POSITION) - F.col("_first") + 1
     )
+    if last:
+        numbered = numbered.withColumn("is_last", F.col("rn") == F.col("_total"))
+    return numbered.drop(_PART, _POSITION, "_before", "_first", "_total")
 
 
 def _shuffle_partitions(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _by_counts(
+    rows: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[str],
+    counts: DataFrame,
+    slice_rows: int,
+    last: bool,
+) -> DataFrame:
+    offsets = _offsets(counts, groups, _SLICE)
+    # At most the rows over ``slice_rows`` of these, whatever the number of windows; one
+    # row per slice of a large window, which the planner broadcasts while it is small.
+    large = offsets.filter(F.col("_total") > slice_rows)
+    crowded = F.col("_n") > slice_rows
+    found = large.agg(
+        F.count(F.lit(1)).alias("slices"),
+        F.count_if(crowded).alias("crowded"),
+        F.sum(F.when(crowded, F.col("_n"))).alias("crowd"),
+    ).first()
+    if not found["slices"]:
+        return _plain(rows.drop(_SLICE), groups, order, last)
+    if not found["crowded"]:
+        return _by_slice(rows, groups, order, large, last)
+
+    key = [*groups, _SLICE]
+    split = large.filter(crowded).select(*key, F.col("_before").alias("_ahead"), F.col("_total").alias("_all"))
+    parts = max(_shuffle_partitions(rows), ceil(found["crowd"] / slice_rows))
+    hot = _by_range(rows.join(split, key), key, order, parts, False).withColumn(
+        "rn", F.col("_ahead") + F.col("rn")
+    )
+    if last:
+        hot = hot.withColumn("is_last", F.col("rn") == F.col("_all"))
+    rest = _by_slice(rows.join(split, key, "left_anti"), groups, order, large, last)
+    return rest.unionByName(hot.drop("_ahead", "_all"))
+
+
 def number_rows(
     rows: DataFrame,
     groups: Sequence[str],
     order: Sequence[str],
     slice_start: Column,
     *,
-    size: bool = False,
+    last: bool = False,
     method: str = "auto",
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Add ``rn`` (1, 2, ... per group in ``order``) and, with ``size``, ``group_rows``.
+    """Add ``rn`` (1, 2, ... per group in ``order``) and, if asked for, ``is_last``.
 
-    ``order`` is unique in a group and ``slice_start`` does not decrease along it. The join
-    with the offsets is left to the planner, which broadcasts them when they are small.
+    ``order`` is unique in a group and ``slice_start`` does not decrease along it. ``method``
+    other than ``auto`` treats all rows in one of the three ways.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
+    if method == "groups":
+        return _plain(rows, groups, order, last)
     if method == "range":
-        return _by_range(rows, groups, order, _shuffle_partitions(rows), size)
+        return _by_range(rows, groups, order, _shuffle_partitions(rows), last)
 
     sliced = rows.withColumn(_SLICE, slice_start)
     counts = sliced.groupBy(*groups, _SLICE).agg(F.count(F.lit(1)).alias("_n"))
-    parts = 0
-    if method == "auto":
+    if method == "slices":
+        numbered = _by_slice(sliced, groups, order, _offsets(counts, groups, _SLICE), last)
+    else:
         # A row per slice, counted once for the choice and for the offsets.
         counts = written(counts, "slice-counts")
-        found = (
-            counts.groupBy(*groups)
-            .agg(F.sum("_n").alias("group"), F.max("_n").alias("slice"))
-            .agg(F.max("group"), F.max("slice"), F.sum("group"))
-            .first()
-        )
-        largest_group, largest_slice, total = (n or 0 for n in found)
-        if largest_group <= slice_rows:
-            method = "groups"
-        elif largest_slice <= slice_rows:
-            method = "slices"
-        else:
-            parts = max(_shuffle_partitions(rows), ceil(total / slice_rows))
-    if method == "groups":
-        return _by_group(sliced.drop(_SLICE), groups, order, counts, size)
-    if method == "slices":
-        return _by_slice(sliced, groups, order, counts, size).drop(_SLICE)
-    return _by_range(sliced.drop(_SLICE), groups, order, parts, size)
+        numbered = _by_counts(sliced, groups, order, counts, slice_rows, last)
+    return numbered.drop(_SLICE)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from ..schema import ARRIVAL, DEFAULT_FIRE_INTERVAL
 from ..session import written
 from .numbering import SLICE_ROWS
-from .windows import duration_micros, numbered_in_window, tumbling_counts, with_window
+from .windows import duration_micros, numbered_in_window, with_window
 
 COUNT, INTERVAL, WINDOW_END = "count", "interval", "window_end"
 
@@ -59,9 +59,9 @@ def panes_by_count(
 ) -> DataFrame:
     """Panes of the trigger when the interval never comes first (I at least the window):
     one per ``limit`` rows, and one at the end for a rest."""
-    numbered = numbered_in_window(rows, size, order, with_size=True, slice_rows=slice_rows)
+    numbered = numbered_in_window(rows, size, order, last=True, slice_rows=slice_rows)
     full = F.col("rn") % limit == 0
-    return numbered.filter(full | (F.col("rn") == F.col("group_rows"))).select(
+    return numbered.filter(full | F.col("is_last")).select(
         "window_start",
         F.expr(f"(rn + {limit - 1}) div {limit}").alias("pane_no"),
         F.when(full, COUNT).otherwise(WINDOW_END).alias("reason"),
@@ -306,32 +306,32 @@ def panes(
     block_rows = max(block_rows, limit)
     width, gap = duration_micros(size), duration_micros(interval)
     # Only arrival and id go on, never the payload.
-    rows = rows.select(*order)
-    no_entry = {"entry_c": "long", "entry_d": "long", "entry_fired": "long"}
-    at_us = F.unix_micros(F.col(ts).cast("timestamp"))
-    window_us = F.unix_micros(F.col("window_start").cast("timestamp"))
-
-    largest = tumbling_counts(rows, size, ts).agg(F.max("n")).first()[0] or 0
-    if largest <= block_rows:
-        blocks = with_window(rows, size, ts).select(
-            window_us.alias("window_us"),
-            F.lit(0).cast("long").alias("block"),
-            at_us.alias("at_us"),
-            *order[1:],
-            F.lit(True).alias("is_last"),
-            *[F.lit(None).cast(kind).alias(name) for name, kind in no_entry.items()],
-            F.lit(None).cast(rows.schema[row_id].dataType).alias("entry_id"),
-        )
-    else:
-        block = F.expr(f"(rn - 1) div {block_rows}")
+    rows = with_window(rows.select(*order), size, ts)
+    slim = [
+        F.unix_micros(F.col("window_start").cast("timestamp")).alias("window_us"),
+        F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"),
+        *order[1:],
+    ]
+    counts = written(rows.groupBy("window_start").agg(F.count(F.lit(1)).alias("n")), "window-counts")
+    large = counts.filter(F.col("n") > block_rows)
+    largest = large.agg(F.max("n")).first()[0]
+
+    # A window of one block begins in no state.
+    entry = {"entry_c": "long", "entry_d": "long", "entry_fired": "long"}
+    entry["entry_id"] = rows.schema[row_id].dataType.simpleString()
+    whole = rows if largest is None else rows.join(large, "window_start", "left_anti")
+    blocks = whole.select(
+        *slim,
+        F.lit(0).cast("long").alias("block"),
+        F.lit(True).alias("is_last"),
+        *[F.lit(None).cast(kind).alias(name) for name, kind in entry.items()],
+    )
+    if largest is not None:
+        split = rows.join(large, "window_start").drop("window_start")
         numbered = written(
-            numbered_in_window(rows, size, order, with_size=True, slice_rows=slice_rows).select(
-                window_us.alias("window_us"),
-                block.alias("block"),
-                at_us.alias("at_us"),
-                *order[1:],
-                ((block + 1) * block_rows >= F.col("group_rows")).alias("is_last"),
-            ),
+            numbered_in_window(split, size, order, slice_rows=slice_rows)
+            .withColumn("block", F.expr(f"(rn - 1) div {block_rows}"))
+            .select(*slim, "block", (F.expr(f"(block + 1) * {block_rows}") >= F.col("n")).alias("is_last")),
             "pane-blocks",
         )
         passing = numbered.filter(~F.col("is_last"))
@@ -343,7 +343,7 @@ def panes(
             F.max(arrival)[row_id].alias("entry_id")
         )
         entered = entries.join(before, ["window_us", "block"])
-        blocks = numbered.join(entered, ["window_us", "block"], "left")
+        blocks = blocks.unionByName(numbered.join(entered, ["window_us", "block"], "left"))
 
     found = _replayed(blocks, order, limit, gap, width, block_rows)
     time_type = rows.schema[ts].dataType

@@ -69,18 +69,17 @@ def numbered_in_window(
     size: str,
     order: Sequence[str] = ARRIVAL,
     *,
-    with_size: bool = False,
+    last: bool = False,
     method: str = "auto",
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """``window_start`` and ``rn``, a row's place in its window; with ``with_size`` also
-    ``group_rows``, the window's rows."""
+    """Add ``window_start``, ``rn``, a row's place in its window, and if asked for ``is_last``."""
     return number_rows(
         with_window(rows, size, order[0]),
         ["window_start"],
         order,
-        F.window(order[0], slice_of(size))["start"],
-        size=with_size,
+        window_start(slice_of(size), order[0]),
+        last=last,
         method=method,
         slice_rows=slice_rows,
     )

@@ -48,11 +48,13 @@ def by_window(rows, size=HOUR):
 
 
 PLANS = {
-    "groups": {},
+    "groups": {"method": "groups"},
     "slices": {"method": "slices"},
     "range": {"method": "range"},
-    "auto, slices": {"slice_rows": 60},
-    "auto, range": {"slice_rows": 5},
+    "auto, no large window": {},
+    "auto, some windows large": {"slice_rows": 130},
+    "auto, all windows large": {"slice_rows": 60},
+    "auto, some slices large": {"slice_rows": 5},
 }
 
 
@@ -60,13 +62,13 @@ PLANS = {
 @pytest.mark.parametrize("hot", [0.0, 0.4])
 def test_rows_are_numbered_in_arrival_order(spark, plan, hot):
     rows = made_rows(3, hot=hot)
-    numbered = numbered_in_window(frame_of(spark, rows), "1 hour", with_size=True, **PLANS[plan])
-    assert set(numbered.columns) == {"ts", "event_id", "uid", "window_start", "rn", "group_rows"}
-    found = {r.event_id: (r.window_start, r.rn, r.group_rows) for r in numbered.collect()}
+    numbered = numbered_in_window(frame_of(spark, rows), "1 hour", last=True, **PLANS[plan])
+    assert set(numbered.columns) == {"ts", "event_id", "uid", "window_start", "rn", "is_last"}
+    found = {r.event_id: (r.window_start, r.rn, r.is_last) for r in numbered.collect()}
     assert len(found) == len(rows)
     for start, members in by_window(rows).items():
         for rn, row in enumerate(members, start=1):
-            assert found[row[1]] == (start, rn, len(members))
+            assert found[row[1]] == (start, rn, rn == len(members))
 
 
 @pytest.mark.parametrize("plan", PLANS)
@@ -170,3 +172,9 @@ def test_panes_by_count_are_those_of_a_long_interval(spark):
     long = panes(frame_of(spark, rows), "1 hour", 20, "1 hour").drop("fired_at")
     short = panes_by_count(frame_of(spark, rows), "1 hour", 20).select(long.columns)
     assert sorted(map(tuple, long.collect())) == sorted(map(tuple, short.collect()))
+
+
+def test_a_row_without_a_time_fails_the_query(spark):
+    rows = made_rows(1, n=30) + [(None, -1, "1")]
+    with pytest.raises(Exception, match="no arrival time"):
+        tumbling_counts(frame_of(spark, rows), "1 hour").collect()
