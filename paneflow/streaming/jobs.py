@@ -12,7 +12,7 @@ written. That holds whatever the rate, for the rows of a pane stay spread over t
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -105,12 +105,23 @@ def start_keyed_job(
     window: str = KEYED_JOB_WINDOW,
     batch_rows: int = KEYED_JOB_BATCH_ROWS,
     pattern: str = PARITY_PATTERN,
+    order: Sequence[str] = ARRIVAL,
 ) -> StreamingQuery:
-    """Job C: messages to a keyed store, a window to a micro-batch."""
+    """Job C: messages to a keyed store, a window to a micro-batch.
+
+    ``order`` names the arrival columns; those of topics are ``sources.kafka.TOPIC_ARRIVAL``.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         plans.load_keyed(
-            batch, batch_id, folder, sides, window=window, batch_rows=batch_rows, pattern=pattern
+            batch,
+            batch_id,
+            folder,
+            sides,
+            window=window,
+            batch_rows=batch_rows,
+            pattern=pattern,
+            order=order,
         )
 
     return start_batches(messages, load, "keyed-job", checkpoint, cadence)
@@ -126,20 +137,21 @@ def start_keyed_job_by_count(
     window: str = KEYED_JOB_WINDOW,
     batch_rows: int = KEYED_JOB_BATCH_ROWS,
     pattern: str = PARITY_PATTERN,
+    order: Sequence[str] = ARRIVAL,
     shards: int = 1,
 ) -> StreamingQuery:
     """Job C with a batch written as soon as it is full, and the rest at the window's end.
 
     The gate runs ahead of the state, which holds good records only. Dead letters of the
-    gate need a query of their own (``start_dead_letters``).
+    gate need a query of their own (``start_dead_letters``), with its own offsets.
     """
     good = good_rows(classify(messages))
-    fired = count_or_end(good, window, batch_rows, ARRIVAL, shards=shards)
+    fired = count_or_end(good, window, batch_rows, order, shards=shards)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
-            plans.put_tagged(held, batch_id, folder, sides, pattern=pattern)
+            plans.put_tagged(held, batch_id, folder, sides, pattern=pattern, order=order)
         finally:
             held.unpersist()
 

@@ -155,6 +155,13 @@ def test_jdbc_failure_leaves_the_ledger_alone(spark):
     assert run_jdbc(spark, ledger)[0] and ledger == {3}
 
 
+def test_a_driver_that_does_not_take_the_url_is_an_error(spark):
+    # The driver class is at hand and refuses a foreign URL before it opens anything.
+    target = jdbc.JdbcTarget("jdbc:x://host/db", "org.apache.hive.jdbc.HiveDriver", "u", "p")
+    with pytest.raises(ConnectionError):
+        jdbc.jvm_connection(spark, target)
+
+
 def test_jdbc_options():
     options = TARGET.options()
     assert options["batchsize"] == "10" and options["numPartitions"] == "50"
@@ -246,6 +253,23 @@ def test_kafka_records_become_messages(spark):
     assert rows[0].record.uid == "\u00e9" and rows[1].verdict == "blank"
 
 
+def test_keyed_job_on_records_of_topics(spark, tmp_path):
+    frame = messages_frame(spark, GOLDEN).selectExpr(
+        "'t' as topic",
+        "cast(event_id % 2 as int) as partition",
+        "event_id div 2 as offset",
+        "timestamp'2024-01-01 10:00:00' as timestamp",
+        "cast(value as binary) as value",
+    )
+    store, order = str(tmp_path / "store"), topics.TOPIC_ARRIVAL
+    schema = jobs.load_keyed(topics.topics_frame(frame), 0, store, order=order)
+    puts = keyed.read_puts(spark, store, schema)
+    assert sorted((r.batch_no, r["count"]) for r in puts.groupBy("batch_no").count().collect()) == [(0, 10), (1, 6)]
+    assert keyed.latest_puts(puts, order).count() == 16
+    first = {tuple(r) for r in puts.filter("batch_no = 0").select("partition", "offset").collect()}
+    assert first == {(0, n) for n in range(8)} | {(1, 0), (1, 1)}
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(AnalysisException):
         topics.topic_stream(spark, topics.consumer_options("h:1", "t"))
