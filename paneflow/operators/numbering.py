@@ -1,21 +1,23 @@
 """Row numbers in a group, without a task that holds an unbounded group.
 
 ``row_number() over (partition by window ...)`` puts a whole window in one task. So the windows
-are counted first, per slice of time, from the arrival times alone and summed before the shuffle,
-and the counts say what to do with each row:
+are counted first, from the arrival times alone and summed before the shuffle, and the counts say
+what to do with each row:
 
 * A window that is not large is numbered by the plain window function.
-* A large window is cut into its slices. The counts add up to a starting number per slice, and
-  only the rows of one slice are numbered together.
+* A large window is cut into slices of time, which are counted in turn. The counts add up to a
+  starting number per slice, and only the rows of one slice are numbered together.
 * A slice that is still too large, as when a third of all messages share one timestamp, is laid
   out by range of the whole order, which splits between any two rows.
 
-The first two are one shuffle of the rows; the third concerns the rows of such slices only.
+The first two are one shuffle of the rows; the third concerns the rows of such slices only. What
+is looked up on the way are tables of the large windows and their slices, written first, so that
+the planner knows their size and broadcasts them while they are small.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +28,9 @@ from ..session import written
 #: Rows one task may sort and number together.
 SLICE_ROWS = 2_000_000
 
+#: How many slices a large window is cut into.
+MIN_SLICES, MAX_SLICES = 60, 10_000
+
 METHODS = ("auto", "groups", "slices", "range")
 
 _SLICE = "_slice"
@@ -81,6 +86,7 @@ def _by_range(
         F.count(F.lit(1)).alias("_n"), F.min(_POSITION).alias("_first")
     )
     offsets = _offsets(spans, groups, _PART).select(*groups, _PART, "_before", "_first", "_total")
+    offsets = written(offsets, "range-offsets")
     numbered = laid_out.join(offsets, [*groups, _PART]).withColumn(
         "rn", F.col("_before") + F.col(_POSITION) - F.col("_first") + 1
     )
@@ -93,38 +99,51 @@ def _shuffle_partitions(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _slice_counts(
+    rows: DataFrame, groups: Sequence[str], slice_start: Column
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their slice, and the offsets of the slices."""
+    sliced = rows.withColumn(_SLICE, slice_start)
+    counts = sliced.groupBy(*groups, _SLICE).agg(F.count(F.lit(1)).alias("_n"))
+    return sliced, _offsets(counts, groups, _SLICE)
+
+
 def _by_counts(
     rows: DataFrame,
     groups: Sequence[str],
     order: Sequence[str],
-    counts: DataFrame,
+    slice_start: Callable[[int], Column],
     slice_rows: int,
     last: bool,
 ) -> DataFrame:
-    offsets = _offsets(counts, groups, _SLICE)
-    # At most the rows over ``slice_rows`` of these, whatever the number of windows; one
-    # row per slice of a large window, which the planner broadcasts while it is small.
-    large = offsets.filter(F.col("_total") > slice_rows)
+    sizes = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
+    # At most (all rows / slice_rows) groups.
+    large = written(sizes.filter(F.col("_size") > slice_rows), "large-groups")
+    largest = large.agg(F.max("_size")).first()[0]
+    if largest is None:
+        return _plain(rows, groups, order, last)
+
+    start = slice_start(max(MIN_SLICES, min(4 * ceil(largest / slice_rows), MAX_SLICES)))
+    in_large = rows.join(large.select(*groups), list(groups), "left_semi")
+    offsets = written(_slice_counts(in_large, groups, start)[1], "slice-offsets")
     crowded = F.col("_n") > slice_rows
-    found = large.agg(
-        F.count(F.lit(1)).alias("slices"),
-        F.count_if(crowded).alias("crowded"),
-        F.sum(F.when(crowded, F.col("_n"))).alias("crowd"),
-    ).first()
-    if not found["slices"]:
-        return _plain(rows.drop(_SLICE), groups, order, last)
-    if not found["crowded"]:
-        return _by_slice(rows, groups, order, large, last)
+    crowd = offsets.filter(crowded).agg(F.sum("_n")).first()[0]
+    sliced = rows.withColumn(_SLICE, start)
+    if crowd is None:
+        return _by_slice(sliced, groups, order, offsets, last)
 
     key = [*groups, _SLICE]
-    split = large.filter(crowded).select(*key, F.col("_before").alias("_ahead"), F.col("_total").alias("_all"))
-    parts = max(_shuffle_partitions(rows), ceil(found["crowd"] / slice_rows))
-    hot = _by_range(rows.join(split, key), key, order, parts, False).withColumn(
+    split = written(
+        offsets.filter(crowded).select(*key, F.col("_before").alias("_ahead"), F.col("_total").alias("_all")),
+        "crowded-slices",
+    )
+    parts = max(_shuffle_partitions(rows), ceil(crowd / slice_rows))
+    hot = _by_range(sliced.join(split, key), key, order, parts, False).withColumn(
         "rn", F.col("_ahead") + F.col("rn")
     )
     if last:
         hot = hot.withColumn("is_last", F.col("rn") == F.col("_all"))
-    rest = _by_slice(rows.join(split, key, "left_anti"), groups, order, large, last)
+    rest = _by_slice(sliced.join(split, key, "left_anti"), groups, order, offsets, last)
     return rest.unionByName(hot.drop("_ahead", "_all"))
 
 
@@ -132,7 +151,7 @@ def number_rows(
     rows: DataFrame,
     groups: Sequence[str],
     order: Sequence[str],
-    slice_start: Column,
+    slice_start: Callable[[int], Column],
     *,
     last: bool = False,
     method: str = "auto",
@@ -140,8 +159,9 @@ def number_rows(
 ) -> DataFrame:
     """Add ``rn`` (1, 2, ... per group in ``order``) and, if asked for, ``is_last``.
 
-    ``order`` is unique in a group and ``slice_start`` does not decrease along it. ``method``
-    other than ``auto`` treats all rows in one of the three ways.
+    ``order`` is unique in a group. ``slice_start(n)`` is the start of a row's slice when a group
+    is cut into about n; it does not decrease along ``order``. ``method`` other than ``auto``
+    treats all rows in one of the three ways.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
@@ -149,13 +169,8 @@ def number_rows(
         return _plain(rows, groups, order, last)
     if method == "range":
         return _by_range(rows, groups, order, _shuffle_partitions(rows), last)
-
-    sliced = rows.withColumn(_SLICE, slice_start)
-    counts = sliced.groupBy(*groups, _SLICE).agg(F.count(F.lit(1)).alias("_n"))
     if method == "slices":
-        numbered = _by_slice(sliced, groups, order, _offsets(counts, groups, _SLICE), last)
-    else:
-        # A row per slice, counted once for the choice and for the offsets.
-        counts = written(counts, "slice-counts")
-        numbered = _by_counts(sliced, groups, order, counts, slice_rows, last)
+        sliced, offsets = _slice_counts(rows, groups, slice_start(MIN_SLICES))
+        return _by_slice(sliced, groups, order, offsets, last).drop(_SLICE)
+    numbered = _by_counts(rows, groups, order, slice_start, slice_rows, last)
     return numbered.drop(_SLICE)

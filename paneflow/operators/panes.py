@@ -312,8 +312,9 @@ def panes(
         F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"),
         *order[1:],
     ]
-    counts = written(rows.groupBy("window_start").agg(F.count(F.lit(1)).alias("n")), "window-counts")
-    large = counts.filter(F.col("n") > block_rows)
+    counts = rows.groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
+    # At most (all rows / block_rows) windows.
+    large = written(counts.filter(F.col("n") > block_rows), "large-windows")
     largest = large.agg(F.max("n")).first()[0]
 
     # A window of one block begins in no state.

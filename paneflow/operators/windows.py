@@ -32,7 +32,7 @@ def duration_micros(duration: str) -> int:
     return int(amount) * _UNIT_MICROS[unit.rstrip("s")]
 
 
-def slice_of(size: str, parts: int = 60) -> str:
+def slice_of(size: str, parts: int) -> str:
     """A ``parts``-th of a window of ``size``, or of fewer parts if that does not divide."""
     micros = duration_micros(size)
     while parts > 1 and micros % parts:
@@ -78,7 +78,7 @@ def numbered_in_window(
         with_window(rows, size, order[0]),
         ["window_start"],
         order,
-        window_start(slice_of(size), order[0]),
+        lambda parts: window_start(slice_of(size, parts), order[0]),
         last=last,
         method=method,
         slice_rows=slice_rows,

@@ -118,8 +118,9 @@ def test_reducers(spark):
 
 def test_durations():
     assert duration_micros("2 minutes") == 120_000_000
-    assert slice_of("2 minutes") == "2000000 microseconds"
-    assert slice_of("7 microseconds") == "1 microseconds"
+    assert slice_of("2 minutes", 60) == "2000000 microseconds"
+    assert slice_of("7 microseconds", 60) == "1 microseconds"
+    assert slice_of("1 day", 7) == "14400000000 microseconds"
     with pytest.raises(KeyError):
         duration_micros("3 fortnights")
 
