@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.keys import PARITY_PATTERN
+from ..operators.carry import carried_batches
 from ..operators.quality import classify, dead_letters, good_rows
 from ..operators.tap import raw_tap
 from ..operators.windows import count_batches, with_window
@@ -109,16 +110,6 @@ def load_jdbc(
         return jdbc.append_batch(rows, batch_id, target, **how)
 
 
-def keyed_panes(
-    good: DataFrame,
-    window: str = KEYED_JOB_WINDOW,
-    batch_rows: int = KEYED_JOB_BATCH_ROWS,
-    order: Sequence[str] = ARRIVAL,
-) -> DataFrame:
-    """Job C's rows with their window and their batch in it."""
-    return count_batches(good, window, batch_rows, order).drop("rn")
-
-
 def load_keyed(
     messages: DataFrame,
     batch_id: int,
@@ -129,14 +120,20 @@ def load_keyed(
     batch_rows: int = KEYED_JOB_BATCH_ROWS,
     pattern: str = PARITY_PATTERN,
     order: Sequence[str] = ARRIVAL,
+    totals: str | None = None,
 ) -> T.StructType:
     """Job C: good records as puts, tagged with window and batch, to a keyed store.
 
-    Gives the schema of the puts, which reading the store takes.
+    ``totals`` is a folder for the rows per window so far; without it each batch of messages
+    is counted by itself. Gives the schema of the puts, which reading the store takes.
     """
     with _checked(messages, batch_id, sides, reused=True) as classified:
-        tagged = keyed_panes(good_rows(classified), window, batch_rows, order)
-        return put_tagged(tagged, batch_id, folder, sides, pattern=pattern, order=order)
+        good = good_rows(classified)
+        if totals is None:
+            tagged = count_batches(good, window, batch_rows, order)
+        else:
+            tagged = carried_batches(good, window, batch_rows, totals, batch_id, order)
+        return put_tagged(tagged.drop("rn"), batch_id, folder, sides, pattern=pattern, order=order)
 
 
 def put_tagged(

@@ -109,8 +109,11 @@ def start_keyed_job(
 ) -> StreamingQuery:
     """Job C: messages to a keyed store, a window to a micro-batch.
 
-    ``order`` names the arrival columns; those of topics are ``sources.kafka.TOPIC_ARRIVAL``.
+    A window that is spread over micro-batches is counted on from one to the next; the totals
+    are kept next to the checkpoint. ``order`` names the arrival columns; those of topics are
+    ``sources.kafka.TOPIC_ARRIVAL``.
     """
+    totals = f"{checkpoint.rstrip('/')}-totals"
 
     def load(batch: DataFrame, batch_id: int) -> None:
         plans.load_keyed(
@@ -122,6 +125,7 @@ def start_keyed_job(
             batch_rows=batch_rows,
             pattern=pattern,
             order=order,
+            totals=totals,
         )
 
     return start_batches(messages, load, "keyed-job", checkpoint, cadence)
@@ -138,9 +142,9 @@ def start_keyed_job_by_count(
     batch_rows: int = KEYED_JOB_BATCH_ROWS,
     pattern: str = PARITY_PATTERN,
     order: Sequence[str] = ARRIVAL,
-    shards: int = 1,
+    shards: int,
 ) -> StreamingQuery:
-    """Job C with a batch written as soon as it is full, and the rest at the window's end.
+    """Job C with a batch held until it is full, and the rest until the window's end.
 
     The gate runs ahead of the state, which holds good records only. Dead letters of the
     gate need a query of their own (``start_dead_letters``), with its own offsets.

@@ -1,9 +1,11 @@
 """Windows that fire by count and by the wall clock, as stateful stream operators.
 
-A window's key is ``(window_start, shard)``. One window over all messages is one key and so
-one busy task; ``shards`` spreads it by a hash of the row's id, which is even whatever the
-data. The price is that each shard counts for itself: a batch still has at most the threshold
-rows, but a window leaves up to ``shards`` remainders.
+A window's key is ``(window_start, shard)``. A window over all messages that counts as one,
+``shards=1``, passes through one task: that is for a stream that one task can take. More shards
+spread it by a hash of the row's id, which is even whatever the data. The price is that each
+shard counts for itself: a batch still has at most the threshold rows, but a window leaves up to
+``shards`` remainders. Where rows need not be held until their batch is full,
+``operators.carry`` numbers the batches of the whole window on all tasks.
 
 Firing at a window's end without new input needs a query that runs on (a processing-time
 trigger); ``availableNow`` stops before the timers are due.
@@ -115,7 +117,7 @@ def count_or_end(
     threshold: int = DEFAULT_BATCH_ROWS,
     order: Sequence[str] = ARRIVAL,
     *,
-    shards: int = 1,
+    shards: int,
 ) -> DataFrame:
     """A stream's rows, tagged with ``window_start, shard, batch_no, reason``, as they fire.
 
@@ -204,7 +206,7 @@ def early_panes(
     interval: str = DEFAULT_FIRE_INTERVAL,
     order: Sequence[str] = ARRIVAL,
     *,
-    shards: int = 1,
+    shards: int,
 ) -> DataFrame:
     """Pane descriptors of a stream, as they fire; only arrival and id go to the state."""
     row_id = rows.schema[order[-1]].dataType.simpleString()

@@ -5,7 +5,7 @@ import pytest
 from conftest import GOLDEN, messages_frame
 from pyspark.sql import functions as F
 
-from paneflow.plans.jobs import SideOutputs
+from paneflow.plans.jobs import SideOutputs, load_keyed
 from paneflow.sinks import keyed, table
 from paneflow.sinks.jdbc import JdbcTarget
 from paneflow.sources import line_stream, message_stream
@@ -77,6 +77,21 @@ def test_keyed_job_as_a_stream(spark, tmp_path):
     assert sorted((r.batch_no, r["count"]) for r in puts.groupBy("batch_no").count().collect()) == [(0, 10), (1, 6)]
 
 
+def test_batches_go_on_over_micro_batches(spark, tmp_path):
+    folder, schema = stored(spark, tmp_path, GOLDEN, 3)
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "c")
+    source = message_stream(spark, folder, schema, files_per_trigger=1)
+    jobs.start_keyed_job(source, checkpoint, store, cadence=None).awaitTermination()
+    puts = spark.read.parquet(store)
+    assert puts.select("batch_id").distinct().count() == 3
+    assert sorted((r.batch_no, r["count"]) for r in puts.groupBy("batch_no").count().collect()) == [(0, 10), (1, 6)]
+    # The last micro-batch run again, as after a failure before its commit.
+    last = puts.filter("batch_id = 2").collect()
+    again = messages_frame(spark, GOLDEN).filter("event_id in ({})".format(",".join(str(r.event_id) for r in last)))
+    load_keyed(again, 2, store, totals=f"{checkpoint}-totals")
+    assert sorted(map(str, spark.read.parquet(store).filter("batch_id = 2").collect())) == sorted(map(str, last))
+
+
 def test_jdbc_job_hands_over_a_window_at_a_time(spark, tmp_path):
     folder, schema = stored(spark, tmp_path, GOLDEN + ["bad"], 1)
     seen = []
@@ -112,7 +127,7 @@ def clocked(spark, tmp_path):
 
 
 def test_ten_by_count_and_six_by_the_clock(spark, tmp_path):
-    fired = count_or_end(clocked(spark, tmp_path), "6 seconds", 10)
+    fired = count_or_end(clocked(spark, tmp_path), "6 seconds", 10, shards=1)
     name = f"fired_{uuid.uuid4().hex}"
     writer = fired.writeStream.format("memory").outputMode("append")
     query = jobs.resumable(writer, name, str(tmp_path / "c"), "1 second").start()
@@ -139,7 +154,7 @@ def test_shards_keep_batches_within_the_threshold(spark, tmp_path):
 
 
 def test_early_panes_by_interval_and_window_end(spark, tmp_path):
-    fired = early_panes(clocked(spark, tmp_path), "8 seconds", 10, "1 second")
+    fired = early_panes(clocked(spark, tmp_path), "8 seconds", 10, "1 second", shards=1)
     name = f"panes_{uuid.uuid4().hex}"
     writer = fired.writeStream.format("memory").outputMode("append")
     query = jobs.resumable(writer, name, str(tmp_path / "c"), "1 second").start()
@@ -153,7 +168,7 @@ def test_early_panes_by_interval_and_window_end(spark, tmp_path):
 def test_keyed_job_by_count(spark, tmp_path):
     store = str(tmp_path / "store")
     query = jobs.start_keyed_job_by_count(
-        clocked(spark, tmp_path), str(tmp_path / "c"), store, cadence="1 second", window="6 seconds"
+        clocked(spark, tmp_path), str(tmp_path / "c"), store, cadence="1 second", window="6 seconds", shards=1
     )
     until = time.time() + 90
     try:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paneflow.operators import panes as panes_module
+from paneflow.operators.carry import carried_batches
 from paneflow.operators.panes import panes, panes_by_count
 from paneflow.operators.windows import (
     batch_summary,
@@ -179,3 +180,25 @@ def test_a_row_without_a_time_fails_the_query(spark):
     rows = made_rows(1, n=30) + [(None, -1, "1")]
     with pytest.raises(Exception, match="no arrival time"):
         tumbling_counts(frame_of(spark, rows), "1 hour").collect()
+
+
+def test_carried_batches_are_those_of_the_rows_in_one(spark, tmp_path):
+    rows = sorted(made_rows(11, n=200, hot=0.2))
+    folder, found = str(tmp_path), {}
+    for batch_id, begin in enumerate(range(0, 200, 60)):
+        part = frame_of(spark, rows[begin : begin + 60])
+        for _ in range(2):
+            tagged = carried_batches(part, "1 hour", 7, folder, batch_id, slice_rows=25)
+            found.update({r.event_id: (r.window_start, r.rn, r.batch_no) for r in tagged.collect()})
+    assert found == {
+        m[1]: (start, rn, (rn - 1) // 7)
+        for start, members in by_window(rows).items()
+        for rn, m in enumerate(members, start=1)
+    }
+
+
+def test_totals_are_kept_for_recent_windows(spark, tmp_path):
+    rows = made_rows(12, n=100)
+    carried_batches(frame_of(spark, rows), "1 hour", 7, str(tmp_path), 0, keep_windows=2)
+    kept = spark.read.parquet(str(tmp_path / "batch_id=0"))
+    assert sorted(r.window_start for r in kept.collect()) == sorted(by_window(rows))[-2:]
