@@ -66,8 +66,8 @@ def _fields_of(schema: T.StructType, kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, kind) for n in schema.fieldNames()])
 
 
-def _starts_with(text: Column, *characters: str) -> Column:
-    return F.coalesce(_any([F.startswith(text, F.lit(c)) for c in characters]), F.lit(False))
+def _starts_with(text: Column, character: str) -> Column:
+    return F.coalesce(F.startswith(text, F.lit(character)), F.lit(False))
 
 
 def _judged(messages: DataFrame, schema: T.StructType, value: str) -> DataFrame:
@@ -93,19 +93,20 @@ def _judged(messages: DataFrame, schema: T.StructType, value: str) -> DataFrame:
 
     # A field's text that begins with a bracket is a nested value or a string that
     # looks like one; typed parses, which are null for anything else, tell them apart.
-    bracketed = _any([_starts_with(first[n], "{", "[") for n in names])
-    as_maps = F.from_json(
-        text, _fields_of(schema, T.MapType(T.StringType(), T.StringType())), LENIENT
+    def nested(bracket: str, kind: T.DataType) -> Column:
+        typed = F.from_json(text, _fields_of(schema, kind), LENIENT)
+        return _any([_starts_with(first[n], bracket) for n in names]) & (F.to_json(typed) != "{}")
+
+    has_nested = nested("{", T.MapType(T.StringType(), T.StringType())) | nested(
+        "[", T.ArrayType(T.StringType())
     )
-    as_arrays = F.from_json(text, _fields_of(schema, T.ArrayType(T.StringType())), LENIENT)
-    nested = _any([F.to_json(typed) != "{}" for typed in (as_maps, as_arrays)])
 
     misfits = [
         first[f.name].isNotNull() & first[f.name].try_cast(f.dataType).isNull()
         for f in schema.fields
         if not isinstance(f.dataType, T.StringType)
     ]
-    of_object = F.when(~one_object, BAD_JSON).when(bracketed & nested, BAD_FIELD)
+    of_object = F.when(~one_object, BAD_JSON).when(has_nested, BAD_FIELD)
     if misfits:
         of_object = of_object.when(_any(misfits), BAD_FIELD)
     verdict = (

@@ -30,6 +30,10 @@ from ..schema import (
 from ..sinks import jdbc, keyed, table
 
 
+#: A folder, or what opens a client with ``put(rows)`` and ``close()``.
+KeyedStore = str | Callable[[], object]
+
+
 @dataclass(frozen=True)
 class SideOutputs:
     """What a job gives besides its target; None leaves an output out.
@@ -66,7 +70,7 @@ def _checked(
     if not (reused or sides.dead_letters or sides.report):
         yield classified
         return
-    classified = classified.persist()
+    classified = (classified if sides.dead_letters else classified.drop("value")).persist()
     try:
         if sides.dead_letters:
             _write_batch(dead_letters(classified), f"{sides.dead_letters}/messages", batch_id)
@@ -113,7 +117,7 @@ def load_jdbc(
 def load_keyed(
     messages: DataFrame,
     batch_id: int,
-    folder: str,
+    store: KeyedStore,
     sides: SideOutputs = SideOutputs(),
     *,
     window: str = KEYED_JOB_WINDOW,
@@ -124,7 +128,8 @@ def load_keyed(
 ) -> T.StructType:
     """Job C: good records as puts, tagged with window and batch, to a keyed store.
 
-    ``totals`` is a folder for the rows per window so far; without it each batch of messages
+    ``store`` is the folder of a log of puts, or opens a store's client in a task
+    (``sinks.keyed.put_partitions``). ``totals`` is a folder for the rows per window so far; without it each batch of messages
     is counted by itself. Gives the schema of the puts, which reading the store takes.
     """
     with _checked(messages, batch_id, sides, reused=True) as classified:
@@ -133,13 +138,13 @@ def load_keyed(
             tagged = count_batches(good, window, batch_rows, order)
         else:
             tagged = carried_batches(good, window, batch_rows, totals, batch_id, order)
-        return put_tagged(tagged.drop("rn"), batch_id, folder, sides, pattern=pattern, order=order)
+        return put_tagged(tagged.drop("rn"), batch_id, store, sides, pattern=pattern, order=order)
 
 
 def put_tagged(
     tagged: DataFrame,
     batch_id: int,
-    folder: str,
+    store: KeyedStore,
     sides: SideOutputs = SideOutputs(),
     *,
     pattern: str = PARITY_PATTERN,
@@ -149,5 +154,8 @@ def put_tagged(
     if sides.dead_letters:
         _write_batch(keyed.incomplete_rows(tagged), f"{sides.dead_letters}/records", batch_id)
     puts = keyed.keyed_puts(tagged, ["window_start", "batch_no"], pattern, order)
-    keyed.append_batch(puts, batch_id, folder)
+    if callable(store):
+        keyed.put_partitions(puts, store, order=order)
+    else:
+        keyed.append_batch(puts, batch_id, store)
     return puts.schema

@@ -21,7 +21,7 @@ from ..functions.keys import PARITY_PATTERN
 from ..operators.quality import classify, dead_letters, good_rows
 from ..operators.tap import raw_tap
 from ..plans import jobs as plans
-from ..plans.jobs import SideOutputs
+from ..plans.jobs import KeyedStore, SideOutputs
 from ..schema import (
     APPEND_TABLE,
     ARRIVAL,
@@ -98,7 +98,7 @@ def start_jdbc_job(
 def start_keyed_job(
     messages: DataFrame,
     checkpoint: str,
-    folder: str,
+    store: KeyedStore,
     sides: SideOutputs = SideOutputs(),
     cadence: str | None = KEYED_JOB_WINDOW,
     *,
@@ -119,7 +119,7 @@ def start_keyed_job(
         plans.load_keyed(
             batch,
             batch_id,
-            folder,
+            store,
             sides,
             window=window,
             batch_rows=batch_rows,
@@ -134,7 +134,7 @@ def start_keyed_job(
 def start_keyed_job_by_count(
     messages: DataFrame,
     checkpoint: str,
-    folder: str,
+    store: KeyedStore,
     sides: SideOutputs = SideOutputs(),
     cadence: str = TABLE_JOB_CADENCE,
     *,
@@ -155,7 +155,7 @@ def start_keyed_job_by_count(
     def load(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
-            plans.put_tagged(held, batch_id, folder, sides, pattern=pattern, order=order)
+            plans.put_tagged(held, batch_id, store, sides, pattern=pattern, order=order)
         finally:
             held.unpersist()
 
