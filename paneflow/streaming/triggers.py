@@ -140,7 +140,7 @@ class EarlyPanes(StatefulProcessor):
 
     The state is five numbers, for a pane is told by its length: the rows themselves are
     not held. A micro-batch's times and ids (of one shard) are sorted in memory; the source's
-    limit per trigger bounds them.
+    limit per trigger bounds them. Rows that come after their window's end are counted anew.
     """
 
     def __init__(self, limit: int, interval_us: int, size_ms: int, order: Sequence[str], row_id: str):

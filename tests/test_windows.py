@@ -2,6 +2,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +163,21 @@ def test_panes_follow_the_contract(spark, monkeypatch, limit, minutes, block_row
     assert sorted(map(tuple, found.collect())) == expected
 
 
+@pytest.mark.parametrize(("limit", "interval"), [(4, 3), (1, 5), (7, 10**6), (16, 1)])
+def test_block_tables_say_what_a_replay_does(limit, interval):
+    rng = random.Random(limit)
+    at = np.sort(np.array([rng.randrange(60) for _ in range(40)], dtype=np.int64))
+    head, tail = at[:20], at[20:]
+    table = panes_module.block_table(tail, limit, interval)
+    for begin in range(20):
+        first, c, d = panes_module.replay_block(head[begin:], 0, panes_module.UNSET, limit, interval)
+        rest, c_end, d_end = panes_module.replay_block(tail, c, d, limit, interval)
+        state = (np.array([c]), np.array([d]), np.array([len(first)]))
+        got = [int(part[0]) for part in panes_module.through_block(table, *state, limit)]
+        assert got[0] == c_end and got[2] == len(first) + len(rest)
+        assert got[1] == d_end or c_end == 0
+
+
 def test_last_pane_holds_the_window(spark):
     rows = made_rows(8)
     found = panes(frame_of(spark, rows), "1 hour", 20, "5 minutes")
