@@ -20,6 +20,7 @@ from ..schema import BAD_FIELD, BAD_JSON, BLANK, NOT_OBJECT, OK, USER
 
 BLANK_TEXT = r"\A\p{javaWhitespace}*\z"
 OBJECT_START = r"\A\p{javaWhitespace}*\{"
+OBJECT_END = r"\}[ \t\r\n]*\z"
 
 #: The gate's parser takes unquoted names and single quotes.
 LENIENT = {
@@ -79,8 +80,11 @@ def _judged(messages: DataFrame, schema: T.StructType, value: str) -> DataFrame:
     object_array = T.ArrayType(_text_fields(schema, _SEAL))
     is_object = _starts_with(text, "{") | F.coalesce(text.rlike(OBJECT_START), F.lit(False))
 
+    # Text cut off or followed by more seldom ends like an object; a failing parse is dear.
+    ends = F.endswith(text, F.lit("}")) | text.rlike(OBJECT_END)
+
     parsed = messages.withColumn(
-        "_parsed", F.when(is_object, F.from_json(sealed_object, object_array, LENIENT))
+        "_parsed", F.when(is_object & ends, F.from_json(sealed_object, object_array, LENIENT))
     )
     first = F.get("_parsed", F.lit(0))
     # What follows the message in the array is the seal and nothing else.

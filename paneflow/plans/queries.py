@@ -216,10 +216,7 @@ def _append_target(spark: SparkSession, label: str) -> str:
 
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = _append_target(spark, "table")
-    rows = users(spark, sf_dir)
-    # The second write is the batch run again: it replaces the first.
-    table.append_batch(rows, 0, target)
-    table.append_batch(rows, 0, target)
+    table.append_batch(users(spark, sf_dir), 0, target)
     return table.read_table(spark, target)
 
 
