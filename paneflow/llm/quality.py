@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneflow.llm.common import SPACES, SPACES_CLASS, let, packed, text_key, unpacked
+from paneflow.session import written
 
 #: Signs that count as symbols.
 SYMBOLS = "[#*$%&|<>]"
@@ -92,36 +93,32 @@ def _keys(docs: DataFrame, text: str, host: str, doc_id: str) -> list[Column]:
     ]
 
 
-def document_lines(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, host, row_key, place, line, n_words, other): every line with words, by its hash.
+def line_entries(text: Column) -> Column:
+    """(line, n_words, other) of every line with words; ``line`` is a hash.
 
     ``other`` stands for the document: the least hash among its other lines.
     """
-    lines = F.filter(
-        F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), normalised), lambda line: line != ""
-    )
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), normalised), lambda line: line != "")
 
     def entries(found):
-        hashes = F.transform(found, text_key)
-        first_two = F.slice(F.sort_array(F.array_distinct(hashes)), 1, 2)
-        return let(
-            first_two,
-            lambda least: F.transform(
-                found,
-                lambda line: let(
-                    text_key(line),
-                    lambda key: F.struct(
-                        key.alias("line"),
-                        F.size(F.split(line, " ")).alias("n_words"),
-                        F.xxhash64(F.when(key == F.get(least, F.lit(0)), F.get(least, F.lit(1))).otherwise(F.get(least, F.lit(0)))).alias("other"),
-                        (F.size(least) > 1).alias("has_other"),
-                    ),
-                ),
-            ),
-        )
+        first_two = F.slice(F.sort_array(F.array_distinct(F.transform(found, text_key))), 1, 2)
+
+        def entry(least, line):
+            other = lambda key: F.when(key == F.get(least, F.lit(0)), F.get(least, F.lit(1))).otherwise(F.get(least, F.lit(0)))
+            return let(
+                text_key(line),
+                lambda key: F.struct(key.alias("line"), F.size(F.split(line, " ")).alias("n_words"), F.when(F.size(least) > 1, F.xxhash64(other(key))).alias("other")),
+            )
+
+        return let(first_two, lambda least: F.transform(found, lambda line: entry(least, line)))
+
+    return let(lines, entries)
+
 
-    rows = docs.select(*_keys(docs, text, host, doc_id), F.posexplode(let(lines, entries)).alias("place", "entry"))
-    return rows.select("doc_id", "host", "row_key", "place", "entry.line", "entry.n_words", F.when(F.col("entry.has_other"), F.col("entry.other")).alias("other"))
+def profiles(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, host, row_key, the measures and ``lines``: what is asked of the texts, read once and written."""
+    rows = docs.select(*_keys(docs, text, host, doc_id), F.inline(measures(F.col(text))), line_entries(F.col(text)).alias("lines"))
+    return written(rows, "quality-profiles")
 
 
 def frequent_lines(lines: DataFrame, hosts: DataFrame, limits: Limits) -> DataFrame:
@@ -130,27 +127,34 @@ def frequent_lines(lines: DataFrame, hosts: DataFrame, limits: Limits) -> DataFr
     return counts.join(hosts, "host").filter(F.col("n_docs") > F.col("host_docs") * limits.max_share).select("host", "line", "n_docs")
 
 
-def removals(docs: DataFrame, limits: Limits, text: str = "text", host: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, row_key, removed_words, removed_lines) of the documents that lose lines."""
-    lines = document_lines(docs, text, host, doc_id)
-    hosts = docs.select(*_keys(docs, text, host, doc_id)[1:2]).groupBy("host").agg(F.count("*").alias("host_docs"))
+def removals(profile: DataFrame, limits: Limits) -> DataFrame:
+    """(lost_id, lost_key, removed_words, removed_lines) of the documents that lose lines."""
+    lines = profile.select("doc_id", "host", "row_key", F.posexplode("lines").alias("place", "entry")).select("doc_id", "host", "row_key", "place", "entry.*")
+    hosts = profile.groupBy("host").agg(F.count("*").alias("host_docs"))
     found = frequent_lines(lines, hosts, limits)
     hit = lines.drop("other").join(found.select("host", "line"), ["host", "line"])
     hit = hit.select("doc_id", "row_key", "place", "line", "n_words").distinct()
-    return hit.groupBy("doc_id", "row_key").agg(
+    return hit.groupBy(F.col("doc_id").alias("lost_id"), F.col("row_key").alias("lost_key")).agg(
         F.sum("n_words").cast("long").alias("removed_words"), F.collect_set("line").alias("removed_lines")
     )
 
 
-def judged(docs: DataFrame, limits: Limits = Limits(), text: str = "text", host: str = "source", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, the measures, base_failed, removed_words and kept: one row per row of ``docs``."""
-    measured = docs.select(*_keys(docs, text, host, doc_id), F.inline(measures(F.col(text)))).drop("host")
-    lost = removals(docs, limits, text, host, doc_id).drop("removed_lines").withColumnsRenamed({"doc_id": "lost_id", "row_key": "lost_key"})
-    joined = measured.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("row_key") == F.col("lost_key")), "left")
+def _verdict(limits: Limits) -> tuple[Column, Column, Column]:
+    """(removed words, failed, depleted) of a profile joined with its removals."""
     removed = F.coalesce("removed_words", F.lit(0).cast("long"))
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.max_repeat_percent * F.col("n_words"))
-    depleted = F.col("n_words") - removed < F.col("n_words") * limits.min_left
-    return joined.select(
+    return removed, failed, F.col("n_words") - removed < F.col("n_words") * limits.min_left
+
+
+def _with_removals(profile: DataFrame, limits: Limits) -> DataFrame:
+    same = F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("row_key") == F.col("lost_key"))
+    return profile.drop("lines").join(removals(profile, limits), same, "left")
+
+
+def judged(docs: DataFrame, limits: Limits = Limits(), text: str = "text", host: str = "source", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, the measures, base_failed, kept and removed_words: one row per row of ``docs``."""
+    removed, failed, depleted = _verdict(limits)
+    return _with_removals(profiles(docs, text, host, doc_id), limits).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), removed.alias("removed_words"),
     )
@@ -161,16 +165,16 @@ def kept_documents(docs: DataFrame, limits: Limits = Limits(), text: str = "text
 
     A column ``n_chars`` is brought up to date.
     """
-    rows = docs.select(*_keys(docs, text, host, doc_id), packed(docs), F.inline(measures(F.col(text))))
-    lost = removals(docs, limits, text, host, doc_id).withColumnsRenamed({"doc_id": "lost_id", "row_key": "lost_key"})
-    joined = rows.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_id")) & (F.col("row_key") == F.col("lost_key")), "left")
-    removed = F.coalesce("removed_words", F.lit(0).cast("long"))
-    passes = (F.col("n_words") >= limits.min_words) & (100 * F.col("n_repeat_words") <= limits.max_repeat_percent * F.col("n_words"))
-    kept = joined.filter(passes & (F.col("n_words") - removed >= F.col("n_words") * limits.min_left))
+    _, failed, depleted = _verdict(limits)
+    kept = _with_removals(profiles(docs, text, host, doc_id), limits).filter(~failed & ~depleted)
+    # equal rows have equal verdicts
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("row_key").alias("kept_key"), "removed_lines").dropDuplicates(["kept_id", "kept_key"])
+    rows = docs.select(*_keys(docs, text, host, doc_id), packed(docs))
+    out = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row_key") == F.col("kept_key")))
     old = F.col("row").getField(text)
     left = F.filter(F.split(old, "\n"), lambda line: ~F.array_contains(F.col("removed_lines"), text_key(normalised(line))))
     new = F.when(F.col("removed_lines").isNull(), old).otherwise(F.array_join(left, "\n"))
-    out = kept.withColumn("row", F.col("row").withField(f"`{text}`", new))
+    out = out.withColumn("row", F.col("row").withField(f"`{text}`", new))
     if "n_chars" in docs.columns:
         out = out.withColumn("row", F.col("row").withField("n_chars", F.char_length(F.col("row").getField(text)).cast(docs.schema["n_chars"].dataType)))
     return unpacked(out, docs)
