@@ -254,9 +254,9 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
 
 
 def _with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """a, b, and the named value of each."""
-    first = values.select(F.col("node").alias("a"), F.col(name).alias("x"))
-    second = values.select(F.col("node").alias("b"), F.col(name).alias("y"))
+    """a, b, and the named value of each; joined by key at every size, as pairs and values both grow."""
+    first = values.select(F.col("node").alias("a"), F.col(name).alias("x")).hint("merge")
+    second = values.select(F.col("node").alias("b"), F.col(name).alias("y")).hint("merge")
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
 
 
