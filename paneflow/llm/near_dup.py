@@ -7,14 +7,14 @@
 2. Improved consistent weighted sampling gives each document ``PASSES * BINS`` samples. In each
    pass a shingle falls into one bin by its hash and only competes there; an empty bin takes the
    sample of the next one that is not. Equal texts are one document from here on.
-3. ``BAND_ROWS`` samples make a band. In each bucket, every document is paired with pivots: its
-   least document, and one more by hash in each round. A pair whose samples agree in too few
-   places is dropped, the others are verified on their texts by weighted Jaccard similarity,
+3. ``BAND_ROWS`` samples make a band, which is a bucket. In each round a bucket's least documents, one
+   and then ``PIVOTS``, are compared with the later ones outside their class, and leave. A pair whose samples agree in
+   too few places is dropped, the others are verified on their texts by weighted Jaccard similarity,
    ``sum(min) / sum(max)`` of the weights, and linked at ``SIMILARITY`` or more.
-4. Classes are the connected components of the links. Rounds with other pivots, for documents in
-   buckets that still hold several classes, go on until one gives no new link.
+4. Classes are the connected components of the links. A bucket that is all of one class is done; rounds
+   go on until one gives no new link anywhere. A bucket of up to five is then compared in full.
 
-Nothing is compared pair by pair within a bucket, and a bucket's pairs grow with its size.
+So a round's pairs are no more than ``PIVOTS`` times the documents in the buckets still open.
 
 Cases: a text of one to four words is one shingle; texts without a word, and null ones, are in
 classes of their own; equal texts are one class; rows of one id and one text are one document;
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneflow.llm.common import chunks, components, mixed, packed, shingles_of, unpacked, words_of
@@ -40,8 +40,8 @@ DF_CELLS, DF_SLICES, IDF_SCALE = 1 << 20, 16, 0.25
 PASSES, BINS, BAND_ROWS = 5, 6, 3
 #: Of 30 samples a pair at 0.8 agrees in 24 on average; under 15 is five deviations off.
 LEAST_AGREEING = 15
-#: Rows that a Python task handles at once.
-BATCH = 256
+#: Documents of a bucket that are compared with the rest in a round after the first.
+PIVOTS = 4
 
 
 def _by_document(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,42 +221,44 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     links = written(members.join(several.select("doc_id", "a"), "doc_id").filter("node <> a").select("a", F.col("node").alias("b")), "near-links")
 
-    buckets = texts.select("node", "same", F.explode("bands").alias("band"))
-    full = buckets.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot < last")
-    state = written(buckets.join(full.select("band"), "band").select("band", "node", "same"), "near-buckets")
-    ids = state.select("node", "same").distinct()
-    held = rows.join(ids.withColumnRenamed("node", "doc_id"), ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"])
+    buckets = texts.select("node", F.explode("bands").alias("band"))
+    full = buckets.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
+    state = written(buckets.join(full.select("band"), "band").select("band", "node"), "near-buckets")
+    sampled = written(texts.join(state.select("node").distinct(), "node", "left_semi").select("node", "same", "samples"), "near-candidate-samples")
+    held = rows.join(sampled.select(F.col("node").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"])
     held = written(held.select(F.col("doc_id").alias("node"), "text"), "near-candidates")
-    sampled = written(texts.join(ids, ["node", "same"], "left_semi").select("node", "samples"), "near-candidate-samples")
 
-    pairs = state.join(full.select("band", "pivot"), "band").filter("node <> pivot")
+    rooted = state.withColumn("root", F.col("node"))
     tried, round_ = None, 0
     while True:
-        pairs = pairs.select(F.least("pivot", "node").alias("a"), F.greatest("pivot", "node").alias("b")).distinct()
+        several = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
+        open_ = written(rooted.join(several, "band"), f"near-open-{round_}")
+        order = F.row_number().over(Window.partitionBy("band").orderBy("node"))
+        pivots = open_.withColumn("n", order).filter(F.col("n") <= (PIVOTS if round_ else 1))
+        pivots = written(pivots.select("band", F.col("node").alias("pivot"), F.col("root").alias("own")), f"near-pivots-{round_}")
+        asked = open_.join(pivots, "band").filter("node > pivot and root <> own")
+        asked = asked.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("own").alias("root_a"), F.col("root").alias("root_b")).distinct()
         if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        near = written(_with_both(pairs, sampled, "samples").mapInArrow(_agreeing, "a long, b long"), f"near-pairs-{round_}")
+            asked = asked.join(tried, ["a", "b"], "left_anti")
+        asked = written(asked, f"near-asked-{round_}")
+        near = written(_with_both(asked.select("a", "b"), sampled, "samples").mapInArrow(_agreeing, "a long, b long"), f"near-pairs-{round_}")
         found = written(_with_both(near, held, "text").mapInArrow(_verifier(idf), "a long, b long"), f"near-links-{round_}")
         if round_ and found.isEmpty():
             return members, links
         links = links.union(found)
         tried = near if tried is None else tried.union(near)
         round_ += 1
-        # buckets of several classes get another pivot, to be compared with those outside its class
-        roots = components(links, "near")
-        rooted = state.join(roots, "node", "left").select("band", "node", "same", F.coalesce("root", "node").alias("root"))
-        by_hash = F.xxhash64("node", F.lit(round_))
-        pivots = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct(by_hash.alias("h"), "node", "root")).alias("p"))
-        pivots = written(pivots.filter("low < high").select("band", F.col("p.node").alias("pivot"), F.col("p.root").alias("own")), "near-pivots")
-        open_ = written(rooted.join(pivots, "band"), "near-open")
-        state = open_.select("band", "node", "same")
-        pairs = open_.filter("root <> own")
+        # the classes that the new links join
+        joined = asked.join(found, ["a", "b"], "left_semi").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        moved = components(joined, "near").select(F.col("node").alias("old"), F.col("root").alias("new"))
+        left = open_.join(pivots.groupBy("band").agg(F.max("pivot").alias("last")), "band").filter("node > last")
+        rooted = left.join(moved, F.col("root") == F.col("old"), "left").select("band", "node", F.coalesce("new", "root").alias("root"))
 
 
 def _with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """a, b, and the named value of each; joined by key at every size, as pairs and values both grow."""
-    first = values.select(F.col("node").alias("a"), F.col(name).alias("x")).hint("merge")
-    second = values.select(F.col("node").alias("b"), F.col(name).alias("y")).hint("merge")
+    """a, b, and the named value of each."""
+    first = values.select(F.col("node").alias("a"), F.col(name).alias("x"))
+    second = values.select(F.col("node").alias("b"), F.col(name).alias("y"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
 
 
