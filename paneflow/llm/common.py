@@ -111,8 +111,11 @@ def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         first = last
 
 
-def words_of(flat: np.ndarray, offsets: np.ndarray) -> Words:
-    """Lower-case words (ASCII case, and that of Latin-1 letters) as 64-bit hashes."""
+def words_of(flat: np.ndarray, offsets: np.ndarray, prefix: int | None = None) -> Words:
+    """Lower-case words (ASCII case, and that of Latin-1 letters) as 64-bit hashes.
+
+    With ``prefix`` only so many first bytes of a word count.
+    """
     low = _LOWER[flat]
     if len(flat) > 1:  # the two-byte capitals U+00C0 to U+00DE
         capital = (flat[1:] >= 0x80) & (flat[1:] <= 0x9E) & (flat[:-1] == 0xC3) & (flat[1:] != 0x97)
@@ -128,7 +131,10 @@ def words_of(flat: np.ndarray, offsets: np.ndarray) -> Words:
     first = np.nonzero(starts[at])[0]
     place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
     powers = np.cumprod(np.full(int(place.max()) + 1, _ODD))
-    hashes = mixed(np.add.reduceat((low[at].astype(np.uint64) + np.uint64(1)) * powers[place], first))
+    terms = (low[at].astype(np.uint64) + np.uint64(1)) * powers[place]
+    if prefix is not None:
+        terms[place >= prefix] = 0
+    hashes = mixed(np.add.reduceat(terms, first))
     doc = np.searchsorted(offsets, at[first], "right") - 1
     return Words(hashes, doc, np.cumsum(np.bincount(doc, minlength=len(offsets) - 1)))
 

@@ -1,0 +1,227 @@
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from paneflow.llm import chat, decontaminate, licenses, mixing, near_dup, quality, secrets, sharding, suffix_dedup, toxicity
+
+
+def texts(df):
+    return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
+
+
+# ---- suffix arrays
+
+
+def brute_repeats(rows, length):
+    first = {}
+    rows = [(d, t.encode()) for d, t in rows]
+    for d, t in rows:
+        for i in range(len(t) - length + 1):
+            w = t[i : i + length]
+            first[w] = min(first.get(w, 1 << 62), 1 << 62 if d is None else d)
+    out = []
+    for d, t in rows:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if first[t[i : i + length]] < (1 << 62 if d is None else d):
+                gone[i : i + length] = b"\1" * length
+        runs = len(re.findall(b"\1+", bytes(gone)))
+        out.append((d, len(t), sum(gone), runs, hashlib.sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("options", [{}, {"hot": 1, "parts": 5}])
+def test_repeats_by_brute_force(documents, options):
+    got = suffix_dedup.digests(suffix_dedup.deduplicated(documents, **options))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_repeats(texts(documents), 50)
+
+
+def test_repeats_odd(odd, empty):
+    some = odd.filter("doc_id is null or doc_id <> 7").withColumn("text", F.substring("text", 1, 3000))
+    got = suffix_dedup.digests(suffix_dedup.deduplicated(some))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_repeats(texts(some), 50)
+    assert suffix_dedup.deduplicated(empty).count() == 0
+
+
+# ---- chats
+
+
+def test_chat_parts_and_escapes(spark):
+    image = "named_struct('kind','image','text',null,'ref','u','width',56,'height',29,'seconds',null,'pages',null)"
+    say = "named_struct('kind','text','text','{}','ref',null,'width',null,'height',null,'seconds',null,'pages',null)"
+    turns = spark.sql(f"""
+        select 1L conv_id, 0L turn, 'user%0A' role, array({say.format("a <|im_end|> <~| b")}, {image}) parts union all
+        select 1L, 1L, 'assistant', array({say.format("<|x|>")}) union all
+        select 1L, 1L, null, null union all select null, null, 'a', array()""".replace("<~|", "<\\\\\\\\|"))
+    chats = chat.formatted_chats(turns.withColumn("parts", F.col("parts").cast(chat.PART_TYPE)))
+    row = chats.filter("conv_id = 1").select("*", chat.read_turns(F.col("formatted")).alias("t"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    assert row.loss == "<|x|>" and row.n_attachment_tokens == 4 and [a.ref for a in row.attachments] == ["u"]
+    assert [t.role for t in row.t] == ["user%0A", "", "assistant"] and row.t[0].text == "a <|im_end|> <\\\\| b<|image|>"
+    assert row.formatted.count("<|im_end|>") == 3 and chats.count() == 2
+    assert chat.formatted_chats(turns.limit(0).withColumn("parts", F.col("parts").cast(chat.PART_TYPE))).count() == 0
+
+
+# ---- near copies
+
+
+def shingles(text):
+    words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_near_copies_by_brute_force(spark, documents):
+    base = " ".join(f"w{n * 37 % 1009}" for n in range(300))
+    more = [(10_000 + k, base.replace(f"w{k * 370 % 1009} ", f"changed{k} ", 1), "en", "a", 1) for k in range(40)]
+    docs = documents.union(spark.createDataFrame(more, documents.schema))
+    got = dict(map(tuple, near_dup.classes(docs).collect()))
+    rows = [(d, shingles(t)) for d, t in texts(docs)]
+    assert set(got) == {d for d, _ in rows}
+    for i, (a, x) in enumerate(rows):
+        for b, y in rows[i + 1 :]:
+            likeness = len(x & y) / len(x | y) if x and y else 0
+            if likeness >= 0.88:
+                assert got[a] == got[b], (a, b, likeness)
+    for c in set(got.values()):  # nothing in a class without a likeness to another member
+        members = [(d, s) for d, s in rows if got[d] == c]
+        for d, x in members:
+            assert len(members) == 1 or max(len(x & y) / len(x | y) for e, y in members if e != d) > 0.6
+
+
+def test_near_copies_odd(odd, empty):
+    got = dict(map(tuple, near_dup.classes(odd).collect()))
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 8}
+    kept = near_dup.one_of_each(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 8]
+    assert near_dup.classes(empty).count() == 0
+
+
+# ---- licences
+
+
+def test_licenses(spark, empty):
+    grant, notice, as_is = (s for s, i in licenses.SENTENCES.items() if i in ("MITGrant", "MITNotice", "MITAsIs"))
+    rows = [(1, f"x\n{grant}. {notice}.\n{as_is}."), (2, "Licensed under the Apache License, Version 2.0.\nAll rights reserved."), (3, "a strange licence"), (4, None), (5, "")]
+    got = {r.doc_id: (r.licenses, r.n_unknown) for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("MIT", 0), 2: ("Apache-2.0,Proprietary", 0), 3: ("", 1), 4: ("", 0), 5: ("", 0)}
+    assert licenses.scanned(empty).count() == 0
+
+
+# ---- shards
+
+
+def test_shards(spark, documents, odd, empty):
+    many = documents.union(documents.limit(1).crossJoin(spark.range(300)).drop("id"))
+    got = sharding.sharded(many, shards=8).collect()
+    rows = sorted((d, len(t.encode()) + 16, zlib.crc32(t.encode())) for d, t in texts(many))
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == rows
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append((r.slot, r.size))
+    assert all(sorted(s for s, _ in x) == list(range(len(x))) for x in slots.values())
+    mean, most = sum(r.size for r in got) / 8, max(r.size for r in got)
+    assert all(abs(sum(n for _, n in slots[k]) - mean) <= most for k in range(8))
+    out = sharding.sharded_documents(odd, shards=3)
+    assert out.count() == odd.count() and "root" in out.columns
+    assert sharding.sharded(empty).count() == 0 and sharding.sharded_documents(empty).count() == 0
+
+
+# ---- rules
+
+
+def test_frequent_lines(spark, odd, empty):
+    prose = lambda k: "\n".join(" ".join(f"w{k}x{i}x{j}" for j in range(12)) for i in range(8))
+    banner = " ".join(f"banner{j}" for j in range(30))
+    rows = [(k, prose(k) + "\n" + banner, "en", "h", 0) for k in range(60)]
+    rows += [(100 + k, "\n".join([banner] * 40 + [f"only {k}"]), "en", "h", 0) for k in range(5)]
+    rows += [(200 + k, prose(999), "en", "h", 0) for k in range(50)]  # copies are no boilerplate
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.kept, r.removed_words) for r in quality.judged(docs).collect()}
+    assert all(got[k] == (True, 30) for k in range(60)) and all(not got[100 + k][0] for k in range(5))
+    assert all(got[200 + k] == (True, 0) for k in range(50))
+    kept = {r.doc_id: r for r in quality.kept_documents(docs).collect()}
+    assert set(kept) == set(range(60)) | set(range(200, 250)) and kept[3].text == prose(3) and kept[3].n_chars == len(prose(3))
+    assert quality.judged(odd).count() == odd.count() and quality.kept_documents(odd).columns == odd.columns
+    assert quality.judged(empty).count() == 0 and quality.kept_documents(empty).count() == 0
+
+
+# ---- mixing
+
+
+def test_mixing(spark, odd, empty):
+    docs = spark.range(4000).selectExpr("id as doc_id", "'abc' as text", "if(id < 3000, 'a', 'b') as source")
+    n = Counter(r.source_name for r in mixing.replicated(docs, weights={"a": 1, "b": 1}, whole=False).collect())
+    assert abs(n["a"] - 2000) < 200 and abs(n["b"] - 2000) < 200
+    heavy = Counter(r.source_name for r in mixing.replicated(docs.filter("doc_id > 2990"), weights={"a": 200, "b": 1}, whole=False).collect())
+    assert 700 < heavy["a"] < 1300  # a rate above one step
+    assert mixing.mixed_documents(odd).columns == odd.columns and mixing.mixed_documents(empty).count() == 0
+
+
+# ---- leaks
+
+
+def test_search_finds_all():
+    items = [(k, " ".join(f"t{(k * 7 + j * j) % 90}" for j in range(5 + k % 30))) for k in range(150)]
+    index = decontaminate.build(items)
+    for q in range(0, 90, 7):
+        terms = sorted({int(t) for t in range(len(index.terms)) if (t * 31 + q) % 3})
+        want = defaultdict(float)
+        for t in terms:
+            for p in range(index.first[t], index.first[t + 1]):
+                want[int(index.items[p])] += index.impacts[p]
+        for least in (0.3, 0.5, 0.7):
+            got = dict(decontaminate.search(index, terms, least))
+            assert set(got) == {i for i, s in want.items() if s >= least - 1e-9}
+
+
+def test_leaks_by_brute_force(spark, documents, odd, empty):
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    plain = lambda t: " ".join(re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower()))
+    want = {(d, r.item_id) for d, t in texts(documents) for r in items.collect() if plain(r.text) in plain(t)}
+    for limit in (20_000, 7):
+        got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents, items, limit=limit).collect()}
+        assert got == want and want
+    clean = {r.doc_id for r in decontaminate.clean_documents(documents, items).collect()}
+    assert clean == {d for d, _ in texts(documents)} - {d for d, _ in want}
+    assert decontaminate.clean_documents(odd, items).count() == odd.count()
+    assert decontaminate.leaks(empty, items).count() == 0 and decontaminate.leaks(documents, items.limit(0)).count() == 0
+
+
+# ---- secrets
+
+
+def test_secrets_by_brute_force(documents, odd, empty):
+    for docs in (documents, odd):
+        got = sorted((r.doc_id or 0, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets.digests(secrets.scanned(docs)).collect())
+        want = []
+        for d, t in texts(docs):
+            found = sorted(secrets.base_spans(t))
+            told = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in found)
+            n = Counter(k for _, k, _ in found)
+            want.append((d or 0, n[0], n[1], n[2], hashlib.sha256(told.encode()).hexdigest()))
+        assert got == sorted(want)
+    assert secrets.scanned(empty).count() == 0
+
+
+def test_novel_strings():
+    found = secrets.spans_of("the bearer is q9Zx71LmPw04TgVb83Hs and password_default example", secrets.Novelty())
+    assert [(k, s, e) for k, s, e, _ in found] == [("novel", 14, 34)]
+    assert secrets.spans_of("secret: access_token_refresh_token x", secrets.Novelty())[0][0] == "assign"
+    assert not secrets.spans_of("bearer access_token_refresh_token", secrets.Novelty())
+
+
+# ---- toxicity
+
+
+def test_toxicity_held_out(spark, odd, empty):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    half = labels.filter("doc_id % 2 = 0")
+    got = toxicity.graded(docs, half).join(labels.filter("doc_id % 2 = 1"), "doc_id").select("p_toxic", labels["toxic"].alias("want"))
+    n = Counter((bool(r.want), r.p_toxic >= 0.5) for r in got.select("want", "p_toxic").collect())
+    assert n[True, True] >= 0.7 * (n[True, True] + n[True, False]) and n[False, True] <= 0.01 * (n[False, True] + n[False, False])
+    assert toxicity.graded(odd, labels).count() == odd.count() and toxicity.graded(empty, labels).count() == 0
+    assert {r.severity for r in toxicity.graded(odd, labels.limit(0)).collect()} == {0.0}
