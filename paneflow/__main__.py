@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .functions import FIXED_PATTERN, PARITY_PATTERN
 from .plans.jobs import SideOutputs
 from .schema import APPEND_TABLE, JDBC_JOB_WINDOW, JDBC_TABLE, KEYED_JOB_WINDOW, TABLE_JOB_CADENCE
-from .session import SETTINGS
+from .session import SETTINGS, STREAM_SETTINGS
 from .sinks.jdbc import JdbcTarget
 from .sinks.table import create_append_table
 from .sources import kafka
@@ -32,7 +32,7 @@ def arguments() -> argparse.ArgumentParser:
     for name, cadence in (
         ("table", TABLE_JOB_CADENCE),
         ("jdbc", JDBC_JOB_WINDOW),
-        ("keyed", KEYED_JOB_WINDOW),
+        ("keyed", None),
     ):
         job = commands.add_parser(name)
         job.add_argument("--servers", required=True)
@@ -52,6 +52,8 @@ def arguments() -> argparse.ArgumentParser:
             job.add_argument("--table", default=JDBC_TABLE)
         else:
             job.add_argument("--store", required=True)
+            job.add_argument("--fire-by-count", action="store_true", help="put every 10 rows, the rest at the window's end")
+            job.add_argument("--shards", type=int, default=1, help="tasks that count a window's rows, with --fire-by-count")
             job.add_argument("--plain-clock", action="store_true", help="24-hour row keys with minutes")
     return parser
 
@@ -72,21 +74,28 @@ def start(spark: SparkSession, given: argparse.Namespace) -> StreamingQuery:
         password = os.environ.get("PANEFLOW_PASSWORD")
         target = JdbcTarget(given.url, given.driver, given.user, password, given.table)
         return jobs.start_jdbc_job(messages, given.checkpoint, target, sides, given.cadence)
-    return jobs.start_keyed_job(
-        messages,
-        given.checkpoint,
-        given.store,
-        sides,
-        given.cadence,
-        pattern=FIXED_PATTERN if given.plain_clock else PARITY_PATTERN,
-        order=kafka.TOPIC_ARRIVAL,
+    pattern = FIXED_PATTERN if given.plain_clock else PARITY_PATTERN
+    how = {"pattern": pattern, "order": kafka.TOPIC_ARRIVAL}
+    if not given.fire_by_count:
+        cadence = given.cadence or KEYED_JOB_WINDOW
+        return jobs.start_keyed_job(messages, given.checkpoint, given.store, sides, cadence, **how)
+    cadence = given.cadence or TABLE_JOB_CADENCE
+    # The gate's side outputs have queries, and offsets, of their own.
+    if given.dead_letters:
+        folder = f"{given.dead_letters}/messages"
+        jobs.start_dead_letters(messages, f"{given.checkpoint}-dead", folder, cadence)
+    if given.tap:
+        jobs.start_tap(messages, f"{given.checkpoint}-tap", given.tap, cadence)
+    sides = SideOutputs(given.dead_letters)
+    return jobs.start_keyed_job_by_count(
+        messages, given.checkpoint, given.store, sides, cadence, shards=given.shards, **how
     )
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     given = arguments().parse_args(argv)
     builder = SparkSession.builder.appName(f"paneflow-{given.job}")
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | STREAM_SETTINGS).items():
         builder = builder.config(key, value)
     start(builder.getOrCreate(), given).awaitTermination()
 

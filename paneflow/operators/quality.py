@@ -27,6 +27,7 @@ LENIENT = {
     "allowUnquotedFieldNames": "true",
     "allowSingleQuotes": "true",
     "allowUnquotedControlChars": "true",
+    "allowNonNumericNumbers": "false",
 }
 
 #: What parsing makes of a number literal it may have written differently: of a fraction or

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..schema import ARRIVAL, DEFAULT_BATCH_ROWS
 from .numbering import SLICE_ROWS, number_rows
 
+#: Batch numbers that one row of ``pane_counts`` is unfolded to at a time.
+NUMBER_BLOCK = 1 << 17
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -114,9 +116,18 @@ def batch_summary(members: DataFrame, row_id: str = ARRIVAL[-1]) -> DataFrame:
 
 def pane_counts(rows: DataFrame, size: str, threshold: int, ts: str = "ts") -> DataFrame:
     """Rows per batch, from the window counts alone: no row is numbered or moved."""
-    counted = tumbling_counts(rows, size, ts)
+    return batch_sizes(tumbling_counts(rows, size, ts), threshold)
+
+
+def batch_sizes(counted: DataFrame, threshold: int) -> DataFrame:
+    """The batches of windows of ``n`` rows. Their numbers are unfolded block by block, and the blocks
+    of a large window are spread, so that no array holds them all."""
     last = F.expr(f"(n - 1) div {int(threshold)}")
-    batches = counted.select("window_start", "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("batch_no"))
+    first = F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {int(threshold)} div {NUMBER_BLOCK}"))
+    blocks = counted.select("window_start", "n", F.explode(first).alias("block")).repartition("window_start", "block")
+    start = F.col("block") * NUMBER_BLOCK
+    numbers = F.sequence(start, F.least(last, start + (NUMBER_BLOCK - 1)))
+    batches = blocks.select("window_start", "n", F.explode(numbers).alias("batch_no"))
     held = F.least(F.lit(threshold).cast("long"), F.col("n") - F.col("batch_no") * threshold)
     return batches.select("window_start", "batch_no", held.alias("n"))
 

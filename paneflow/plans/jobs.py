@@ -1,8 +1,8 @@
 """The three jobs, each as what it does with one batch of messages.
 
 A batch is a replayed table or a stream's micro-batch: ``streaming.jobs`` calls the same
-functions from ``foreachBatch``. Every write is keyed by the batch's id and replaces what an
-earlier try of that batch wrote.
+functions from ``foreachBatch``. Every write is keyed by the load and the batch's id (``sinks.loads``)
+and replaces what an earlier try of that batch wrote; what other loads wrote stays.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import PARITY_PATTERN
@@ -28,6 +29,7 @@ from ..schema import (
     USER,
 )
 from ..sinks import jdbc, keyed, table
+from ..sinks.loads import DEFAULT_LOAD, batch_folder
 
 
 #: A folder, or what opens a client with ``put(rows)`` and ``close()``.
@@ -39,16 +41,22 @@ class SideOutputs:
     """What a job gives besides its target; None leaves an output out.
 
     ``dead_letters`` and ``tap`` are folders. ``report`` is called with the batch's id and its
-    messages per verdict.
+    messages per verdict, ``panes`` with the batch's id and a table of the rows per pane.
     """
 
     dead_letters: str | None = None
     tap: str | None = None
     report: Callable[[int, dict[str, int]], None] | None = None
+    panes: Callable[[int, DataFrame], None] | None = None
 
 
-def _write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch_id={int(batch_id)}")
+def _write_batch(rows: DataFrame, folder: str, batch_id: int, load_id: str) -> None:
+    rows.write.mode("overwrite").parquet(batch_folder(folder, batch_id, load_id))
+
+
+def _tell_panes(rows: DataFrame, batch_id: int, sides: SideOutputs, *pane: str) -> None:
+    if sides.panes:
+        sides.panes(batch_id, rows.groupBy(*pane).agg(F.count(F.lit(1)).alias("n")))
 
 
 @contextmanager
@@ -57,6 +65,7 @@ def _checked(
     batch_id: int,
     sides: SideOutputs,
     schema: T.StructType = USER,
+    load_id: str = DEFAULT_LOAD,
     reused: bool = False,
 ) -> Iterator[DataFrame]:
     """The classified batch, its side outputs written.
@@ -65,7 +74,7 @@ def _checked(
     with an executor are computed again from the source.
     """
     if sides.tap:
-        _write_batch(raw_tap(messages), sides.tap, batch_id)
+        _write_batch(raw_tap(messages), sides.tap, batch_id, load_id)
     classified = classify(messages, schema)
     if not (reused or sides.dead_letters or sides.report):
         yield classified
@@ -73,7 +82,7 @@ def _checked(
     classified = (classified if sides.dead_letters else classified.drop("value")).persist()
     try:
         if sides.dead_letters:
-            _write_batch(dead_letters(classified), f"{sides.dead_letters}/messages", batch_id)
+            _write_batch(dead_letters(classified), f"{sides.dead_letters}/messages", batch_id, load_id)
         if sides.report:
             counted = classified.groupBy("verdict").count().collect()
             sides.report(batch_id, {row["verdict"]: row["count"] for row in counted})
@@ -88,10 +97,11 @@ def load_table(
     target: str = APPEND_TABLE,
     sides: SideOutputs = SideOutputs(),
     schema: T.StructType = USER,
+    load_id: str = DEFAULT_LOAD,
 ) -> None:
     """Job A: good records to a table. No shuffle from the source to the files."""
-    with _checked(messages, batch_id, sides, schema) as classified:
-        table.append_batch(good_rows(classified), batch_id, target)
+    with _checked(messages, batch_id, sides, schema, load_id) as classified:
+        table.append_batch(good_rows(classified), batch_id, target, load_id)
 
 
 def jdbc_panes(good: DataFrame, window: str = JDBC_JOB_WINDOW, ts: str = ARRIVAL[0]) -> DataFrame:
@@ -106,12 +116,27 @@ def load_jdbc(
     target: jdbc.JdbcTarget,
     sides: SideOutputs = SideOutputs(),
     schema: T.StructType = USER,
+    load_id: str = DEFAULT_LOAD,
+    *,
+    window: str = JDBC_JOB_WINDOW,
+    ts: str = ARRIVAL[0],
+    keep: Sequence[str] = (),
     **how,
 ) -> bool:
-    """Job B: good records of the batch (its panes) to a database, all or nothing."""
-    with _checked(messages, batch_id, sides, schema) as classified:
-        rows = good_rows(classified).select(*schema.fieldNames())
-        return jdbc.append_batch(rows, batch_id, target, **how)
+    """Job B: good records of the batch, in panes, to a database, all or nothing.
+
+    A batch that holds several windows, as after an outage, has a pane for each. ``keep`` names
+    further columns that the target has, ``window_start`` or those of arrival.
+    """
+    with _checked(messages, batch_id, sides, schema, load_id) as classified:
+        panes = jdbc_panes(good_rows(classified), window, ts).persist()
+        try:
+            # The transfer has a task per connection. Here the gate runs at full width.
+            panes.count()
+            _tell_panes(panes, batch_id, sides, "window_start")
+            return jdbc.append_batch(panes.select(*schema.fieldNames(), *keep), batch_id, target, load_id, **how)
+        finally:
+            panes.unpersist()
 
 
 def load_keyed(
@@ -125,6 +150,7 @@ def load_keyed(
     pattern: str = PARITY_PATTERN,
     order: Sequence[str] = ARRIVAL,
     totals: str | None = None,
+    load_id: str = DEFAULT_LOAD,
 ) -> T.StructType:
     """Job C: good records as puts, tagged with window and batch, to a keyed store.
 
@@ -132,13 +158,20 @@ def load_keyed(
     (``sinks.keyed.put_partitions``). ``totals`` is a folder for the rows per window so far; without it each batch of messages
     is counted by itself. Gives the schema of the puts, which reading the store takes.
     """
-    with _checked(messages, batch_id, sides, reused=True) as classified:
+    with _checked(messages, batch_id, sides, load_id=load_id, reused=True) as classified:
         good = good_rows(classified)
+        put_aside(good, batch_id, sides, load_id)
         if totals is None:
             tagged = count_batches(good, window, batch_rows, order)
         else:
             tagged = carried_batches(good, window, batch_rows, totals, batch_id, order)
-        return put_tagged(tagged.drop("rn"), batch_id, store, sides, pattern=pattern, order=order)
+        return put_tagged(tagged.drop("rn"), batch_id, store, sides, load_id, pattern=pattern, order=order)
+
+
+def put_aside(good: DataFrame, batch_id: int, sides: SideOutputs, load_id: str = DEFAULT_LOAD) -> None:
+    """The records that no put can be made of, as dead letters."""
+    if sides.dead_letters:
+        _write_batch(keyed.incomplete_rows(good), f"{sides.dead_letters}/records", batch_id, load_id)
 
 
 def put_tagged(
@@ -146,16 +179,16 @@ def put_tagged(
     batch_id: int,
     store: KeyedStore,
     sides: SideOutputs = SideOutputs(),
+    load_id: str = DEFAULT_LOAD,
     *,
     pattern: str = PARITY_PATTERN,
     order: Sequence[str] = ARRIVAL,
 ) -> T.StructType:
-    """Write rows that have their window and batch; the incomplete ones are dead letters."""
-    if sides.dead_letters:
-        _write_batch(keyed.incomplete_rows(tagged), f"{sides.dead_letters}/records", batch_id)
+    """Write rows that have their window and batch; the incomplete ones are left out (``put_aside``)."""
+    _tell_panes(tagged, batch_id, sides, "window_start", "batch_no")
     puts = keyed.keyed_puts(tagged, ["window_start", "batch_no"], pattern, order)
     if callable(store):
         keyed.put_partitions(puts, store, order=order)
     else:
-        keyed.append_batch(puts, batch_id, store)
+        keyed.append_batch(puts, batch_id, store, load_id)
     return puts.schema

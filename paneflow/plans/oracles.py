@@ -177,6 +177,5 @@ from numbered group by all""",
     "uid, name, code from users",
     "job_keyed": f"with {KEYED_ROWS} {_cells('stored', 'rowkey, window_start, batch_no')}",
     "stream_resume": USER_ROWS,
-    "stream_windows": f"select * from ({_tumbling('1 hour')}) t "
-    "where window_start + interval '1 hour' <= (select max(ts) from events)",
+    "stream_windows": _tumbling("1 hour"),
 }

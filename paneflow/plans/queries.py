@@ -6,6 +6,7 @@ jobs write below the shared folder and read back what they wrote.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +33,12 @@ from ..operators.windows import (
 )
 from ..schema import JDBC_JOB_WINDOW, KEYED_JOB_WINDOW, USER
 from ..session import scratch_path
-from ..sinks import kafka, keyed, table
+from ..sinks import jdbc, kafka, keyed, table
 from ..sources.replay import message_stream
-from ..streaming.jobs import resumable, start_table_job
-from ..streaming.triggers import declared_windows
+from ..streaming.jobs import read_window_counts, start_table_job, start_window_counts
 from . import jobs
 from .messages import messages
+from .stand_in import FileDatabase
 
 FIELDS = USER.fieldNames()
 
@@ -221,8 +222,13 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jdbc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows handed to the JDBC writer, no database being at hand."""
-    return users(spark, sf_dir).select(*FIELDS)
+    """A batch staged, committed and run again, with files in the place of a database."""
+    target = jdbc.JdbcTarget("jdbc:files", "none")
+    database = FileDatabase(spark, scratch_path(spark, "jdbc"))
+    rows = users(spark, sf_dir).select(*FIELDS)
+    for _ in range(2):
+        jdbc.append_batch(rows, 0, target, connect=database.connect, write=database.write)
+    return database.rows(target.table)
 
 
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,9 +251,13 @@ def table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jdbc_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job B up to its database: the rows with the pane they are inserted in."""
-    paned = jobs.jdbc_panes(users(spark, sf_dir))
-    return paned.select("event_id", "window_start", *FIELDS)
+    """Job B, run twice, with files in the place of its database and the pane of each row kept."""
+    target = jdbc.JdbcTarget("jdbc:files", "none")
+    database = FileDatabase(spark, scratch_path(spark, "jdbc-job"))
+    how = {"keep": ("event_id", "window_start"), "connect": database.connect, "write": database.write}
+    for _ in range(2):
+        jobs.load_jdbc(event_messages(spark, sf_dir), 0, target, **how)
+    return database.rows(target.table)
 
 
 def keyed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,23 +277,32 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job A as a stream, ended and started again on its checkpoint: no row twice."""
+    """Job A as a stream, stopped after a micro-batch and started again twice on its checkpoint: the
+    second run takes the rest, the third finds nothing."""
     target = _append_target(spark, "stream-table")
-    checkpoint = scratch_path(spark, "stream-checkpoint")
+    checkpoint, folder = scratch_path(spark, "stream-checkpoint"), scratch_path(spark, "stream-events")
+    rows = events(spark, sf_dir)
+    rows.repartition(3, "event_id").write.parquet(folder)
+
+    def start(cadence: str | None):
+        stream = message_stream(spark, folder, rows.schema, files_per_trigger=1)
+        return start_table_job(messages(stream), checkpoint, target, cadence=cadence)
+
+    query = start("1 hour")
+    while query.isActive and not query.recentProgress:
+        time.sleep(0.1)
+    query.stop()
     for _ in range(2):
-        stream = messages(_event_stream(spark, sf_dir))
-        start_table_job(stream, checkpoint, target, cadence=None).awaitTermination()
+        start(None).awaitTermination()
     return table.read_table(spark, target)
 
 
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows that the watermark has closed, each written once."""
-    place = scratch_path(spark, "stream-windows")
-    counted = declared_windows(_event_stream(spark, sf_dir), WINDOW)
-    writer = counted.writeStream.format("parquet").option("path", place).outputMode("append")
-    resumable(writer, "windows", scratch_path(spark, "stream-checkpoint"), None).start().awaitTermination()
-    closed = spark.read.schema(counted.schema).parquet(place)
-    return closed.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    """Every window, summed up over the micro-batches that had rows of it."""
+    stream, place = _event_stream(spark, sf_dir), scratch_path(spark, "stream-windows")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    start_window_counts(stream, checkpoint, place, WINDOW, None).awaitTermination()
+    return read_window_counts(spark, place, stream.schema["ts"].dataType)
 
 
 QUERIES: dict[str, Query] = {

@@ -1,9 +1,9 @@
 """Puts to a keyed store: the last write to a row key wins.
 
-The store kept in files is a log of puts, a folder per micro-batch; a batch appends its own
-puts and rewrites none of what is there, so its cost does not grow with the store. Reading
-takes the latest put of each key. A batch that is run again replaces its folder, and the
-keys come from the rows, so nothing doubles. ``put_partitions`` feeds a real store instead.
+The store kept in files is a log of puts, a folder per load and micro-batch (``sinks.loads``); a
+batch appends its own puts and rewrites none of what is there, so its cost does not grow with the
+store. Reading takes the latest put of each key. A batch that is run again replaces its folder, and
+the keys come from the rows, so nothing doubles. ``put_partitions`` feeds a real store instead.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from ..functions.cells import cell_rows, cell_struct, complete
 from ..functions.keys import PARITY_PATTERN, row_key
 from ..operators.windows import latest
 from ..schema import ARRIVAL, CELL_FAMILY, DEFAULT_BATCH_ROWS, INCOMPLETE, OK
+from .loads import BATCH_ID, DEFAULT_LOAD, LOAD_ID, batch_folder
 
-BATCH_ID = "batch_id"
+#: The load of a compacted log.
+COMPACTED = "compacted"
 
 
 def keyed_puts(
@@ -50,25 +52,25 @@ def keyed_verdict() -> Column:
 
 def latest_puts(puts: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
     """The last put of each key."""
-    return latest(puts.drop(BATCH_ID), ["rowkey"], order)
+    return latest(puts.drop(LOAD_ID, BATCH_ID), ["rowkey"], order)
 
 
-def append_batch(puts: DataFrame, batch_id: int, folder: str) -> None:
+def append_batch(puts: DataFrame, batch_id: int, folder: str, load_id: str = DEFAULT_LOAD) -> None:
     """Write a batch's puts as its own folder of the log, sorted for lookups by key."""
-    path = f"{folder.rstrip('/')}/{BATCH_ID}={int(batch_id)}"
-    puts.sortWithinPartitions("rowkey").write.mode("overwrite").parquet(path)
+    puts.sortWithinPartitions("rowkey").write.mode("overwrite").parquet(batch_folder(folder, batch_id, load_id))
 
 
 def read_puts(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """The whole log; ``schema`` is that of the puts."""
-    logged = T.StructType([*schema.fields, T.StructField(BATCH_ID, T.LongType())])
+    ids = [T.StructField(LOAD_ID, T.StringType()), T.StructField(BATCH_ID, T.LongType())]
+    logged = T.StructType([*schema.fields, *ids])
     return spark.read.schema(logged).parquet(folder)
 
 
 def compact(spark: SparkSession, folder: str, schema: T.StructType, target: str,
             order: Sequence[str] = ARRIVAL) -> None:
-    """Write the log's winning puts, arrival included, as a new log with one batch."""
-    append_batch(latest_puts(read_puts(spark, folder, schema), order), 0, target)
+    """Write the log's winning puts, arrival included, as a new log of one load of one batch."""
+    append_batch(latest_puts(read_puts(spark, folder, schema), order), 0, target, COMPACTED)
 
 
 def put_cells(puts: DataFrame, keep: Sequence[str] = ("rowkey",)) -> DataFrame:

@@ -1,7 +1,8 @@
 """Append to a catalog table, a micro-batch at a time.
 
-The table is partitioned by the micro-batch's id and a batch overwrites its own partition,
-so a batch that is run again after a failure replaces what it wrote before.
+The table is partitioned by load and micro-batch (``sinks.loads``) and a batch overwrites its own
+partition, so a batch that is run again after a failure replaces what it wrote before, and a new
+load adds its rows to those that are there.
 """
 
 from __future__ import annotations
@@ -10,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..schema import APPEND_TABLE, USER
-
-BATCH_ID = "batch_id"
+from .loads import BATCH_ID, DEFAULT_LOAD, LOAD_ID, checked_load
 
 
 def create_append_table(
@@ -28,18 +28,18 @@ def create_append_table(
         home = f" LOCATION '{location}-database'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{home}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BATCH_ID} BIGINT) "
-        f"USING parquet PARTITIONED BY ({BATCH_ID}){place}"
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {LOAD_ID} STRING, {BATCH_ID} BIGINT) "
+        f"USING parquet PARTITIONED BY ({LOAD_ID}, {BATCH_ID}){place}"
     )
 
 
-def append_batch(rows: DataFrame, batch_id: int, table: str = APPEND_TABLE) -> None:
-    """Write a batch's rows as the table's partition ``batch_id``; one write, no shuffle."""
+def append_batch(rows: DataFrame, batch_id: int, table: str = APPEND_TABLE, load_id: str = DEFAULT_LOAD) -> None:
+    """Write a batch's rows as a partition of the table; one write, no shuffle."""
     spark = rows.sparkSession
-    columns = [c for c in spark.table(table).columns if c != BATCH_ID]
+    columns = [c for c in spark.table(table).columns if c not in (LOAD_ID, BATCH_ID)]
     spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH_ID} = {int(batch_id)}) "
-        "SELECT * FROM {rows}",
+        f"INSERT OVERWRITE TABLE {table} "
+        f"PARTITION ({LOAD_ID} = '{checked_load(load_id)}', {BATCH_ID} = {int(batch_id)}) SELECT * FROM {{rows}}",
         rows=rows.select(*columns),
     )
 
@@ -51,4 +51,4 @@ def append_rows(rows: DataFrame, table: str) -> None:
 
 
 def read_table(spark: SparkSession, table: str = APPEND_TABLE) -> DataFrame:
-    return spark.table(table).drop(BATCH_ID)
+    return spark.table(table).drop(LOAD_ID, BATCH_ID)

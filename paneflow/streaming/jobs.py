@@ -1,25 +1,32 @@
 """The three jobs as resumable streams.
 
 A query keeps offsets, state and commits in its checkpoint folder, so a stopped or failed run
-goes on where it was when it is started again with the same folder; a new folder starts afresh.
-A micro-batch that is run again overwrites its own output (``plans.jobs``).
+goes on where it was when it is started again with the same folder; a new folder is a new load.
+A micro-batch that is run again overwrites its own output, and a new load adds to what others wrote
+(``sinks.loads``).
 
 Windows of the clock need no state: micro-batches of ``Trigger.ProcessingTime(size)`` start on
-multiples of ``size``, so one micro-batch is one pane, and it is cut into batches where it is
-written. That holds whatever the rate, for the rows of a pane stay spread over the tasks.
+multiples of ``size``, so a micro-batch mostly is one pane; where it holds several (the first one,
+one after an outage) its rows are tagged with the window they arrived in. That holds whatever the
+rate, for the rows of a pane stay spread over the tasks.
 ``start_keyed_job`` can instead fire every few rows as they come, with state.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.keys import PARITY_PATTERN
 from ..operators.quality import classify, dead_letters, good_rows
 from ..operators.tap import raw_tap
+from ..operators.windows import tumbling_counts
 from ..plans import jobs as plans
 from ..plans.jobs import KeyedStore, SideOutputs
 from ..schema import (
@@ -31,6 +38,7 @@ from ..schema import (
     TABLE_JOB_CADENCE,
 )
 from ..sinks.jdbc import JdbcTarget
+from ..sinks.loads import batch_folder
 from .triggers import count_or_end
 
 
@@ -44,15 +52,26 @@ def resumable(
     return writer.trigger(availableNow=True) if cadence is None else writer.trigger(processingTime=cadence)
 
 
+def load_of(spark: SparkSession, checkpoint: str) -> str:
+    """The query's id as its checkpoint keeps it: the same after a restart, new with a new folder."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def start_batches(
     stream: DataFrame,
-    handle: Callable[[DataFrame, int], object],
+    handle: Callable[[DataFrame, int, str], object],
     name: str,
     checkpoint: str,
     cadence: str | None,
 ) -> StreamingQuery:
+    """Hand over each micro-batch with its id and that of its load."""
+
+    @cache
+    def load_id() -> str:
+        return load_of(stream.sparkSession, checkpoint)
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        handle(batch, batch_id)
+        handle(batch, batch_id, load_id())
 
     return resumable(stream.writeStream.foreachBatch(run), name, checkpoint, cadence).start()
 
@@ -73,8 +92,8 @@ def start_table_job(
 ) -> StreamingQuery:
     """Job A: messages to a table."""
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        plans.load_table(batch, batch_id, target, sides)
+    def load(batch: DataFrame, batch_id: int, load_id: str) -> None:
+        plans.load_table(batch, batch_id, target, sides, load_id=load_id)
 
     return start_batches(messages, load, "table-job", checkpoint, cadence)
 
@@ -89,8 +108,8 @@ def start_jdbc_job(
 ) -> StreamingQuery:
     """Job B: a window's messages to a database in one transaction."""
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        plans.load_jdbc(batch, batch_id, target, sides, **how)
+    def load(batch: DataFrame, batch_id: int, load_id: str) -> None:
+        plans.load_jdbc(batch, batch_id, target, sides, load_id=load_id, **how)
 
     return start_batches(messages, load, "jdbc-job", checkpoint, cadence)
 
@@ -115,7 +134,7 @@ def start_keyed_job(
     """
     totals = f"{checkpoint.rstrip('/')}-totals"
 
-    def load(batch: DataFrame, batch_id: int) -> None:
+    def load(batch: DataFrame, batch_id: int, load_id: str) -> None:
         plans.load_keyed(
             batch,
             batch_id,
@@ -126,6 +145,7 @@ def start_keyed_job(
             pattern=pattern,
             order=order,
             totals=totals,
+            load_id=load_id,
         )
 
     return start_batches(messages, load, "keyed-job", checkpoint, cadence)
@@ -149,19 +169,53 @@ def start_keyed_job_by_count(
     The gate runs ahead of the state, which holds good records only. Dead letters of the
     gate need a query of their own (``start_dead_letters``), with its own offsets.
     """
+    if cadence is None:
+        raise ValueError("batches that fire by the clock need a query that runs on")
     good = good_rows(classify(messages))
     fired = count_or_end(good, window, batch_rows, order, shards=shards)
 
-    def load(batch: DataFrame, batch_id: int) -> None:
+    def load(batch: DataFrame, batch_id: int, load_id: str) -> None:
         held = batch.persist()
         try:
-            plans.put_tagged(held, batch_id, store, sides, pattern=pattern, order=order)
+            plans.put_aside(held, batch_id, sides, load_id)
+            plans.put_tagged(held, batch_id, store, sides, load_id, pattern=pattern, order=order)
         finally:
             held.unpersist()
 
     return start_batches(fired, load, "keyed-job-by-count", checkpoint, cadence)
 
 
+def start_window_counts(
+    messages: DataFrame,
+    checkpoint: str,
+    folder: str,
+    size: str,
+    cadence: str | None = TABLE_JOB_CADENCE,
+    ts: str = ARRIVAL[0],
+) -> StreamingQuery:
+    """Rows per window, a partial count per micro-batch, so that a row counts however late it is.
+
+    ``read_window_counts`` sums them up. No state is held, and a row without a time is an error.
+    """
+
+    def count(batch: DataFrame, batch_id: int, load_id: str) -> None:
+        tumbling_counts(batch, size, ts).write.mode("overwrite").parquet(batch_folder(folder, batch_id, load_id))
+
+    return start_batches(messages, count, "window-counts", checkpoint, cadence)
+
+
+def read_window_counts(spark: SparkSession, folder: str, time: T.DataType | None = None) -> DataFrame:
+    """``window_start, n`` of all windows so far; ``time`` is the type of the arrival time."""
+    kind = T.StructType([T.StructField("window_start", time or T.TimestampType()), T.StructField("n", T.LongType())])
+    return spark.read.schema(kind).parquet(folder).groupBy("window_start").agg(F.sum("n").alias("n"))
+
+
+def start_tap(messages: DataFrame, checkpoint: str, folder: str, cadence: str | None = TABLE_JOB_CADENCE) -> StreamingQuery:
+    """All raw messages as files of their own, each once."""
+    writer = raw_tap(messages).writeStream.format("parquet").option("path", folder)
+    return resumable(writer, "raw-tap", checkpoint, cadence).start()
+
+
 def start_dead_letters(
     messages: DataFrame, checkpoint: str, folder: str, cadence: str | None = TABLE_JOB_CADENCE
 ) -> StreamingQuery:

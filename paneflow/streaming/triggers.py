@@ -8,7 +8,11 @@ shard counts for itself: a batch still has at most the threshold rows, but a win
 ``operators.carry`` numbers the batches of the whole window on all tasks.
 
 Firing at a window's end without new input needs a query that runs on (a processing-time
-trigger); ``availableNow`` stops before the timers are due.
+trigger); with ``availableNow`` a query waits for its timers and may not end.
+
+A shard's rows of one micro-batch are put in arrival order in memory; the source's limit per trigger
+and the number of shards bound them. Counters are kept for every window, a few numbers each, so that
+rows that come after the window's end are numbered on.
 """
 
 from __future__ import annotations
@@ -44,9 +48,9 @@ def _keyed(rows: DataFrame, size: str, order: Sequence[str], shards: int) -> Dat
 class CountOrEnd(StatefulProcessor):
     """Emit and clear on every ``threshold`` rows; emit the rest at the window's end.
 
-    The state holds fewer than ``threshold`` rows. Rows of a window that come after its end
-    (a stream that lags behind the arrival times) go out one window length later, under
-    further batch numbers.
+    The state holds fewer than ``threshold`` rows between micro-batches. Rows of a window that come
+    after its end (a stream that lags behind the arrival times) go out one window length later, under
+    further batch numbers, however late they come.
     """
 
     def __init__(self, threshold: int, size_ms: int, row: T.StructType, order: Sequence[str]):
@@ -63,43 +67,35 @@ class CountOrEnd(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         known = self.counts.exists()
         held, batches = self.counts.get() if known else (0, 0)
+        now, end = timerValues.getCurrentProcessingTimeInMs(), key[0] + self.size_ms
         if not known:
-            now = timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer(max(key[0] + self.size_ms, now + 1))
-        # A part at a time: what is in memory is one part and the rows held so far.
-        for part in rows:
-            fresh = part[self.row.fieldNames()].sort_values(self.order)
-            if held + len(fresh) < self.threshold:
-                self.rows.appendList(list(fresh.itertuples(index=False, name=None)))
-                held += len(fresh)
-                continue
-            if held:
-                fresh = pd.concat([self._held(), fresh], ignore_index=True)
-            full = len(fresh) // self.threshold
-            done, rest = fresh.iloc[: full * self.threshold], fresh.iloc[full * self.threshold :]
-            batch_no = batches + np.arange(len(done)) // self.threshold
-            self.rows.clear()
-            if len(rest):
-                self.rows.put(list(rest.itertuples(index=False, name=None)))
-            held, batches = len(rest), batches + full
-            yield self._tagged(key, done, batch_no, "count")
-        self.counts.update((held, batches))
+            self.handle.registerTimer(max(end, now + 1))
+        elif not held and now >= end:
+            self.handle.registerTimer(now + self.size_ms)
+        # The parts come in no order, so they are sorted as one.
+        fresh = pd.concat(list(rows), ignore_index=True)[self.row.fieldNames()].sort_values(self.order)
+        if held + len(fresh) < self.threshold:
+            self.rows.appendList(list(fresh.itertuples(index=False, name=None)))
+            self.counts.update((held + len(fresh), batches))
+            return
+        if held:
+            fresh = pd.concat([self._held(), fresh], ignore_index=True)
+        full = len(fresh) // self.threshold
+        done, rest = fresh.iloc[: full * self.threshold], fresh.iloc[full * self.threshold :]
+        batch_no = batches + np.arange(len(done)) // self.threshold
+        self.rows.clear()
+        if len(rest):
+            self.rows.put(list(rest.itertuples(index=False, name=None)))
+        self.counts.update((len(rest), batches + full))
+        yield self._tagged(key, done, batch_no, "count")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         held, batches = self.counts.get()
-        now = timerValues.getCurrentProcessingTimeInMs()
         if held:
             done = self._held()
             self.rows.clear()
-            batches += 1
-            self.counts.update((0, batches))
-            # The batch counter stays for one more window, for rows that come late.
-            self.handle.registerTimer(now + self.size_ms)
-            yield self._tagged(key, done, np.full(len(done), batches - 1), "window_end")
-        elif now < key[0] + 2 * self.size_ms:
-            self.handle.registerTimer(key[0] + 2 * self.size_ms)
-        else:
-            self.counts.clear()
+            self.counts.update((0, batches + 1))
+            yield self._tagged(key, done, np.full(len(done), batches), "window_end")
 
     def _held(self) -> pd.DataFrame:
         return pd.DataFrame(list(self.rows.get()), columns=self.row.fieldNames())
@@ -139,8 +135,7 @@ class EarlyPanes(StatefulProcessor):
     """Fire without clearing, by count, by interval and at the window's end.
 
     The state is five numbers, for a pane is told by its length: the rows themselves are
-    not held. A micro-batch's times and ids (of one shard) are sorted in memory; the source's
-    limit per trigger bounds them. Rows that come after their window's end are counted anew.
+    not held. Rows that come after their window's end count on and fire one window length later.
     """
 
     def __init__(self, limit: int, interval_us: int, size_ms: int, order: Sequence[str], row_id: str):
@@ -159,8 +154,11 @@ class EarlyPanes(StatefulProcessor):
         known = self.state.exists()
         c, d, n, panes, last = self.state.get() if known else (0, UNSET, 0, 0, None)
         now = timerValues.getCurrentProcessingTimeInMs()
+        end = key[0] + self.size_ms
         if not known:
-            self.handle.registerTimer(max(key[0] + self.size_ms, now + 1))
+            self.handle.registerTimer(max(end, now + 1))
+        elif now >= end:
+            self.handle.registerTimer(now + self.size_ms)
         ids = fresh[self.order[-1]].tolist()
         fired, c, d = replay_block(fresh["at_us"].to_numpy(), c, d, self.limit, self.interval_us)
         found = [
@@ -168,7 +166,7 @@ class EarlyPanes(StatefulProcessor):
         ]
         self.state.update((c, d, n + len(ids), panes + len(found), ids[-1]))
         due = -(-d // 1000)
-        if c and due < key[0] + self.size_ms:
+        if c and due < end:
             self.handle.registerTimer(max(due, now + 1))
         if found:
             yield self._described(key, panes, found)
@@ -181,7 +179,7 @@ class EarlyPanes(StatefulProcessor):
         end_us = (key[0] + self.size_ms) * 1000
         if at_ms * 1000 >= end_us:
             fired = end_pane(c, d, end_us)
-            self.state.clear()
+            self.state.update((0, UNSET, n, panes + len(fired), last))
         elif c and d <= at_ms * 1000:
             fired = [(d, "interval")]
             self.state.update((0, UNSET, n, panes + 1, last))
@@ -236,11 +234,13 @@ def early_panes(
     )
 
 
-def declared_windows(rows: DataFrame, size: str, lateness: str = "0 seconds", ts: str = ARRIVAL[0]) -> DataFrame:
-    """Window counts by the watermark: no Python state, but a window is given only once later
-    messages move the watermark past its end."""
+def declared_windows(rows: DataFrame, size: str, lateness: str, ts: str = ARRIVAL[0]) -> DataFrame:
+    """Window counts by the watermark, each given once: when later messages move the watermark past its
+    end. Rows later than ``lateness`` are not in them, nor are windows still open; where every row must
+    count use ``streaming.jobs.start_window_counts``. A row without a time is an error."""
+    missing = F.raise_error(F.lit(f"a message has no arrival time ({ts})"))
     return (
-        rows.withColumn(ts, F.col(ts).cast("timestamp"))
+        rows.withColumn(ts, F.coalesce(F.col(ts), missing).cast("timestamp"))
         .withWatermark(ts, lateness)
         .groupBy(F.window(ts, size))
         .agg(F.count(F.lit(1)).alias("n"))

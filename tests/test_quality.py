@@ -146,3 +146,10 @@ def test_every_message_has_one_verdict(spark, values):
     for row in rows:
         assert row.verdict in {"blank", "bad_json", "not_object", "bad_field", "ok"}
         assert (row.record is not None) == (row.verdict == "ok")
+
+
+def test_what_is_no_number_is_no_json(spark):
+    lines = ['{"uid":NaN}', '{"uid":Infinity}', '{"uid":-Infinity}', '{"uid":"NaN"}', '{"uid":1e999}']
+    rows = classify(messages_frame(spark, lines)).orderBy("event_id").collect()
+    assert [r.verdict for r in rows] == ["bad_json"] * 3 + ["ok"] * 2
+    assert rows[3].record.uid == "NaN" and rows[4].record.uid == "1e999"

@@ -1,4 +1,5 @@
 import json
+import re
 import uuid
 from pathlib import Path
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from paneflow.operators.quality import classify, good_rows
 from paneflow.plans import jobs
 from paneflow.plans.jobs import SideOutputs
+from paneflow.plans.stand_in import FileDatabase
 from paneflow.sinks import jdbc, kafka, keyed, table
 from paneflow.sources import kafka as topics
 from paneflow.sources import line_table
@@ -84,7 +86,7 @@ class Ledgered:
 
     def executeQuery(self, sql):
         self.log.append(sql)
-        self.asked = int(sql.rsplit("=", 1)[1])
+        self.asked = tuple(re.search(r"load_id = '(.+)' and batch_id = (.+)", sql).groups())
         return self
 
     def next(self):
@@ -102,7 +104,7 @@ class Ledgered:
     def commit(self):
         for sql in self.pending:
             if sql.startswith("insert into user_tbl_batches"):
-                self.ledger.add(int(sql.split("(")[-1].rstrip(")")))
+                self.ledger.add(re.search(r"values \('(.+)', (.+)\)", sql).groups())
         self.pending = []
 
     def rollback(self):
@@ -115,13 +117,14 @@ class Ledgered:
 TARGET = jdbc.JdbcTarget("jdbc:x://host/db", "org.example.Driver", "u", "secret", rows_per_statement=10)
 
 
-def run_jdbc(spark, ledger, batch_id=3, fail_on=None):
+def run_jdbc(spark, ledger, batch_id=3, fail_on=None, load_id="load"):
     written = []
     connection = Ledgered(ledger, fail_on)
     done = jobs.load_jdbc(
         messages_frame(spark, GOLDEN + DEFECTS),
         batch_id,
         TARGET,
+        load_id=load_id,
         connect=lambda spark, target: connection,
         write=lambda rows, target, name, mode: written.append((rows.columns, rows.count(), name, mode)),
     )
@@ -131,20 +134,23 @@ def run_jdbc(spark, ledger, batch_id=3, fail_on=None):
 def test_jdbc_batch_is_staged_and_committed_with_its_ledger_entry(spark):
     ledger = set()
     done, written, log = run_jdbc(spark, ledger)
-    assert done and ledger == {3}
-    assert written == [(FIELDS, 17, "user_tbl_stage_3", "overwrite")]
+    staging = TARGET.staging_table(3, "load")
+    assert done and ledger == {("load", "3")} and re.fullmatch(r"user_tbl_stage_[0-9a-f]{12}_3", staging)
+    assert written == [(FIELDS, 17, staging, "overwrite")]
     assert log == [
-        "select count(*) from user_tbl_batches where batch_id = 3",
-        "insert into user_tbl(uid, name, code) select uid, name, code from user_tbl_stage_3",
-        "insert into user_tbl_batches(batch_id) values (3)",
-        "drop table user_tbl_stage_3",
+        "select count(*) from user_tbl_batches where load_id = 'load' and batch_id = 3",
+        f"insert into user_tbl(uid, name, code) select uid, name, code from {staging}",
+        "insert into user_tbl_batches(load_id, batch_id) values ('load', 3)",
+        f"drop table if exists {staging}",
         "close",
     ]
 
 
 def test_jdbc_batch_run_again_writes_nothing(spark):
-    done, written, log = run_jdbc(spark, {3})
-    assert not done and not written and log[-1] == "close"
+    done, written, log = run_jdbc(spark, {("load", "3")})
+    assert not done and not written and log[-2:] == [f"drop table if exists {TARGET.staging_table(3)}", "close"]
+    ledger = {("load", "3")}
+    assert run_jdbc(spark, ledger, load_id="other")[0] and ledger == {("load", "3"), ("other", "3")}
 
 
 def test_jdbc_failure_leaves_the_ledger_alone(spark):
@@ -152,7 +158,7 @@ def test_jdbc_failure_leaves_the_ledger_alone(spark):
     with pytest.raises(RuntimeError):
         run_jdbc(spark, ledger, fail_on="user_tbl_batches(")
     assert not ledger
-    assert run_jdbc(spark, ledger)[0] and ledger == {3}
+    assert run_jdbc(spark, ledger)[0] and ledger == {("load", "3")}
 
 
 def test_a_driver_that_does_not_take_the_url_is_an_error(spark):
@@ -192,7 +198,38 @@ def test_keyed_store_keeps_the_last_put(spark, tmp_path):
     ]
     keyed.compact(spark, folder, puts.schema, str(tmp_path / "compacted"))
     compacted = keyed.read_puts(spark, str(tmp_path / "compacted"), puts.schema)
-    assert compacted.drop("batch_id").collect() == keyed.latest_puts(log).select(puts.columns).collect()
+    assert compacted.drop("load_id", "batch_id").collect() == keyed.latest_puts(log).select(puts.columns).collect()
+
+
+def test_a_new_load_adds_to_the_old_one(spark, target, tmp_path):
+    sides = SideOutputs(str(tmp_path / "dead"), str(tmp_path / "tap"))
+    store = str(tmp_path / "store")
+    for load, lines in (("first", [*GOLDEN[:10], "bad"]), ("second", [*GOLDEN[10:14], "[1]"])):
+        frame = messages_frame(spark, lines)
+        for _ in range(2):
+            jobs.load_table(frame, 0, target, sides, load_id=load)
+            schema = jobs.load_keyed(frame, 0, store, load_id=load)
+    assert table.read_table(spark, target).count() == 14
+    assert spark.read.parquet(sides.tap).count() == 16
+    assert spark.read.parquet(f"{sides.dead_letters}/messages").count() == 2
+    assert keyed.read_puts(spark, store, schema).count() == 14
+    small = str(tmp_path / "small")
+    keyed.compact(spark, store, schema, small)
+    jobs.load_keyed(messages_frame(spark, GOLDEN[14:]), 0, small)
+    assert keyed.latest_puts(keyed.read_puts(spark, small, schema)).count() == 16
+    with pytest.raises(ValueError):
+        table.append_batch(golden(spark), 0, target, "no'id")
+
+
+def test_jdbc_job_tells_its_panes(spark, tmp_path):
+    told, database = [], FileDatabase(spark, str(tmp_path))
+    sides = SideOutputs(panes=lambda batch_id, panes: told.extend((batch_id, r.n) for r in panes.orderBy("window_start").collect()))
+    frame = messages_frame(spark, GOLDEN).withColumn("ts", F.expr("timestampadd(MINUTE, cast(event_id as int), ts)"))
+    how = {"window": "8 minutes", "connect": database.connect, "write": database.write}
+    for load in ("a", "a", "b"):
+        jobs.load_jdbc(frame, 7, TARGET, sides, load_id=load, **how)
+    assert sum(n for _, n in told) == 48 and len(told) >= 6
+    assert database.rows(TARGET.table).count() == 32
 
 
 def test_keyed_job_dead_letters_the_incomplete(spark, tmp_path):

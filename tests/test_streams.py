@@ -68,6 +68,26 @@ def test_a_stopped_stream_goes_on_where_it_was(spark, tmp_path, target):
     assert spark.read.parquet(f"{sides.dead_letters}/messages").count() == 2
 
 
+def test_another_checkpoint_adds_rows(spark, tmp_path, target):
+    for k, lines in enumerate((GOLDEN[:10], GOLDEN[10:14])):
+        folder, schema = stored(spark, tmp_path / str(k), lines, 1)
+        for _ in range(2):
+            source = message_stream(spark, folder, schema)
+            jobs.start_table_job(source, str(tmp_path / f"c{k}"), target, cadence=None).awaitTermination()
+    assert table.read_table(spark, target).count() == 14
+
+
+def test_late_rows_count_in_their_window(spark, tmp_path):
+    frame = messages_frame(spark, GOLDEN)
+    folder, place = str(tmp_path / "messages"), str(tmp_path / "counts")
+    for part in ("event_id >= 8", "event_id < 8"):  # the earlier rows come last
+        frame.filter(part).coalesce(1).write.mode("append").parquet(folder)
+        source = message_stream(spark, folder, frame.schema, files_per_trigger=1)
+        jobs.start_window_counts(source, str(tmp_path / "c"), place, "5 seconds", None).awaitTermination()
+    counted = jobs.read_window_counts(spark, place, frame.schema["ts"].dataType)
+    assert sorted(r.n for r in counted.collect()) == [1, 5, 5, 5]
+
+
 def test_keyed_job_as_a_stream(spark, tmp_path):
     folder, schema = stored(spark, tmp_path, GOLDEN, 1)
     store = str(tmp_path / "store")
@@ -88,7 +108,7 @@ def test_batches_go_on_over_micro_batches(spark, tmp_path):
     # The last micro-batch run again, as after a failure before its commit.
     last = puts.filter("batch_id = 2").collect()
     again = messages_frame(spark, GOLDEN).filter("event_id in ({})".format(",".join(str(r.event_id) for r in last)))
-    load_keyed(again, 2, store, totals=f"{checkpoint}-totals")
+    load_keyed(again, 2, store, totals=f"{checkpoint}-totals", load_id=last[0].load_id)
     assert sorted(map(str, spark.read.parquet(store).filter("batch_id = 2").collect())) == sorted(map(str, last))
 
 
@@ -108,7 +128,8 @@ def test_jdbc_job_hands_over_a_window_at_a_time(spark, tmp_path):
         connect=lambda spark, target: Connection(),
         write=lambda rows, target, name, mode: seen.append((name, rows.count())),
     ).awaitTermination()
-    assert seen == [("user_tbl_stage_0", 16)]
+    ((name, n),) = seen
+    assert name.startswith("user_tbl_stage_") and n == 16
 
 
 def test_dead_letters_and_taps_as_streams(spark, tmp_path):
@@ -139,6 +160,23 @@ def test_ten_by_count_and_six_by_the_clock(spark, tmp_path):
     assert len({r.window_start for r in rows}) == 1
 
 
+def test_batches_follow_arrival_whatever_the_parts(spark, tmp_path):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        folder = str(tmp_path / "messages")
+        frame = messages_frame(spark, GOLDEN)
+        frame.coalesce(1).sortWithinPartitions(F.desc("event_id")).write.parquet(folder)
+        source = message_stream(spark, folder, frame.schema).withColumn("ts", F.current_timestamp())
+        fired = count_or_end(source, "6 seconds", 8, shards=1)
+        name = f"fired_{uuid.uuid4().hex}"
+        writer = fired.writeStream.format("memory").outputMode("append")
+        query = jobs.resumable(writer, name, str(tmp_path / "c"), "1 second").start()
+        rows = collected(spark, query, name, lambda rows: len(rows) == 16)
+        assert {(r.event_id, r.batch_no) for r in rows} == {(n, n // 8) for n in range(16)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_shards_keep_batches_within_the_threshold(spark, tmp_path):
     fired = count_or_end(clocked(spark, tmp_path), "6 seconds", 5, shards=3)
     name = f"fired_{uuid.uuid4().hex}"
@@ -184,13 +222,13 @@ def test_keyed_job_by_count(spark, tmp_path):
         query.stop()
     puts = spark.read.parquet(store)
     assert sorted((r.batch_no, r["count"]) for r in puts.groupBy("batch_no").count().collect()) == [(0, 10), (1, 6)]
-    schema = puts.drop("batch_id").schema
+    schema = puts.drop("load_id", "batch_id").schema
     assert keyed.latest_puts(keyed.read_puts(spark, store, schema)).count() == 16
 
 
 def test_watermarked_windows_are_written_once(spark, tmp_path):
     folder, schema = stored(spark, tmp_path, GOLDEN, 1)
-    counted = declared_windows(message_stream(spark, folder, schema), "5 seconds")
+    counted = declared_windows(message_stream(spark, folder, schema), "5 seconds", "0 seconds")
     place = str(tmp_path / "windows")
     writer = counted.writeStream.format("parquet").option("path", place).outputMode("append")
     jobs.resumable(writer, "windows", str(tmp_path / "c"), None).start().awaitTermination()

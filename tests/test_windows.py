@@ -10,6 +10,8 @@ from paneflow.operators import panes as panes_module
 from paneflow.operators.carry import carried_batches
 from paneflow.operators.panes import panes, panes_by_count
 from paneflow.operators.windows import (
+    NUMBER_BLOCK,
+    batch_sizes,
     batch_summary,
     count_batches,
     duration_micros,
@@ -213,8 +215,17 @@ def test_carried_batches_are_those_of_the_rows_in_one(spark, tmp_path):
     }
 
 
-def test_totals_are_kept_for_recent_windows(spark, tmp_path):
+def test_sizes_of_batches_of_a_very_large_window(spark):
+    counted = spark.sql("select 0 as window_start, 3000000000L as n")
+    sizes = batch_sizes(counted, 1)
+    assert len(sizes.limit(5).collect()) == 5
+    few = batch_sizes(spark.sql(f"select 0 as window_start, {NUMBER_BLOCK * 3 + 2}L as n"), 2)
+    assert few.count() == NUMBER_BLOCK * 3 // 2 + 1
+    assert few.agg(F.sum("n")).first()[0] == NUMBER_BLOCK * 3 + 2
+
+
+def test_totals_are_kept_for_all_windows(spark, tmp_path):
     rows = made_rows(12, n=100)
-    carried_batches(frame_of(spark, rows), "1 hour", 7, str(tmp_path), 0, keep_windows=2)
+    carried_batches(frame_of(spark, rows), "1 hour", 7, str(tmp_path), 0)
     kept = spark.read.parquet(str(tmp_path / "batch_id=0"))
-    assert sorted(r.window_start for r in kept.collect()) == sorted(by_window(rows))[-2:]
+    assert sorted(r.window_start for r in kept.collect()) == sorted(by_window(rows))
