@@ -7,14 +7,19 @@
 2. Improved consistent weighted sampling gives each document ``PASSES * BINS`` samples. In each
    pass a shingle falls into one bin by its hash and only competes there; an empty bin takes the
    sample of the next one that is not. Equal texts are one document from here on.
-3. ``BAND_ROWS`` samples make a band, which is a bucket. In each round a bucket's least documents, one
-   and then ``PIVOTS``, are compared with the later ones outside their class, and leave. A pair whose samples agree in
-   too few places is dropped, the others are verified on their texts by weighted Jaccard similarity,
-   ``sum(min) / sum(max)`` of the weights, and linked at ``SIMILARITY`` or more.
-4. Classes are the connected components of the links. A bucket that is all of one class is done; rounds
-   go on until one gives no new link anywhere. A bucket of up to five is then compared in full.
-
-So a round's pairs are no more than ``PIVOTS`` times the documents in the buckets still open.
+3. ``BAND_ROWS`` samples make a band, which is a bucket. First each bucket's least document is
+   compared with the others of the bucket, which joins a group of near copies at a linear cost. Pairs
+   are dropped if too few of their samples agree, and else verified on their texts by weighted
+   Jaccard similarity, ``sum(min) / sum(max)`` of the weights: ``SIMILARITY`` or more is a link.
+4. A bucket that is not one class by then is compared in full. It is dealt by hash into blocks of
+   about ``BLOCK_BYTES``, and each pair of blocks is one small group of rows. Where samples agree, the
+   texts are added and the pairs verified in the task, which gives only the links that join
+   something: fewer than it has documents. A pair is looked at in the first band that it shares.
+5. Classes are the connected components of the links.
+
+So no step gives pairs by the square of a bucket, and no bucket is left out. The time of step 4 does
+grow with the square of the documents of a bucket that are alike but no near copies; any number of
+tasks can share it.
 
 Cases: a text of one to four words is one shingle; texts without a word, and null ones, are in
 classes of their own; equal texts are one class; rows of one id and one text are one document;
@@ -28,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paneflow.llm.common import chunks, components, mixed, packed, shingles_of, unpacked, words_of
@@ -40,8 +45,8 @@ DF_CELLS, DF_SLICES, IDF_SCALE = 1 << 20, 16, 0.25
 PASSES, BINS, BAND_ROWS = 5, 6, 3
 #: Of 30 samples a pair at 0.8 agrees in 24 on average; under 15 is five deviations off.
 LEAST_AGREEING = 15
-#: Documents of a bucket that are compared with the rest in a round after the first.
-PIVOTS = 4
+#: A block's bytes, with ``DOC_BYTES`` more for each document: at most 1,024 documents, on average.
+BLOCK_BYTES, DOC_BYTES = 1 << 20, 1 << 10
 
 
 def _by_document(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,8 +161,9 @@ def _signer(idf):
                         batch.column(1).slice(first, last - first),
                         pa.array([row.tobytes() if ok else None for row, ok in zip(low, has, strict=True)], pa.binary()),
                         pa.array([row.view(np.int64) if ok else None for row, ok in zip(key, has, strict=True)], pa.list_(pa.int64())),
+                        pa.array(np.diff(offsets) + DOC_BYTES, pa.int64()),
                     ],
-                    ["doc_id", "same", "samples", "bands"],
+                    ["doc_id", "same", "samples", "bands", "bytes"],
                 )
 
     return sign
@@ -193,66 +199,157 @@ def _verifier(idf):
             for start in range(0, batch.num_rows, 16):
                 part = batch.slice(start, 16)
                 texts = pa.concat_arrays([part.column(2), part.column(3)])
-                n, links = part.num_rows, []
-                doc, h, w = [], [], []
-                for first, _, flat, offsets in chunks(texts):
-                    d, x, y = weighted_shingles(flat, offsets, idf.value)
-                    doc.append(d + first), h.append(x), w.append(y.astype(np.float64))
-                doc, h, w = map(np.concatenate, (doc, h, w))
+                n = part.num_rows
+                doc, h, w = _shingles_in_parts(texts, idf.value)
                 links = [similarity(doc, h, w, k, n + k) >= SIMILARITY - 1e-6 for k in range(n)]
                 yield pa.RecordBatch.from_arrays([part.column(k).filter(pa.array(links, pa.bool_())) for k in (0, 1)], ["a", "b"])
 
     return verify
 
 
+# ---- pairs of blocks ---------------------------------------------------------------------------
+
+BLOCK_KEY = ["band", "low", "high"]
+BLOCK_ROWS = "band long, low long, high long, second boolean, node long, root long, samples binary, bands array<long>"
+
+
+class Group:
+    """The documents of a pair of blocks of one bucket; those of the second block come last."""
+
+    def __init__(self, rows: pa.Table):
+        self.rows, self.n = rows, rows.num_rows
+        self.samples = np.frombuffer(b"".join(rows["samples"].to_pylist()), "<u2").reshape(self.n, -1)
+        self.bands = np.array(rows["bands"].to_pylist(), np.int64)
+        self.classes = rows["root"].to_numpy().copy()
+        self.band = int(np.nonzero(self.bands[0] == rows["band"][0].as_py())[0][0])
+        self.one_block = rows["low"][0].as_py() == rows["high"][0].as_py()
+        self.firsts = self.n if self.one_block else self.n - sum(rows["second"].to_pylist())
+
+    def partners(self, i: int) -> np.ndarray:
+        """The later documents of other classes that agree with document i and share no earlier band."""
+        start = i + 1 if self.one_block else self.firsts
+        js = start + np.nonzero(self.classes[start:] != self.classes[i])[0]
+        js = js[(self.samples[js] == self.samples[i]).sum(axis=1) >= LEAST_AGREEING]
+        return js[~(self.bands[js, : self.band] == self.bands[i, : self.band]).any(axis=1)]
+
+    def join(self, i: int, js: np.ndarray) -> np.ndarray:
+        """Takes the classes of ``js`` into that of i; one of ``js`` for each class."""
+        taken, at = np.unique(self.classes[js], return_index=True)
+        self.classes[np.isin(self.classes, taken)] = self.classes[i]
+        return js[at]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Group]:
+    """Groups of rows sorted by ``BLOCK_KEY``; one may go on over batches."""
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        if rows.num_rows == 0:
+            continue
+        keys = np.stack([rows[name].to_numpy() for name in BLOCK_KEY])
+        cuts = [0, *(np.nonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))[0] + 1).tolist()]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            yield Group(rows.slice(start, end - start))
+        held = rows.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield Group(held)
+
+
+def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of each group that have a partner there, or are one."""
+    for group in _groups(batches):
+        wanted = np.zeros(group.n, bool)
+        for i in range(group.firsts):
+            js = group.partners(i)
+            wanted[js] = True
+            wanted[i] |= len(js) > 0
+        if wanted.any():
+            yield from group.rows.filter(pa.array(wanted)).combine_chunks().to_batches()
+
+
+def _block_links(idf):
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            doc, h, w = _shingles_in_parts(group.rows["text"], idf.value)
+            ends = np.searchsorted(doc, np.arange(group.n + 1))
+            terms, ids = np.unique(h, return_inverse=True)
+            total, sizes = np.add.reduceat(w, ends[:-1]), np.diff(ends)
+            mine, node, out = np.zeros(len(terms)), group.rows["node"].to_numpy(), []
+            for i in range(group.firsts):
+                js = group.partners(i)
+                if not len(js):
+                    continue
+                own = slice(ends[i], ends[i + 1])
+                mine[ids[own]] = w[own]
+                offsets = np.cumsum(sizes[js]) - sizes[js]
+                at = np.repeat(ends[js] - offsets, sizes[js]) + np.arange(sizes[js].sum())
+                both = np.add.reduceat(np.minimum(mine[ids[at]], w[at]), offsets)
+                mine[ids[own]] = 0
+                near = js[both / (total[i] + total[js] - both) >= SIMILARITY - 1e-6]
+                if len(near):
+                    out += [(node[i], node[j]) for j in group.join(i, near)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return links
+
+
+def _shingles_in_parts(texts: pa.Array, idf: np.ndarray):
+    """``weighted_shingles`` of all texts, some at a time."""
+    parts = []
+    for first, _, flat, offsets in chunks(texts):
+        doc, h, w = weighted_shingles(flat, offsets, idf)
+        parts.append((doc + first, h, w.astype(np.float64)))
+    return tuple(map(np.concatenate, zip(*parts, strict=True)))
+
+
+def _full_links(open_: DataFrame, sampled: DataFrame, held: DataFrame, idf) -> DataFrame:
+    """Links (a, b) that join the classes of each bucket of ``open_`` (band, node, root, bytes)."""
+    sizes = open_.groupBy("band").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), "blocks")
+    rows = open_.join(sizes, "band").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select(
+        "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("second"), "node", "root"
+    ).join(sampled.select("node", "samples", "bands"), "node")
+    order = [*BLOCK_KEY, "second", "node"]
+    alike = rows.select(*order, "root", "samples", "bands").repartition(*BLOCK_KEY).sortWithinPartitions(*order).mapInArrow(_promising, BLOCK_ROWS)
+    alike = written(alike, "near-alike").join(held, "node").select(*order, "root", "samples", "bands", "text")
+    return alike.repartition(*BLOCK_KEY).sortWithinPartitions(*order).mapInArrow(_block_links(idf), "a long, b long")
+
+
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(members, links): each (doc_id, node) and the links (a, b) between nodes.
 
-    A node is the least id of an equal text; nodes are linked if verified.
+    A node is the least id of an equal text; links are verified, and join all that belongs together.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.unhex(F.sha2(F.col(text), 256)).alias("same"), F.col(text).alias("text")).filter("doc_id is not null")
     idf = spark.sparkContext.broadcast(idf_table(frequencies(rows), rows.count()))
-    signed = written(rows.mapInArrow(_signer(idf), "doc_id long, same binary, samples binary, bands array<long>"), "near-samples")
-    texts = signed.filter("samples is not null").groupBy("same").agg(F.min("doc_id").alias("node"), F.first("samples").alias("samples"), F.first("bands").alias("bands"))
+    signed = written(rows.mapInArrow(_signer(idf), "doc_id long, same binary, samples binary, bands array<long>, bytes long"), "near-samples")
+    texts = signed.filter("samples is not null").groupBy("same").agg(F.min("doc_id").alias("node"), *(F.first(name).alias(name) for name in ("samples", "bands", "bytes")))
     texts = written(texts, "near-texts")
     members = signed.join(texts.select("same", "node"), "same", "left").select("doc_id", F.coalesce("node", "doc_id").alias("node")).distinct()
     members = written(members, "near-members")
     several = members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
     links = written(members.join(several.select("doc_id", "a"), "doc_id").filter("node <> a").select("a", F.col("node").alias("b")), "near-links")
 
-    buckets = texts.select("node", F.explode("bands").alias("band"))
-    full = buckets.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
-    state = written(buckets.join(full.select("band"), "band").select("band", "node"), "near-buckets")
-    sampled = written(texts.join(state.select("node").distinct(), "node", "left_semi").select("node", "same", "samples"), "near-candidate-samples")
+    buckets = texts.select("node", "bytes", F.explode("bands").alias("band"))
+    least = buckets.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("last")).filter("least < last")
+    state = written(buckets.join(least.select("band", "least"), "band").select("band", "node", "bytes", "least"), "near-buckets")
+    sampled = written(texts.join(state.select("node").distinct(), "node", "left_semi").select("node", "same", "samples", "bands"), "near-candidate-samples")
     held = rows.join(sampled.select(F.col("node").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi").dropDuplicates(["doc_id", "same"])
     held = written(held.select(F.col("doc_id").alias("node"), "text"), "near-candidates")
 
-    rooted = state.withColumn("root", F.col("node"))
-    tried, round_ = None, 0
-    while True:
-        several = rooted.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("band")
-        open_ = written(rooted.join(several, "band"), f"near-open-{round_}")
-        order = F.row_number().over(Window.partitionBy("band").orderBy("node"))
-        pivots = open_.withColumn("n", order).filter(F.col("n") <= (PIVOTS if round_ else 1))
-        pivots = written(pivots.select("band", F.col("node").alias("pivot"), F.col("root").alias("own")), f"near-pivots-{round_}")
-        asked = open_.join(pivots, "band").filter("node > pivot and root <> own")
-        asked = asked.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("own").alias("root_a"), F.col("root").alias("root_b")).distinct()
-        if tried is not None:
-            asked = asked.join(tried, ["a", "b"], "left_anti")
-        asked = written(asked, f"near-asked-{round_}")
-        near = written(_with_both(asked.select("a", "b"), sampled, "samples").mapInArrow(_agreeing, "a long, b long"), f"near-pairs-{round_}")
-        found = written(_with_both(near, held, "text").mapInArrow(_verifier(idf), "a long, b long"), f"near-links-{round_}")
-        if round_ and found.isEmpty():
-            return members, links
-        links = links.union(found)
-        tried = near if tried is None else tried.union(near)
-        round_ += 1
-        # the classes that the new links join
-        joined = asked.join(found, ["a", "b"], "left_semi").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-        moved = components(joined, "near").select(F.col("node").alias("old"), F.col("root").alias("new"))
-        left = open_.join(pivots.groupBy("band").agg(F.max("pivot").alias("last")), "band").filter("node > last")
-        rooted = left.join(moved, F.col("root") == F.col("old"), "left").select("band", "node", F.coalesce("new", "root").alias("root"))
+    asked = state.filter("node > least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    near = written(_with_both(asked, sampled, "samples").mapInArrow(_agreeing, "a long, b long"), "near-pairs")
+    links = links.union(written(_with_both(near, held, "text").mapInArrow(_verifier(idf), "a long, b long"), "near-least-links"))
+
+    rooted = state.join(components(links, "near"), "node", "left").select("band", "node", "bytes", F.coalesce("root", "node").alias("root"))
+    rooted = written(rooted, "near-rooted")
+    open_ = rooted.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("band")
+    open_ = written(rooted.join(open_, "band"), "near-open")
+    return members, links.union(written(_full_links(open_, sampled, held, idf), "near-full-links"))
 
 
 def _with_both(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
