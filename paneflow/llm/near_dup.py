@@ -40,7 +40,7 @@ from paneflow.llm.common import chunks, components, mixed, packed, shingles_of,
 from paneflow.session import written
 
 WORDS, SIMILARITY = 5, 0.8
-DF_CELLS, DF_SLICES, IDF_SCALE = 1 << 20, 16, 0.25
+DF_CELLS, DF_SLICES, IDF_SCALE = 1 << 20, 16, 0.1
 #: Samples: 30 in ten bands of three. A pair of similarity 0.8 shares a band with chance 0.999.
 PASSES, BINS, BAND_ROWS = 5, 6, 3
 #: Of 30 samples a pair at 0.8 agrees in 24 on average; under 15 is five deviations off.

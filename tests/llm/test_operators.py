@@ -91,6 +91,33 @@ def test_near_copies_by_brute_force(spark, documents):
             assert len(members) == 1 or max(len(x & y) / len(x | y) for e, y in members if e != d) > 0.6
 
 
+@pytest.mark.parametrize("block", [near_dup.BLOCK_BYTES, 1 << 13])
+def test_near_copies_in_crowded_buckets(spark, monkeypatch, block):
+    """Many documents like the least one but no copies of it, with pairs of copies among them."""
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", block)
+    rows = []
+    for k in range(60):  # 7 places in a shared text of 140 words: about 0.6 alike
+        words = [f"w{n}" for n in range(140)]
+        for place in range(7):
+            words[place * 20 + k % 15] = f"own{k}x{place}"
+        rows += [(k, " ".join(words)), (500 + 7 * k, " ".join([*words, "tail", f"t{k}"]))]
+    got = dict(map(tuple, near_dup.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()))
+    known = [(d, shingles(t)) for d, t in rows]
+    parent = {d: d for d, _ in known}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for i, (a, x) in enumerate(known):
+        for b, y in known[i + 1 :]:
+            if len(x & y) / len(x | y) >= 0.8:
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    assert got == {d: root(d) for d in parent} and len(set(got.values())) == 60
+
+
 def test_near_copies_odd(odd, empty):
     got = dict(map(tuple, near_dup.classes(odd).collect()))
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 8}
