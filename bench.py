@@ -52,8 +52,9 @@ def main() -> None:
     n = rows.count()
     skewed = {"skewed_window_plain": timed(lambda: compute(plain_batches(rows)))}
     for method in ("slices", "range"):
-        found = count_batches(rows, SKEWED, BATCH_ROWS, method=method)
-        skewed[f"skewed_window_{method}"] = timed(lambda: compute(batch_summary(found)))
+        skewed[f"skewed_window_{method}"] = timed(
+            lambda: compute(batch_summary(count_batches(rows, SKEWED, BATCH_ROWS, method=method)))
+        )
     gate = timed(lambda: compute(good_rows(classify(messages(events(spark, SF_DIR))))))
 
     print(

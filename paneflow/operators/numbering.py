@@ -99,13 +99,10 @@ def _shuffle_partitions(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _slice_counts(
-    rows: DataFrame, groups: Sequence[str], slice_start: Column
-) -> tuple[DataFrame, DataFrame]:
-    """The rows with their slice, and the offsets of the slices."""
-    sliced = rows.withColumn(_SLICE, slice_start)
-    counts = sliced.groupBy(*groups, _SLICE).agg(F.count(F.lit(1)).alias("_n"))
-    return sliced, _offsets(counts, groups, _SLICE)
+def _slice_counts(rows: DataFrame, groups: Sequence[str], slice_start: Column) -> DataFrame:
+    """The offsets of the slices."""
+    counts = rows.withColumn(_SLICE, slice_start).groupBy(*groups, _SLICE).agg(F.count(F.lit(1)).alias("_n"))
+    return _offsets(counts, groups, _SLICE)
 
 
 def _by_counts(
@@ -125,7 +122,20 @@ def _by_counts(
 
     start = slice_start(max(MIN_SLICES, min(4 * ceil(largest / slice_rows), MAX_SLICES)))
     in_large = rows.join(large.select(*groups), list(groups), "left_semi")
-    offsets = written(_slice_counts(in_large, groups, start)[1], "slice-offsets")
+    return _by_slices(rows, in_large, groups, order, start, slice_rows, last)
+
+
+def _by_slices(
+    rows: DataFrame,
+    to_slice: DataFrame,
+    groups: Sequence[str],
+    order: Sequence[str],
+    start: Column,
+    slice_rows: int,
+    last: bool,
+) -> DataFrame:
+    """Slices of the groups in ``to_slice``; one of more than ``slice_rows`` rows is laid out by range."""
+    offsets = written(_slice_counts(to_slice, groups, start), "slice-offsets")
     crowded = F.col("_n") > slice_rows
     crowd = offsets.filter(crowded).agg(F.sum("_n")).first()[0]
     sliced = rows.withColumn(_SLICE, start)
@@ -170,7 +180,6 @@ def number_rows(
     if method == "range":
         return _by_range(rows, groups, order, _shuffle_partitions(rows), last)
     if method == "slices":
-        sliced, offsets = _slice_counts(rows, groups, slice_start(MIN_SLICES))
-        return _by_slice(sliced, groups, order, offsets, last).drop(_SLICE)
+        return _by_slices(rows, rows, groups, order, slice_start(MIN_SLICES), slice_rows, last).drop(_SLICE)
     numbered = _by_counts(rows, groups, order, slice_start, slice_rows, last)
     return numbered.drop(_SLICE)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,23 +42,18 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     return spark
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="paneflow-")
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or else the warehouse.
 
-    Only a local session that names none gets a temporary folder; a cluster
-    without the setting is an error, since executors could not read one
-    another's local disks.
+    A cluster that names no such folder and whose warehouse is on local disks is
+    refused, since executors could not read what others wrote.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        on_one_machine = spark.conf.get("spark.master", "").split("[")[0] == "local"
+        if not on_one_machine and root.startswith(("file:", "/")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = _local_root()
     return root.rstrip("/")
 
 

@@ -18,11 +18,16 @@ def test_intermediates_go_to_the_folder_the_session_names():
     assert first.startswith("hdfs://n/c/paneflow/x-") and first != second
 
 
-def test_only_a_local_session_gets_a_temporary_folder():
-    local = Conf({"spark.master": "local[2]"})
-    assert session.scratch_root(local) == session.scratch_root(local)
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_root(Conf({"spark.master": "spark://h:7077"}))
+def test_a_session_that_names_none_uses_its_warehouse():
+    assert session.scratch_root(Conf({"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/w/"})) == "file:/w"
+    assert session.scratch_root(Conf({"spark.master": "yarn", "spark.sql.warehouse.dir": "hdfs://n/w"})) == "hdfs://n/w"
+
+
+@pytest.mark.parametrize("master", ["spark://h:7077", "local-cluster[3,2,3000]"])
+def test_a_cluster_with_a_local_warehouse_must_name_a_shared_folder(master):
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.scratch_root(Conf({"spark.master": master, "spark.sql.warehouse.dir": warehouse}))
 
 
 def test_what_is_written_keeps_its_types(spark):

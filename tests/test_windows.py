@@ -54,6 +54,7 @@ def by_window(rows, size=HOUR):
 PLANS = {
     "groups": {"method": "groups"},
     "slices": {"method": "slices"},
+    "slices, some large": {"method": "slices", "slice_rows": 5},
     "range": {"method": "range"},
     "auto, no large window": {},
     "auto, some windows large": {"slice_rows": 130},
