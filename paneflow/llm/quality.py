@@ -1,15 +1,17 @@
 """Quality rules: measures of one text, and the frequency of lines across documents.
 
 A line is normalised (words joined by one blank, lower case) and hashed. Per host, the number
-of distinct documents that hold it is counted, where documents that agree in the least hash of
-their other lines count as one: copies of a document, also near copies, so do not make its own
-lines look like boilerplate. A line in more than ``max_share`` of the host's documents, and in at
-least ``min_docs`` of them, is above the limit. Its occurrences are removed; a document is
-rejected if under ``min_left`` of its words remain, or if it fails the base rules.
+of distinct documents that hold it is counted. Documents of the same normalised lines in the same
+order are one, both here and in the number of the host's documents: copies so do not make their
+own lines look like boilerplate. Documents that differ in a line are several, also near copies,
+since those cannot be told by lines from documents that are mostly boilerplate. A line in more
+than ``max_share`` of the host's documents, and in at least ``min_docs`` of them, is above the
+limit. Its occurrences are removed; a document is rejected if under ``min_left`` of its words
+remain, or if it fails the base rules.
 
 Cases: a null text has no words and fails; a null host counts as the empty one; a line without
-words is never removed; a document of one line does not count for that line; rows that are equal
-in id, host and text get equal results, one each; an empty table gives no rows.
+words is never removed, and documents without other lines are one; rows that are equal in id, host
+and text get equal results, one each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -94,25 +96,10 @@ def _keys(docs: DataFrame, text: str, host: str, doc_id: str) -> list[Column]:
 
 
 def line_entries(text: Column) -> Column:
-    """(line, n_words, other) of every line with words; ``line`` is a hash.
-
-    ``other`` stands for the document: the least hash among its other lines.
-    """
+    """(line, n_words) of every line with words; ``line`` is a hash."""
     lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), normalised), lambda line: line != "")
-
-    def entries(found):
-        first_two = F.slice(F.sort_array(F.array_distinct(F.transform(found, text_key))), 1, 2)
-
-        def entry(least, line):
-            other = lambda key: F.when(key == F.get(least, F.lit(0)), F.get(least, F.lit(1))).otherwise(F.get(least, F.lit(0)))
-            return let(
-                text_key(line),
-                lambda key: F.struct(key.alias("line"), F.size(F.split(line, " ")).alias("n_words"), F.when(F.size(least) > 1, F.xxhash64(other(key))).alias("other")),
-            )
-
-        return let(first_two, lambda least: F.transform(found, lambda line: entry(least, line)))
-
-    return let(lines, entries)
+    entry = lambda line: F.struct(text_key(line).alias("line"), F.size(F.split(line, " ")).alias("n_words"))
+    return let(lines, lambda found: F.transform(found, entry))
 
 
 def profiles(docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id") -> DataFrame:
@@ -122,17 +109,21 @@ def profiles(docs: DataFrame, text: str = "text", host: str = "source", doc_id:
 
 
 def frequent_lines(lines: DataFrame, hosts: DataFrame, limits: Limits) -> DataFrame:
-    """(host, line, n_docs) of the lines above the limit; ``hosts`` has each host's ``host_docs``."""
-    counts = lines.groupBy("host", "line").agg(F.count_distinct("other").alias("n_docs")).filter(F.col("n_docs") >= limits.min_docs)
+    """(host, line, n_docs) of the lines above the limit; ``hosts`` has each host's ``host_docs``.
+
+    ``same`` stands for the document.
+    """
+    counts = lines.groupBy("host", "line").agg(F.count_distinct("same").alias("n_docs")).filter(F.col("n_docs") >= limits.min_docs)
     return counts.join(hosts, "host").filter(F.col("n_docs") > F.col("host_docs") * limits.max_share).select("host", "line", "n_docs")
 
 
 def removals(profile: DataFrame, limits: Limits) -> DataFrame:
     """(lost_id, lost_key, removed_words, removed_lines) of the documents that lose lines."""
-    lines = profile.select("doc_id", "host", "row_key", F.posexplode("lines").alias("place", "entry")).select("doc_id", "host", "row_key", "place", "entry.*")
-    hosts = profile.groupBy("host").agg(F.count("*").alias("host_docs"))
+    profile = profile.select("doc_id", "host", "row_key", F.xxhash64("lines.line").alias("same"), "lines")
+    lines = profile.select("doc_id", "host", "row_key", "same", F.posexplode("lines").alias("place", "entry")).select("doc_id", "host", "row_key", "same", "place", "entry.*")
+    hosts = profile.groupBy("host").agg(F.count_distinct("same").alias("host_docs"))
     found = frequent_lines(lines, hosts, limits)
-    hit = lines.drop("other").join(found.select("host", "line"), ["host", "line"])
+    hit = lines.drop("same").join(found.select("host", "line"), ["host", "line"])
     hit = hit.select("doc_id", "row_key", "place", "line", "n_words").distinct()
     return hit.groupBy(F.col("doc_id").alias("lost_id"), F.col("row_key").alias("lost_key")).agg(
         F.sum("n_words").cast("long").alias("removed_words"), F.collect_set("line").alias("removed_lines")

@@ -175,6 +175,21 @@ def test_frequent_lines(spark, odd, empty):
     assert quality.judged(empty).count() == 0 and quality.kept_documents(empty).count() == 0
 
 
+def test_frequent_lines_count_documents(spark):
+    shared = [" ".join(f"s{i}x{j}" for j in range(10)) for i in range(12)]
+    own = lambda k: " ".join(f"o{k}x{j}" for j in range(60))
+    rows = [(k, "\n".join([*shared, own(k)]), "en", "mostly shared", 0) for k in range(200)]
+    rows += [(1000 + k, f"{shared[0]}\n{own(k)}", "en", "one line", 0) for k in range(19)] + [(1019, shared[0], "en", "one line", 0)]
+    rows += [(2000 + k, f"{shared[0]}\n{own(k)}", "en", "copies", 0) for k in range(25)] + [(2100 + k, own(999), "en", "copies", 0) for k in range(400)]
+    rows += [(3000 + k, f"{shared[0]}\n{own(k % 19)}", "en", "few documents", 0) for k in range(190)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.removed_words for r in quality.judged(docs).collect()}
+    assert all(got[k] == 120 for k in range(200))  # the shared lines are above the limit, whatever else a document holds
+    assert all(got[1000 + k] == 10 for k in range(20))  # the document of one line is the twentieth
+    assert all(got[2000 + k] == 10 for k in range(25)) and got[2100] == 0  # 400 copies are one of 26 documents
+    assert all(got[3000 + k] == 0 for k in range(190))  # 19 documents, ten times each
+
+
 # ---- mixing
 
 
