@@ -1,13 +1,17 @@
 """Licence scans by sentence rules.
 
-Text is cut into sentences, which are normalised (lower case, letters and digits only). Known
-sentences have identifiers; a document's identifiers in order are matched against licence
+Text is cut into pieces at line ends and behind marks of punctuation, and normalised (lower case,
+letters and digits only, so signs of comments are gone; the words ``dnl`` and ``rem`` at the start
+of a line too). One piece or several in a row make up a known sentence, as a notice may be wrapped
+over lines, and a known sentence may hold a colon or semicolon; of several the longest counts.
+Known sentences have identifiers; a document's identifiers in order are matched against licence
 rules, each a run of identifiers. Rules are tried in their order, longer ones first; a run that
-is matched is used up, so the parts of a full licence do not count again. A sentence that speaks
-of licensing but is not known is counted as ``n_unknown``.
+is matched is used up, so the parts of a full licence do not count again. A piece that speaks
+of licensing but is part of no known sentence is counted as ``n_unknown``.
 
-Cases: a null or empty text has no sentences; repeated rows stay; a licence found twice is named
-once, at its rule's place; an empty table gives no rows.
+Cases: a null or empty text has no sentences; pieces without letters and digits do not part a
+sentence; repeated rows stay; a licence found twice is named once, at its rule's place; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -83,9 +87,11 @@ RULES = (
     (("AllRights",), "Proprietary"),
 )
 
-#: A sentence without any of these words is neither known nor about licensing.
+#: A piece without any of these words is not about licensing.
 HINT = "(?i)licen[sc]|copyright|permi(t|ss)|redistribut|warrant|rights reserved|free software|public domain"
-#: What makes a sentence that is not known count as unknown.
+#: Words, one of which every known sentence holds, and every text that has a piece to count as unknown.
+WORDS = "(?i)licen[sc]|permi(t|ss)|redistribut|warrant|reserved|unencumbered"
+#: What makes a piece that is not known count as unknown.
 ABOUT = "licen[sc]e|licensed|redistribut|all rights"
 
 
@@ -94,11 +100,17 @@ def rule_key(identifiers) -> str:
     return "".join(f",{x}," for x in identifiers)
 
 
+#: A known sentence, whose words may lie in several pieces, or else one piece, behind its bar.
+_KNOWN = "|".join(s.replace(" ", "[ |]") for s in sorted(SENTENCES, key=len, reverse=True))
+FOUND = rf"\|({_KNOWN}|[^|]*)(?=\|)"
+
+
 def sentences(text: Column) -> Column:
-    """Normalised sentences that may be about licensing."""
+    """Known sentences, and the pieces between them, in order and normalised; a bar for each cut inside."""
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), r"([.!?;:])[\x20\x09-\x0D]+", "$1\n")
-    hinted = F.filter(F.split(marked, "\n"), lambda s: s.rlike(HINT))
-    return F.transform(hinted, lambda s: F.btrim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+    plain = F.transform(F.split(marked, "\n"), lambda s: F.regexp_replace(F.btrim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")), "^(dnl|rem) ", ""))
+    barred = F.concat(F.lit("|"), F.array_join(F.filter(plain, lambda s: s != ""), "|"), F.lit("|"))
+    return F.regexp_extract_all(barred, F.lit(FOUND), F.lit(1))
 
 
 def _fold(names: Column) -> Column:
@@ -116,9 +128,9 @@ def _fold(names: Column) -> Column:
 def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, licenses (comma-joined), sentence_ids (comma-joined, in order), n_unknown."""
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    may = F.coalesce(F.col(text).rlike(HINT), F.lit(False))
+    may = F.coalesce(F.col(text).rlike(WORDS), F.lit(False))
     found = F.when(may, sentences(F.col(text))).otherwise(F.array().cast("array<string>"))
-    entries = let(found, lambda all_: F.transform(all_, lambda s: F.struct(F.try_element_at(known, s).alias("name"), s.rlike(ABOUT).alias("about"))))
+    entries = let(found, lambda all_: F.transform(all_, lambda s: F.struct(F.try_element_at(known, F.translate(s, "|", " ")).alias("name"), (s.rlike(HINT) & s.rlike(ABOUT)).alias("about"))))
 
     def row(e):
         names = F.transform(F.filter(e, lambda x: x["name"].isNotNull()), lambda x: x["name"])

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -137,6 +138,56 @@ def test_licenses(spark, empty):
     assert licenses.scanned(empty).count() == 0
 
 
+NOTICES = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE.""",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-3.0-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "Proprietary": "All rights reserved.",
+}
+
+
+def test_published_notices(spark):
+    def wrapped(notice, width, sign):
+        lines = [line for part in notice.split("\n") for line in (textwrap.wrap(part, width, break_long_words=False) or [""])]
+        return "x = 1\n" + "\n".join(sign + line for line in lines) + "\ny = 2"
+
+    shapes = [(width, sign) for width in (20, 40, 72, 10_000) for sign in ("", "# ", " * ", "// ", "dnl ", "REM ")]
+    rows = [(name, notice.count("licenses/"), wrapped(notice, *shape)) for name, notice in NOTICES.items() for shape in shapes]
+    rows += [
+        ("Apache-2.0,Proprietary", 0, "***\nAll rights reserved.\na | b |\r\nLicensed under the Apache\r\n\r\nLicense, Version 2.0.\r\nz"),
+        ("", 0, "All rights to this are\nreserved by no one"), ("", 1, "All rights reserved by the owner"),
+    ]
+    docs = spark.createDataFrame([(k, text) for k, (_, _, text) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.licenses, r.n_unknown) for r in licenses.scanned(docs).collect()}
+    assert [(text, got[k]) for k, (name, unknown, text) in enumerate(rows) if got[k] != (name, unknown)] == []
+
+
 # ---- shards
 
 
