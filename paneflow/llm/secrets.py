@@ -1,11 +1,13 @@
 """Secret scans: fixed patterns, and strings that a primed compressor finds new.
 
 Three kinds are matched by pattern: ``assign``, ``access`` and ``hex``. The fourth, ``novel``, is
-measured: a candidate is a run of token characters that follows a sensitive word closely. Its
+measured: a candidate is a run of token characters that has a sensitive word closely before or
+behind it, or in it; runs joined by dots are as close as the nearest of them. Every candidate is
+measured, and where it holds sensitive words, also what is between and behind them. Its
 marginal compressed size, by zstandard with a dictionary of common identifiers, is that of the
 text around it with the candidate less that without, in bytes per byte. Strings that are made of
 known identifiers or recur nearby cost little; those at ``NOVEL`` or more are reported, unless a
-pattern has their place already.
+pattern has their place already or they are part of one that is reported.
 
 Offsets are code points, ends exclusive. Documents that hold none of the words or runs that the
 patterns need are passed over by searches of their bytes.
@@ -17,7 +19,9 @@ a span; invalid surrogates cannot occur in the tables' texts; an empty table giv
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +40,14 @@ KINDS = ("assign", "access", "hex", "novel")
 
 #: What a text with an ``assign`` match holds, in lower case.
 ASSIGN_WORDS = (b"passw", b"secret", b"token", b"apikey", b"api_key")
-#: Words after which a string may be a secret, in lower case.
+#: Words near which a string may be a secret, in lower case.
 SENSITIVE = re.compile(r"passw|passphrase|secret|token|api_?key|credential|bearer|authorization|private_?key", re.ASCII | re.IGNORECASE)
 SENSITIVE_WORDS = (*ASSIGN_WORDS, b"passphrase", b"credential", b"bearer", b"authorization", b"privatekey", b"private_key")
+LEAST_CANDIDATE = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: Characters from a sensitive word to its candidate, and of text around that is compressed with it.
+#: Candidates that are joined by dots, with what is between them.
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: Characters between a sensitive word and its candidate, and of text around that is compressed with it.
 REACH, AROUND = 48, 256
 #: Marginal compressed bytes per byte from which a candidate is new.
 NOVEL = 0.7
@@ -79,20 +86,35 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of what may be a secret by its context, a run before its parts."""
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    starts, ends = [s for s, _ in words], [e for _, e in words]
+    for token in TOKEN.finditer(text) if words else ():
+        near = bisect_left(ends, token.start() - REACH)
+        if near == len(words) or starts[near] > token.end() + REACH:
+            continue
+        for run in CANDIDATE.finditer(text, token.start(), token.end()):
+            start, end = run.span()
+            inside = words[bisect_left(starts, start) : bisect_left(starts, end)]
+            parts = [(start, end), *((e, end) for _, e in inside)]
+            parts += zip([start, *(e for _, e in inside)], (s for s, _ in inside), strict=False)
+            yield from ((s, e) for s, e in parts if e - s >= LEAST_CANDIDATE)
+
+
 def spans_of(text: str, novelty: Novelty) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, novelty) by start and kind; novelty only for what was measured."""
     base = base_spans(text)
     found = [(start, kind, end, None) for start, kind, end in base]
-    for word in SENSITIVE.finditer(text):
-        m = CANDIDATE.search(text, word.end(), word.end() + REACH)
-        if m is None:
-            continue
-        whole = CANDIDATE.match(text, m.start())  # the reach may have cut it
-        start, end = whole.span()
-        if any(s < end and start < e for s, _, e in base):
+    base_starts, base_ends = sorted(s for s, _, _ in base), list(accumulate((e for _, _, e in sorted(base)), max))
+    last = (0, 0)
+    for start, end in sorted(set(candidates(text)), key=lambda x: (x[0], -x[1])):
+        before = bisect_left(base_starts, end)  # base spans that start before the candidate's end
+        if last[0] <= start and end <= last[1] or (before and base_ends[before - 1] > start):
             continue
         if (new := novelty(text, start, end)) >= NOVEL:
             found.append((start, 3, end, new))
+            last = (start, end)
     return [(KINDS[kind], start, end, new) for start, kind, end, new in sorted(set(found), key=lambda x: x[:3])]
 
 

@@ -306,6 +306,24 @@ def test_novel_strings():
     assert not secrets.spans_of("bearer access_token_refresh_token", secrets.Novelty())
 
 
+def test_novel_strings_in_any_place():
+    secret, measure = "q9Zx71LmPw04TgVb83Hs", secrets.Novelty()
+    dotted = "aV3kT9xQzL0pWmR7cY2d.Hq8uJ5sNfE1oXbG4iK6t.ZrMw7Dy2PvCa9LhQe3Bn"
+    texts = {
+        f"bearer token_for_production_use is {secret}": [secret],  # an identifier in between
+        f"the {secret} is our bearer": [secret],
+        f"bearer {dotted} end": dotted.split("."),
+        f"secret_{secret}": [secret], f"{secret}_token": [secret],
+    }
+    texts |= {f"passphrase{' a' * (n // 2)}{' ' * (n % 2)} {secret} x": [secret] for n in range(30, 48)}  # starts 31 to 48 characters behind
+    for text, wanted in texts.items():
+        places = [(s, e) for kind, s, e, _ in secrets.spans_of(text, measure) if kind == "novel"]
+        assert all(any(s <= text.index(w) and text.index(w) + len(w) <= e for s, e in places) for w in wanted), text
+    assert not secrets.spans_of(f"bearer{' a' * 30} {secret}", measure)
+    text = f"see api_key {secret[:16]}{secret[:15].lower()} beside token = '{'0123456789abcdef' * 2}'"
+    assert [k for k, *_ in secrets.spans_of(text, measure)] == ["novel", "assign", "hex"]
+
+
 # ---- toxicity
 
 
