@@ -14,9 +14,13 @@ own greatest impacts do not.
 A retrieved item is verified by runs of five words: the share of its question's (all sentences
 but the last) and of its answer's runs (the last sentence) found in the document. It leaks at
 ``SIMILARITY`` or more of both, or of the whole item's.
+Overlap is that with the whole document, but an item whose sentences stand further apart than a
+passage is only verified if one of the passages retrieves it.
 
 The index is built and broadcast for at most ``ITEMS`` items and ``ITEM_BYTES`` bytes of text at a
-time; more items are searched block after block, each against all documents.
+time; more items are searched block after block, each against all documents. Document frequencies,
+the mean length and the longest item are those of all items, so that scores and passages do not
+depend on the blocks.
 
 Cases: items without a word and null texts find nothing; an item of one sentence has it as
 question and as answer; a part of under five words is one run of all its words; equal items are
@@ -47,6 +51,15 @@ BLOCK = 16
 ITEMS, ITEM_BYTES = 20_000, 16 << 20
 
 
+class Totals(NamedTuple):
+    """What an index takes from all items, of which it may hold some."""
+
+    n: int  # items with words
+    mean: float  # of their words
+    span: int  # words of the longest item
+    df: dict[int, int]  # items by term, for the terms of the items held
+
+
 class Index(NamedTuple):
     ids: list  # of items
     terms: np.ndarray  # sorted hashes
@@ -76,18 +89,22 @@ def parts_of(text: str) -> tuple[str, str]:
     return (" ".join(sentences[:-1]), sentences[-1]) if len(sentences) > 1 else (text, text)
 
 
-def build(items: list[tuple]) -> Index:
-    """The index of (id, text) pairs."""
+def build(items: list[tuple], totals: Totals | None = None) -> Index:
+    """The index of (id, text) pairs, which are all items unless ``totals`` are given."""
     items = sorted(((i, t) for i, t in items if t and len(_hashes(t).hashes)), key=lambda x: (x[0] is None, x[0]))
     found = [np.unique(_hashes(t).hashes, return_counts=True) for _, t in items]
     sizes = np.array([c.sum() for _, c in found], float)
     terms, df = np.unique(np.concatenate([t for t, _ in found] or [np.zeros(0, np.uint64)]), return_counts=True)
-    idf = np.log(1 + (len(items) - df + 0.5) / (df + 0.5))
+    n_items, mean, span = len(items), sizes.mean() if len(sizes) else 0.0, int(sizes.max()) if len(sizes) else 0
+    if totals is not None:
+        n_items, mean, span = totals[:3]
+        df = np.array([totals.df[t] for t in terms.tolist()], np.int64)
+    idf = np.log(1 + (n_items - df + 0.5) / (df + 0.5))
     rows = []
     weak_sum = np.zeros(len(items))
     for n, (t, c) in enumerate(found):
         at = np.searchsorted(terms, t)
-        score = idf[at] * c * (K1 + 1) / (c + K1 * (1 - B + B * sizes[n] / sizes.mean()))
+        score = idf[at] * c * (K1 + 1) / (c + K1 * (1 - B + B * sizes[n] / mean))
         score = score / score.sum()
         rising = np.argsort(score)
         weak = np.zeros(len(t), bool)
@@ -100,7 +117,7 @@ def build(items: list[tuple]) -> Index:
     impact = impact[order].astype(float)
     greatest = np.maximum.reduceat(impact, first[:-1]) if len(terms) else np.zeros(0)
     runs = [tuple(_runs(p) for p in (*parts_of(t), t)) for _, t in items]
-    return Index([i for i, _ in items], terms, first, owner[order], impact, greatest, strong[order].astype(bool), weak_sum, runs, int(sizes.max()) if len(sizes) else 0)
+    return Index([i for i, _ in items], terms, first, owner[order], impact, greatest, strong[order].astype(bool), weak_sum, runs, span)
 
 
 def search(index: Index, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
@@ -252,14 +269,33 @@ def _finder(held):
     return find
 
 
-def item_blocks(items: DataFrame, item_id: str, text: str, limit: int = ITEMS, limit_bytes: int = ITEM_BYTES) -> Iterator[list[tuple]]:
-    """The items, in lists whose number and bytes are bounded."""
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            hashes = _hashes(text).hashes
+            terms = np.unique(hashes).view(np.int64)
+            columns = [np.full(len(terms), block), terms, np.where(np.arange(len(terms)) == 0, len(hashes), 0)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["block", "term", "size"])
+
+
+def item_blocks(items: DataFrame, item_id: str, text: str, limit: int = ITEMS, limit_bytes: int = ITEM_BYTES) -> Iterator[tuple[list[tuple], Totals | None]]:
+    """The items, in lists whose number and bytes are bounded, with the totals of all where there are several lists."""
     rows = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // limit), -(-size * 2 // limit_bytes))
+    if blocks == 1:
+        yield [tuple(r) for r in rows.collect()], None
+        return
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    # one row of each item has its size
+    terms = rows.filter("text is not null").select(block.alias("block"), "text").mapInArrow(_item_terms, "block long, term long, size long")
+    terms = written(terms, "item-terms")
+    found = terms.filter("size > 0").agg(F.count("*"), F.avg("size"), F.max("size")).first()
+    df = written(terms.groupBy("term").agg(F.count("*").alias("df")), "item-frequencies")
     for k in range(blocks):
-        yield [tuple(r) for r in (rows if blocks == 1 else rows.filter(block == k)).collect()]
+        own = df.join(terms.filter(F.col("block") == k).select("term").distinct(), "term")
+        held = {t % (1 << 64): c for t, c in own.collect()}
+        yield [tuple(r) for r in rows.filter(block == k).collect()], Totals(found[0], found[1] or 0.0, found[2] or 0, held)
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", limit: int = ITEMS) -> DataFrame:
@@ -267,9 +303,9 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     out = None
-    for block in item_blocks(items, item_id, item_text, limit):
+    for block, totals in item_blocks(items, item_id, item_text, limit):
         # bounded by ITEMS and ITEM_BYTES
-        held = spark.sparkContext.broadcast(build(block))
+        held = spark.sparkContext.broadcast(build(block, totals))
         found = rows.mapInArrow(_finder(held), _OUT.replace("row long", "doc_id long"))
         out = found if out is None else out.union(found)
     return out

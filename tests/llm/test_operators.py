@@ -283,6 +283,18 @@ def test_leaks_by_brute_force(spark, documents, odd, empty):
     assert decontaminate.leaks(empty, items).count() == 0 and decontaminate.leaks(documents, items.limit(0)).count() == 0
 
 
+def test_scores_do_not_depend_on_blocks(spark):
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text")
+    more = [(900 + k, " ".join(f"long{k}x{j}" for j in range(20 * k))) for k in range(5)] + [(950, None), (951, "...")]
+    items = items.union(spark.createDataFrame(more, items.schema))
+    docs = items.selectExpr("item_id as doc_id", "regexp_replace(text, '^[^ ]+ ', '') as text")  # all but the first word
+    got = [
+        {(r.doc_id, r.item_id): (round(r.score, 9), r.overlap) for r in decontaminate.leaks(docs, items, limit=limit).collect()}
+        for limit in (20_000, 7)
+    ]
+    assert got[0] == got[1] and any(score < 0.99 for score, _ in got[0].values())
+
+
 # ---- secrets
 
 
