@@ -4,6 +4,7 @@ import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,34 @@ def test_near_copies_by_brute_force(spark, documents):
             assert len(members) == 1 or max(len(x & y) / len(x | y) for e, y in members if e != d) > 0.6
 
 
+def test_near_copies_by_weighted_brute_force(spark, documents):
+    """Every pair at 0.8 by the operator's own weights is in one class, also in a group of a third of all rows."""
+    base = [f"w{n * 37 % 1009}" for n in range(300)]
+    more = []
+    for k in range(100):  # up to eight places of the shared text changed: pairs at 0.76 to 1
+        words = list(base)
+        for place in range(k % 9):
+            words[(place * 33 + k * 7) % 300] = f"own{k}x{place}"
+        more.append((10_000 + k, " ".join(words), "en", "a", 1))
+    docs = documents.union(spark.createDataFrame(more, documents.schema))
+    got = dict(map(tuple, near_dup.classes(docs).collect()))
+    idf = near_dup.idf_table(near_dup.frequencies(docs), docs.count())
+    rows = []
+    for d, t in texts(docs):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        _, h, w = near_dup.weighted_shingles(raw, np.array([0, len(raw)], np.int64), idf)
+        rows.append((d, dict(zip(h.tolist(), w.astype(float).tolist(), strict=True))))
+    hot, near = 0, 0
+    for i, (a, x) in enumerate(rows):
+        for b, y in rows[i + 1 :]:
+            both = sum(min(w, y[h]) for h, w in x.items() if h in y)
+            likeness = both / (sum(x.values()) + sum(y.values()) - both) if both else 0
+            if likeness >= 0.8 + 1e-6:
+                hot, near = hot + (a >= 10_000 <= b), near + (likeness < 0.88)
+                assert got[a] == got[b], (a, b, likeness)
+    assert hot > 1000 and near > 100
+
+
 @pytest.mark.parametrize("block", [near_dup.BLOCK_BYTES, 1 << 13])
 def test_near_copies_in_crowded_buckets(spark, monkeypatch, block):
     """Many documents like the least one but no copies of it, with pairs of copies among them."""
