@@ -2,8 +2,8 @@
 
 Grades come from the labels: 0 for not toxic, 1 for toxic, 2 for toxic and of low quality. The
 model is a cumulative link: P(grade >= k) = sigmoid(score - threshold_k), one score for all grades
-and thresholds in order. The score is a weighted sum over the words and word beginnings that a document has, as
-hashed features, none of them negative. It is fitted on at most ``TRAIN_ROWS`` labelled documents, those of least hash, by proximal
+and thresholds in order. The score is a weighted sum over the whole words that a document has, as
+hashed features, none of them negative; a form of a toxic word that the labels do not hold has no weight. It is fitted on at most ``TRAIN_ROWS`` labelled documents, those of least hash, by proximal
 gradient descent: the ``SELECTED`` features that are most surely more frequent in toxic documents, with an L1
 penalty. Every document is then scored, whole.
 
@@ -28,8 +28,6 @@ from paneflow.llm.common import Words, chunks, mixed, words_of
 FEATURES, TRAIN_ROWS, SELECTED = 1 << 20, 20_000, 512
 #: A feature must occur in so many of the documents used for the fit.
 LEAST_ROWS = 4
-#: Bytes of the prefixes that are features beside whole words, for endings and compounds.
-PREFIXES: tuple[int, ...] = ()
 GRADES, PENALTY, STEPS = 3, 0.00001, 1500
 #: Standard errors by which a feature must be more frequent in toxic than in other documents. Of the many
 #: rare words some differ by four or five by chance.
@@ -41,12 +39,6 @@ class Model(NamedTuple):
     thresholds: np.ndarray  # GRADES - 1, ascending
 
 
-def signs_of(flat: np.ndarray, offsets: np.ndarray) -> Words:
-    """The words of some documents and then their prefixes, as hashes."""
-    found = [words_of(flat, offsets, n) for n in (None, *PREFIXES)]
-    return Words(np.concatenate([w.hashes for w in found]), np.concatenate([w.doc for w in found]), found[0].ends)
-
-
 def features_of(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(doc, feature): the features that each document has."""
     f = (words.hashes % np.uint64(FEATURES)).astype(np.int64)
@@ -128,7 +120,7 @@ def scores(model: Model, words: Words, n_docs: int) -> np.ndarray:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, flat, offsets in chunks(batch.column(1)):
-            doc, f = features_of(signs_of(flat, offsets))
+            doc, f = features_of(words_of(flat, offsets))
             cut = np.searchsorted(doc, np.arange(last - first + 1))
             rows = [f[a:b].astype("<i4").tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(rows, pa.binary())], ["grade", "features"])
@@ -151,7 +143,7 @@ def _scorer(held):
         model = held.value
         for batch in batches:
             for first, last, flat, offsets in chunks(batch.column(1)):
-                s = scores(model, signs_of(flat, offsets), last - first)
+                s = scores(model, words_of(flat, offsets), last - first)
                 p = _sigmoid(s[:, None] - model.thresholds) * np.isfinite(model.thresholds)
                 columns = [p[:, k] for k in range(GRADES - 1)] + [p.sum(1)]
                 yield pa.RecordBatch.from_arrays(
