@@ -5,10 +5,9 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from helpers import SF  # noqa: E402
 from paneflow.session import local_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,15 +19,3 @@ def spark():
 @pytest.fixture(scope="session")
 def events(spark):
     return spark.read.parquet(f"{SF}/events.parquet")
-
-
-#: Sixteen records: one batch of ten and one of six.
-GOLDEN = [f'{{"uid":"{1000 + n}","name":"n{n}","code":"{n}"}}' for n in range(1, 17)]
-
-
-def messages_frame(spark, values, start="2024-01-01 00:00:00"):
-    rows = [(n, value) for n, value in enumerate(values)]
-    frame = spark.createDataFrame(rows, "event_id long, value string")
-    return frame.selectExpr(
-        "event_id", f"timestampadd(SECOND, cast(event_id as int), timestamp'{start}') as ts", "value"
-    )

@@ -1,7 +1,7 @@
 import uuid
 
 import pytest
-from conftest import GOLDEN, messages_frame
+from helpers import GOLDEN, messages_frame
 
 from paneflow import __main__ as main
 from paneflow.sources import kafka

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF
+from helpers import SF
 from oracle_check import oracle_rows, spark_rows
 
 from __spark_entry__ import entry, queries

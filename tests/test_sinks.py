@@ -4,7 +4,7 @@ import uuid
 from pathlib import Path
 
 import pytest
-from conftest import GOLDEN, messages_frame
+from helpers import GOLDEN, messages_frame
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ import time
 import uuid
 
 import pytest
-from conftest import GOLDEN, messages_frame
+from helpers import GOLDEN, messages_frame
 from pyspark.sql import functions as F
 
 from paneflow.plans.jobs import SideOutputs, load_keyed
