@@ -143,7 +143,50 @@ from (select doc_id, source, unnest(range(0, n)) as copy from counts)
 """
 
 
+AUDIT = rf"""
+with letters(x, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order from letters a, letters b, letters c, letters d, letters e
+  where a.bit + b.bit + c.bit + d.bit + e.bit = 31
+),
+steps as (
+  select filter_order, step, bit,
+    coalesce(sum(bit) over (partition by filter_order order by step rows between unbounded preceding and 1 preceding), 0)::bigint as before
+  from (select filter_order, unnest([1, 2, 3, 4, 5]) as step from orders) s join letters on x = substring(filter_order, step, 1)
+),
+docs as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents
+),
+masks as (
+  select doc_id, part,
+    (len(w) < 200)::bigint + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::bigint
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::bigint + 8 * regexp_matches(t, '[#$%&*|]')::bigint
+    + 16 * coalesce(doc_id > min(doc_id) over (partition by t), false)::bigint as mask
+  from docs
+),
+good as (select distinct doc_id from labels where quality = 1),
+toxic as (select distinct doc_id from labels where toxic = 1),
+cells as (
+  select part, mask, count(*) as n, count(g.doc_id) as n_good, count(t.doc_id) as n_toxic
+  from masks m left join good g on m.doc_id = g.doc_id left join toxic t on m.doc_id = t.doc_id group by all
+),
+sums as (
+  select part, filter_order, step, bit, sum(case when mask & (bit | before) = 0 then n else 0 end) as kept,
+    sum(case when mask & bit > 0 and mask & before = 0 then n else 0 end) as removed,
+    sum(case when mask & bit > 0 and mask & before > 0 then n else 0 end) as redundant,
+    sum(case when mask = bit then n else 0 end) as unique_fails,
+    sum(case when mask & bit > 0 and mask & before = 0 then n_good else 0 end) as good_lost,
+    sum(case when mask & bit > 0 and mask & before = 0 then n_toxic else 0 end) as toxic_lost
+  from cells cross join steps group by all
+)
+select part, filter_order, step::integer as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+  unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+  (sum(removed) over (partition by part, bit))::bigint as shapley
+from sums
+"""
+
 ORACLES = {
+    "op11_filter_audit": AUDIT,
     "op2_chat_formatting": CHATS,
     "op4_license_scan": _licenses(),
     "op6_quality_rules": _quality(),

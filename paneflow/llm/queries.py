@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneflow.llm import chat, decontaminate, licenses, mixing, near_dup, quality, secrets, sharding, suffix_dedup, toxicity
+from paneflow.llm import chat, decontaminate, filter_audit, licenses, mixing, near_dup, quality, secrets, sharding, suffix_dedup, toxicity
 from paneflow.llm.common import table
 
 #: What a text might hold to break out of its turn.
@@ -61,10 +61,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup, op2_chat_formatting, op3_minhash_near_dup, op4_license_scan, op5_sharding,
-        op6_quality_rules, op7_source_mixing, op8_decontamination, op9_secret_scan, op10_toxicity,
+        op6_quality_rules, op7_source_mixing, op8_decontamination, op9_secret_scan, op10_toxicity, op11_filter_audit,
     )
 }
