@@ -185,8 +185,31 @@ select part, filter_order, step::integer as step, kept::bigint as kept, removed:
 from sums
 """
 
+NEGATIVES = """
+with finite as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+),
+scored as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from finite a join finite b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+),
+positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select p.anchor_id, positive_id, row_number() over w::integer as rank, other_id as negative_id, positive_score, score as negative_score
+from positives p join scored s on p.anchor_id = s.anchor_id and not s.same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over w <= 10
+"""
+
+
 ORACLES = {
     "op11_filter_audit": AUDIT,
+    "op13_hard_negatives": NEGATIVES,
     "op2_chat_formatting": CHATS,
     "op4_license_scan": _licenses(),
     "op6_quality_rules": _quality(),
