@@ -185,6 +185,19 @@ select part, filter_order, step::integer as step, kept::bigint as kept, removed:
 from sums
 """
 
+ARCHIVES = """
+with payloads as (select page_id, coalesce(url, '') as url, coalesce(html, '') as body from pages),
+told as (
+  select page_id, strlen(body) as n, sha256(body) as digest,
+    row_number() over (partition by body order by page_id nulls last, url) as place,
+    first_value(page_id) over (partition by body order by page_id nulls last, url) as first_id
+  from payloads
+)
+select page_id, n::bigint as payload_bytes, digest as payload_digest, case when n < 100 or place = 1 then 'response' else 'revisit' end as record_type,
+  case when n >= 100 and place > 1 then first_id end as refers_to
+from told
+"""
+
 NEGATIVES = """
 with finite as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
@@ -209,6 +222,7 @@ qualify row_number() over w <= 10
 
 ORACLES = {
     "op11_filter_audit": AUDIT,
+    "op12_warc_bundles": ARCHIVES,
     "op13_hard_negatives": NEGATIVES,
     "op2_chat_formatting": CHATS,
     "op4_license_scan": _licenses(),

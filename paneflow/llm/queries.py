@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneflow.llm import chat, decontaminate, filter_audit, hard_negatives, licenses, mixing, near_dup, quality, secrets, sharding, suffix_dedup, toxicity
+from paneflow.llm import chat, decontaminate, filter_audit, hard_negatives, licenses, mixing, near_dup, quality, secrets, sharding, suffix_dedup, toxicity, warc
 from paneflow.llm.common import table
 
 #: What a text might hold to break out of its turn.
@@ -65,6 +65,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audited(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
 
 
+def op12_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archived(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
@@ -76,6 +81,6 @@ QUERIES = {
     for f in (
         op1_suffix_array_dedup, op2_chat_formatting, op3_minhash_near_dup, op4_license_scan, op5_sharding,
         op6_quality_rules, op7_source_mixing, op8_decontamination, op9_secret_scan, op10_toxicity, op11_filter_audit,
-        op13_hard_negatives,
+        op12_warc_bundles, op13_hard_negatives,
     )
 }
