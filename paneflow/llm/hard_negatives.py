@@ -52,6 +52,13 @@ class Rule(NamedTuple):
     scale: int = 256
 
 
+def as_whole(numbers: np.ndarray, kind: type) -> np.ndarray:
+    """Whole numbers as doubles, longs or Python's integers."""
+    if kind is not object or numbers.dtype == object:
+        return numbers.astype(kind)
+    return np.array([int(x) for x in numbers.flat], object).reshape(numbers.shape)
+
+
 class Packed:
     """A block of candidates, a row of whole numbers each, as columns of wide integers."""
 
@@ -69,7 +76,7 @@ class Packed:
             kind = object if self.rows.dtype == object or width * fields > EXACT_BITS else float
             words = np.zeros((d, size), kind)
             for k in range(fields):
-                part = (self.rows[k * size : (k + 1) * size] - self.low).astype(kind)
+                part = as_whole(self.rows[k * size : (k + 1) * size], kind) - self.low
                 words[:, : len(part)] += part.T * (1 << (width * k))
             self.words = {(width, fields): words}
         return self.words[width, fields]
@@ -86,13 +93,13 @@ class Packed:
         fields = EXACT_BITS // width if exact else 4
         whole = np.int64 if exact else object
         words = self.packed(width, fields)
-        lifted = (anchors - low).astype(words.dtype)
-        sums = (lifted @ words).astype(whole)
+        lifted = as_whole(anchors, words.dtype.type if exact else object) - low
+        sums = as_whole(lifted @ words, whole)
         mask = (1 << width) - 1
         found = np.concatenate([(sums >> (width * k)) & mask for k in range(fields)], axis=1)[:, :n]
         # taking the biases out: (a + low)(c + low') summed up
-        found += (self.low * lifted.astype(whole).sum(axis=1))[:, None]
-        found += (low * (self.rows - self.low).astype(whole).sum(axis=1))[None, :]
+        found += (self.low * as_whole(lifted, whole).sum(axis=1))[:, None]
+        found += (low * (as_whole(self.rows, whole) - self.low).sum(axis=1))[None, :]
         return found + d * low * self.low
 
 
