@@ -29,14 +29,18 @@ one block, as nearly all do, skips steps 1 and 2.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..schema import ARRIVAL, DEFAULT_FIRE_INTERVAL
-from ..session import written
+from ..session import read_slot, write_slot, written
 from .numbering import SLICE_ROWS
 from .windows import duration_micros, numbered_in_window, with_window
 
@@ -114,41 +118,71 @@ def through_block(
     return table["c"][begin], table["d"][begin], fired + first_fires + table["fired"][begin]
 
 
-def replay_block(
-    at: np.ndarray, c: int, d: int, limit: int, interval: int
-) -> tuple[list[tuple[int, str, int]], int, int]:
-    """Take state (c, d) through successive rows: the panes fired, each as (fired at,
-    reason, how many of the rows are in it), and the state after the last row."""
-    size = len(at)
-    fired: list[tuple[int, str, int]] = []
-    row = 0
-    if c:
-        by_count, by_time = limit - c, int(np.searchsorted(at, d, side="left"))
-        row = min(by_count, by_time)
-        if by_count <= min(by_time, size):
-            fired.append((int(at[by_count - 1]), COUNT, by_count))
-        elif by_time < size:
-            fired.append((d, INTERVAL, by_time))
-        else:
-            return fired, c + size, d
-    following = _next_start(at, limit, interval)
-    while row < size:
-        upto, deadline = int(following[row]), int(at[row]) + interval
-        if upto == row + limit:
-            fired.append((int(at[upto - 1]), COUNT, upto))
-        elif upto < size:
-            fired.append((deadline, INTERVAL, upto))
-        else:
-            return fired, size - row, deadline
-        row = upto
-    return fired, 0, UNSET
+class Replay(NamedTuple):
+    """Panes fired, in order: piece, time, whether by count, and the row after the pane's last; then the
+    state that each piece is left in."""
+
+    piece: np.ndarray
+    at: np.ndarray
+    by_count: np.ndarray
+    upto: np.ndarray
+    c: np.ndarray
+    d: np.ndarray
+
 
+def _chain(begin: np.ndarray, following: np.ndarray, end: int) -> np.ndarray:
+    """All rows reached from ``begin`` by ``following``, sorted; ``end`` leads nowhere.
+
+    Pointer doubling: what is reached in 2^k steps, and a table of 2^k steps, give the next 2^k.
+    """
+    hop, reached = np.append(following, end), begin[begin < end]
+    fresh = reached
+    while len(fresh):
+        fresh = hop[reached]
+        fresh = fresh[fresh < end]
+        reached = np.concatenate([reached, fresh])
+        hop = hop[hop]
+    return np.sort(reached)
+
+
+def replay(at: np.ndarray, edges: np.ndarray, c: np.ndarray, d: np.ndarray, limit: int, interval: int) -> Replay:
+    """Take states (c, d), one for each piece, through the pieces of the sorted rows between ``edges``."""
+    size, first, last = len(at), edges[:-1], edges[1:]
+    piece = np.repeat(np.arange(len(first)), last - first)
+    stop = last[piece]
+    full = np.arange(size) + limit
+    timed = np.minimum(np.searchsorted(at, at + interval, side="left"), stop)
+    fills, expires = full <= timed, (full > timed) & (timed < stop)
+    upto = np.minimum(full, timed)
+
+    # The pane that is open on entering a piece.
+    filled = first + limit - c
+    expired = np.clip(np.searchsorted(at, d, side="left"), first, last)
+    entered = c > 0
+    entry_fills = entered & (filled <= expired)
+    entry_expires = entered & ~entry_fills & (expired < last)
+    begin = np.where(entry_fills, filled, np.where(entry_expires, expired, np.where(entered, last, first)))
+
+    starts = _chain(np.where(begin < last, begin, size), np.where(upto < stop, upto, size), size)
+    fired = starts[fills[starts] | expires[starts]]
+    entry = np.flatnonzero(entry_fills | entry_expires)
+    by_entry = np.where(entry_fills, filled, expired)[entry]
+    pieces = np.concatenate([entry, piece[fired]])
+    ends = np.concatenate([by_entry, upto[fired]])
+    times = np.concatenate(
+        [
+            np.where(entry_fills[entry], at[np.clip(by_entry - 1, 0, size - 1)], d[entry]) if size else d[entry],
+            np.where(fills[fired], at[np.minimum(full[fired], size) - 1], at[fired] + interval) if size else at[fired],
+        ]
+    )
+    counted = np.concatenate([entry_fills[entry], fills[fired]])
+    order = np.lexsort((ends, pieces))
 
-def end_pane(c: int, d: int, end: int) -> list[tuple[int, str]]:
-    """The pane at the window's end, if rows came since the last firing."""
-    if not c:
-        return []
-    return [(d, INTERVAL)] if d < end else [(end, WINDOW_END)]
+    still = entered & ~entry_fills & ~entry_expires
+    c_out, d_out = np.where(still, c + last - first, 0), np.where(still, d, UNSET)
+    open_ = starts[~(fills[starts] | expires[starts])]
+    c_out[piece[open_]], d_out[piece[open_]] = stop[open_] - open_, at[open_] + interval
+    return Replay(pieces[order], times[order], counted[order], ends[order], c_out, d_out)
 
 
 def _table(row) -> dict[str, np.ndarray]:
@@ -185,7 +219,7 @@ def _combined(tables: DataFrame, limit: int) -> DataFrame:
 
 
 def _entries(tables: DataFrame, entries: DataFrame | None, limit: int) -> DataFrame:
-    """Entry state of each block and of the one after, from that of its group."""
+    """Entry state of each block and of the one after, from that of its group; none is no state."""
 
     def chain(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("block")
@@ -204,7 +238,8 @@ def _entries(tables: DataFrame, entries: DataFrame | None, limit: int) -> DataFr
     above = F.expr(f"block div {FAN}")
     grouped = tables.withColumn("above", above)
     if entries is not None:
-        grouped = grouped.join(entries.withColumnRenamed("block", "above"), ["window_us", "above"])
+        grouped = grouped.join(entries.withColumnRenamed("block", "above"), ["window_us", "above"], "left")
+        grouped = grouped.fillna({"entry_c": 0, "entry_d": UNSET, "entry_fired": 0})
     else:
         grouped = (
             grouped.withColumn("entry_c", F.lit(0).cast("long"))
@@ -215,96 +250,116 @@ def _entries(tables: DataFrame, entries: DataFrame | None, limit: int) -> DataFr
     return grouped.groupBy("window_us", "above").applyInPandas(chain, _ENTRY_FIELDS).distinct()
 
 
-def _entry_states(passing: DataFrame, highest: int, limit: int, interval: int) -> DataFrame:
-    """Entry state of every block that comes after one of the ``passing`` blocks."""
+def _entry_states(passing: DataFrame, highest: int, limit: int, interval: int, earlier: DataFrame) -> DataFrame:
+    """Entry state of every block that comes after one of the ``passing`` blocks, and of the windows' first
+    blocks, which are entered in the state of ``earlier``."""
     levels = [written(_block_tables(passing, limit, interval), "block-tables")]
     while highest >= FAN:
         levels.append(written(_combined(levels[-1], limit), "block-tables"))
         highest //= FAN
-    entries = None
+    entries = earlier.select("window_us", F.lit(0).cast("long").alias("block"), "entry_c", "entry_d", "entry_fired")
     for tables in reversed(levels):
         entries = written(_entries(tables, entries, limit), "block-entries")
-    return entries.filter("block > 0")
+    return entries
 
 
 def _replayed(
-    blocks: DataFrame, order: Sequence[str], limit: int, interval: int, width: int, block_rows: int
+    blocks: DataFrame, order: Sequence[str], limit: int, interval: int, width: int, block_rows: int, go_on: bool
 ) -> DataFrame:
-    """The panes of all blocks; ``blocks`` has the entry state where it is not the start.
+    """The panes of all blocks; ``blocks`` has the state in which each is entered.
 
-    The blocks of a partition run through one task in order, an Arrow batch at a time with
-    the open pane carried along, so neither many small windows nor a large one cost more
-    than their rows.
+    The blocks of a partition run through one task in order, an Arrow batch at a time with the open
+    pane carried along, so neither many small windows nor a large one cost more than their rows, and
+    a batch is replayed by whole arrays, however many panes it has. At a window's last block the open
+    pane fires, or with ``go_on`` the state it is left in is given as a row without a reason, ``c`` and
+    the deadline in ``fired_us``.
     """
     row_id = order[-1]
-    names = ["window_us", "pane_no", "fired_us", "reason", "n_rows", "last_id"]
-
-    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: list[tuple] = []
-        key: tuple[int, int] | None = None
-        c, d, pane_no, n_rows, last_id, is_last = 0, UNSET, 0, 0, None, False
-
-        def note(fired: list[tuple], ids: Sequence) -> None:
-            nonlocal pane_no
-            for at, reason, upto in fired:
-                pane_no += 1
-                row = ids[upto - 1] if upto else last_id
-                found.append((key[0], pane_no, at, reason, n_rows + upto, row))
-
-        def close_block() -> None:
-            if key is not None and is_last:
-                note([(*pane, 0) for pane in end_pane(c, d, key[0] + width)], ())
-
+    id_type = to_arrow_type(blocks.schema[row_id].dataType)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), id_type, pa.int64()]
+    names = ["window_us", "pane_no", "fired_us", "reason", "n_rows", "last_id", "c"]
+
+    def rows_of(*columns) -> pa.RecordBatch:
+        arrays = [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    def closed(window, pane_no, n_rows, ids, is_last, c, d) -> pa.RecordBatch:
+        """What the last blocks of windows give at their end."""
+        mine = np.flatnonzero(is_last if go_on else is_last & (c > 0))
+        window, pane_no, n_rows, c, d = (x[mine] for x in (window, pane_no, n_rows, c, d))
+        ids = ids.take(pa.array(mine))
+        if go_on:
+            return rows_of(window, pane_no, d, pa.nulls(len(mine), pa.string()), n_rows, ids, c)
+        timed = d < window + width
+        fired = np.where(timed, d, window + width)
+        return rows_of(window, pane_no + 1, fired, np.where(timed, INTERVAL, WINDOW_END).tolist(), n_rows, ids, np.zeros(len(mine), np.int64))
+
+    def replay_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The piece that may go on in the next batch: its key, then what ``closed`` takes.
+        held: tuple | None = None
         for batch in batches:
-            windows, numbers = batch["window_us"].to_numpy(), batch["block"].to_numpy()
-            at, ids = batch["at_us"].to_numpy(), batch[row_id].to_numpy()
+            if not batch.num_rows:
+                continue
+            column = {n: batch[n].to_numpy(zero_copy_only=False) for n in batch.schema.names if n not in (*order[1:], "entry_id")}
+            windows, numbers, at, ids = column["window_us"], column["block"], column["at_us"], batch[row_id]
             turns = np.flatnonzero((np.diff(windows) != 0) | (np.diff(numbers) != 0)) + 1
-            edges = [0, *turns.tolist(), len(batch)]
-            for begin, end in zip(edges, edges[1:]):
-                here = (int(windows[begin]), int(numbers[begin]))
-                if here != key:
-                    close_block()
-                    key, first = here, batch.iloc[begin]
-                    c, d, pane_no, last_id = 0, UNSET, 0, first["entry_id"]
-                    if pd.notna(first["entry_c"]):
-                        c, d, pane_no = (int(first[n]) for n in ("entry_c", "entry_d", "entry_fired"))
-                    n_rows, is_last = key[1] * block_rows, bool(first["is_last"])
-                fired, c, d = replay_block(at[begin:end], c, d, limit, interval)
-                note(fired, ids[begin:end])
-                n_rows, last_id = n_rows + end - begin, ids[end - 1]
-            if found:
-                yield pd.DataFrame(found, columns=names)
-                found.clear()
-        close_block()
-        if found:
-            yield pd.DataFrame(found, columns=names)
-
-    id_type = blocks.schema[row_id].dataType.simpleString()
+            edges = np.concatenate([[0], turns, [len(at)]])
+            first = edges[:-1]
+            c, d, pane_no = (column[n][first].copy() for n in ("entry_c", "entry_d", "entry_fired"))
+            n_rows = numbers[first] * block_rows + column["entry_n"][first]
+            before = batch["entry_id"].take(pa.array(first))
+            if held is not None:
+                if held[0] == (windows[0], numbers[0]):
+                    pane_no[0], n_rows[0], c[0], d[0] = held[2][0], held[3][0], held[6][0], held[7][0]
+                    before = pa.concat_arrays([held[4], before.slice(1)])
+                else:
+                    yield closed(*held[1:])
+            found = replay(at, edges, c, d, limit, interval)
+            nth = np.arange(len(found.piece)) - np.searchsorted(found.piece, found.piece, side="left")
+            none = found.upto == first[found.piece]
+            last = pc.if_else(pa.array(none), before.take(pa.array(found.piece)), ids.take(pa.array(np.maximum(found.upto - 1, 0))))
+            if len(found.piece):
+                yield rows_of(
+                    windows[first][found.piece], pane_no[found.piece] + nth + 1, found.at, np.where(found.by_count, COUNT, INTERVAL).tolist(),
+                    n_rows[found.piece] + found.upto - first[found.piece], last, np.zeros(len(found.piece), np.int64),
+                )
+            state = (
+                windows[first], pane_no + np.bincount(found.piece, minlength=len(first)), n_rows + np.diff(edges),
+                ids.take(pa.array(edges[1:] - 1)), column["is_last"][first].astype(bool), found.c, found.d,
+            )
+            yield closed(*(x[:-1] for x in state))
+            held = ((windows[-1], numbers[-1]), *(x[-1:] for x in state))
+        if held is not None:
+            yield closed(*held[1:])
+
+    spark_type = blocks.schema[row_id].dataType.simpleString()
     return (
         blocks.repartition("window_us", "block")
         .sortWithinPartitions("window_us", "block", "at_us", *order[1:])
-        .mapInPandas(
-            replay,
-            "window_us long, pane_no long, fired_us long, reason string, "
-            f"n_rows long, last_id {id_type}",
+        .mapInArrow(
+            replay_all,
+            f"window_us long, pane_no long, fired_us long, reason string, n_rows long, last_id {spark_type}, c long",
         )
     )
 
 
-def panes(
-    rows: DataFrame,
-    size: str,
-    limit: int,
-    interval: str = DEFAULT_FIRE_INTERVAL,
-    order: Sequence[str] = ARRIVAL,
-    *,
-    block_rows: int = BLOCK_ROWS,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """Panes of the trigger with a row limit and an interval (the contract above)."""
+def _no_state(rows: DataFrame, row_id: str) -> DataFrame:
+    """The state of windows of which no row came so far: none."""
+    row_type = rows.schema[row_id].dataType.simpleString()
+    kind = f"window_us long, entry_c long, entry_d long, entry_fired long, entry_n long, entry_id {row_type}"
+    return rows.sparkSession.createDataFrame([], kind)
+
+
+def _found(
+    rows: DataFrame, size: str, limit: int, interval: str, order: Sequence[str], block_rows: int, slice_rows: int,
+    earlier: DataFrame | None,
+) -> DataFrame:
+    """The panes, in microseconds; with ``earlier``, the windows' states so far, those after the rows as well."""
     ts, row_id = order[0], order[-1]
     block_rows = max(block_rows, limit)
     width, gap = duration_micros(size), duration_micros(interval)
+    go_on = earlier is not None
+    earlier = earlier if go_on else _no_state(rows, row_id)
     # Only arrival and id go on, never the payload.
     rows = with_window(rows.select(*order), size, ts)
     slim = [
@@ -317,16 +372,13 @@ def panes(
     large = written(counts.filter(F.col("n") > block_rows), "large-windows")
     largest = large.agg(F.max("n")).first()[0]
 
-    # A window of one block begins in no state.
-    entry = {"entry_c": "long", "entry_d": "long", "entry_fired": "long"}
-    entry["entry_id"] = rows.schema[row_id].dataType.simpleString()
     whole = rows if largest is None else rows.join(large, "window_start", "left_anti")
-    blocks = whole.select(
-        *slim,
-        F.lit(0).cast("long").alias("block"),
-        F.lit(True).alias("is_last"),
-        *[F.lit(None).cast(kind).alias(name) for name, kind in entry.items()],
-    )
+    blocks = whole.select(*slim, F.lit(0).cast("long").alias("block"), F.lit(True).alias("is_last"))
+    if go_on:
+        blocks = blocks.join(earlier, "window_us", "left")
+    else:  # no window began in a state
+        nothing = {f.name: F.lit(None).cast(f.dataType) for f in earlier.schema.fields if f.name != "window_us"}
+        blocks = blocks.withColumns(nothing)
     if largest is not None:
         split = rows.join(large, "window_start").drop("window_start")
         numbered = written(
@@ -337,16 +389,21 @@ def panes(
         )
         passing = numbered.filter(~F.col("is_last"))
         highest = (largest - 1) // block_rows - 1
-        entries = _entry_states(passing, highest, limit, gap)
+        entries = _entry_states(passing, highest, limit, gap, earlier)
         # The last row before a block, for a timer that fires ahead of its first row.
         arrival = F.struct("at_us", *order[1:])
         before = passing.groupBy("window_us", (F.col("block") + 1).alias("block")).agg(
             F.max(arrival)[row_id].alias("entry_id")
         )
-        entered = entries.join(before, ["window_us", "block"])
+        first = earlier.select("window_us", F.lit(0).cast("long").alias("block"), "entry_id")
+        entered = entries.join(before.unionByName(first), ["window_us", "block"], "left")
+        entered = entered.join(earlier.select("window_us", "entry_n"), "window_us", "left")
         blocks = blocks.unionByName(numbered.join(entered, ["window_us", "block"], "left"))
+    blocks = blocks.fillna({"entry_c": 0, "entry_d": UNSET, "entry_fired": 0, "entry_n": 0})
+    return _replayed(blocks, order, limit, gap, width, block_rows, go_on)
+
 
-    found = _replayed(blocks, order, limit, gap, width, block_rows)
+def _in_time(found: DataFrame, rows: DataFrame, ts: str) -> DataFrame:
     time_type = rows.schema[ts].dataType
 
     def time(name: str):
@@ -360,3 +417,68 @@ def panes(
         "n_rows",
         "last_id",
     )
+
+
+def panes(
+    rows: DataFrame,
+    size: str,
+    limit: int,
+    interval: str = DEFAULT_FIRE_INTERVAL,
+    order: Sequence[str] = ARRIVAL,
+    *,
+    block_rows: int = BLOCK_ROWS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Panes of the trigger with a row limit and an interval (the contract above)."""
+    found = _found(rows, size, limit, interval, order, block_rows, slice_rows, None)
+    return _in_time(found, rows, order[0])
+
+
+def carried_panes(
+    rows: DataFrame,
+    size: str,
+    limit: int,
+    interval: str,
+    folder: str,
+    batch_id: int,
+    now_us: int,
+    order: Sequence[str] = ARRIVAL,
+    *,
+    block_rows: int = BLOCK_ROWS,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """The panes that fire in a micro-batch that ends at ``now_us``, windows going on from those before.
+
+    A window's state is five numbers and an id, in a written table (``session.slot``). After the rows the
+    clock fires what is due: deadlines that passed, and the open panes of windows that ended. Rows that come
+    later still count on and fire with the micro-batch they come in. The result is to be used before the
+    next micro-batch is begun.
+    """
+    row_id = order[-1]
+    kind = _no_state(rows, row_id).schema
+    earlier = read_slot(rows.sparkSession, folder, "pane-states", batch_id - 1, kind)
+    replayed = write_slot(_found(rows, size, limit, interval, order, block_rows, slice_rows, earlier), folder, "pane-found", batch_id)
+    after = replayed.filter("reason is null").select(
+        "window_us", F.col("c").alias("entry_c"), F.col("fired_us").alias("entry_d"), F.col("pane_no").alias("entry_fired"),
+        F.col("n_rows").alias("entry_n"), F.col("last_id").alias("entry_id"),
+    )
+    states = earlier.join(after, "window_us", "left_anti").unionByName(after)
+    end = F.col("window_us") + duration_micros(size)
+    due = (F.col("entry_c") > 0) & ((end <= now_us) | (F.col("entry_d") <= now_us))
+    timed = write_slot(states.withColumn("due", due), folder, "pane-due", batch_id)
+    rested = {
+        "entry_c": F.when(F.col("due"), 0).otherwise(F.col("entry_c")).cast("long"),
+        "entry_d": F.when(F.col("due"), F.lit(UNSET)).otherwise(F.col("entry_d")),
+        "entry_fired": F.col("entry_fired") + F.col("due").cast("long"),
+    }
+    write_slot(timed.withColumns(rested).select(*kind.names), folder, "pane-states", batch_id)
+    by_clock = timed.filter("due").select(
+        "window_us",
+        (F.col("entry_fired") + 1).alias("pane_no"),
+        F.least("entry_d", end).alias("fired_us"),
+        F.when(F.col("entry_d") < end, INTERVAL).otherwise(WINDOW_END).alias("reason"),
+        F.col("entry_n").alias("n_rows"),
+        F.col("entry_id").alias("last_id"),
+    )
+    fired = replayed.filter("reason is not null").drop("c").unionByName(by_clock)
+    return _in_time(fired, rows, order[0])

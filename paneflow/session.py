@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -71,3 +72,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def slot(folder: str, label: str, batch_id: int) -> str:
+    """Where a micro-batch keeps what the next one goes on from.
+
+    Two places take turns, so nothing piles up: a micro-batch reads the one of its predecessor and
+    overwrites the other, also when it is run again.
+    """
+    return f"{folder.rstrip('/')}/{label}/turn={batch_id % 2}"
+
+
+def write_slot(df: DataFrame, folder: str, label: str, batch_id: int) -> DataFrame:
+    """Write what a micro-batch keeps, and read it back."""
+    df.write.mode("overwrite").parquet(slot(folder, label, batch_id))
+    return read_slot(df.sparkSession, folder, label, batch_id, df.schema)
+
+
+def read_slot(spark: SparkSession, folder: str, label: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """What the micro-batch of that id kept; nothing before the first, 0."""
+    if batch_id < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(slot(folder, label, batch_id))

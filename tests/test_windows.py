@@ -166,6 +166,38 @@ def test_panes_follow_the_contract(spark, monkeypatch, limit, minutes, block_row
     assert sorted(map(tuple, found.collect())) == expected
 
 
+def plain_replay(at, c, d, limit, interval):
+    """The contract, row by row: panes (time, reason, rows before) and the state after."""
+    fired = []
+    for n, t in enumerate(at):
+        if c and d <= t:
+            fired.append((d, "interval", n))
+            c = 0
+        d = d if c else t + interval
+        c += 1
+        if c == limit:
+            fired.append((t, "count", n + 1))
+            c = 0
+    return fired, c, d if c else panes_module.UNSET
+
+
+@pytest.mark.parametrize(("limit", "interval"), [(1, 5), (1, 1), (4, 3), (7, 10**6), (16, 1), (100, 9)])
+def test_replay_of_many_pieces(limit, interval):
+    rng = random.Random(limit)
+    for _ in range(60):
+        at = np.sort(np.array([rng.randrange(80) for _ in range(rng.randrange(1, 40))], dtype=np.int64))
+        cuts = sorted(rng.sample(range(1, len(at)), min(len(at) - 1, rng.randrange(5))))
+        edges = np.array([0, *cuts, len(at)])
+        c = np.array([rng.randrange(limit) for _ in edges[1:]], dtype=np.int64)
+        d = np.array([at[e] + rng.randrange(-3, 9) for e in edges[:-1]], dtype=np.int64)
+        got = panes_module.replay(at, edges, c, d, limit, interval)
+        panes_of = list(zip(got.piece, got.at, np.where(got.by_count, "count", "interval"), got.upto, strict=True))
+        for k, (begin, end) in enumerate(zip(edges, edges[1:], strict=False)):
+            fired, c_end, d_end = plain_replay(at[begin:end].tolist(), int(c[k]), int(d[k]), limit, interval)
+            assert [(int(t), r, int(u - begin)) for p, t, r, u in panes_of if p == k] == fired
+            assert (got.c[k], got.d[k]) == (c_end, d_end)
+
+
 @pytest.mark.parametrize(("limit", "interval"), [(4, 3), (1, 5), (7, 10**6), (16, 1)])
 def test_block_tables_say_what_a_replay_does(limit, interval):
     rng = random.Random(limit)
@@ -173,14 +205,34 @@ def test_block_tables_say_what_a_replay_does(limit, interval):
     head, tail = at[:20], at[20:]
     table = panes_module.block_table(tail, limit, interval)
     for begin in range(20):
-        first, c, d = panes_module.replay_block(head[begin:], 0, panes_module.UNSET, limit, interval)
-        rest, c_end, d_end = panes_module.replay_block(tail, c, d, limit, interval)
+        first, c, d = plain_replay(head[begin:].tolist(), 0, panes_module.UNSET, limit, interval)
+        rest, c_end, d_end = plain_replay(tail.tolist(), c, d, limit, interval)
         state = (np.array([c]), np.array([d]), np.array([len(first)]))
         got = [int(part[0]) for part in panes_module.through_block(table, *state, limit)]
         assert got[0] == c_end and got[2] == len(first) + len(rest)
         assert got[1] == d_end or c_end == 0
 
 
+@pytest.mark.parametrize(("limit", "minutes", "block_rows"), [(5, 7, 10**6), (5, 3, 16), (1, 5, 9), (9, 90, 10)])
+def test_panes_go_on_over_micro_batches(spark, tmp_path, limit, minutes, block_rows):
+    """In micro-batches, each run twice as after a failure, the panes are those of the rows in one."""
+    rows = sorted(made_rows(limit, n=240, hot=0.3, hours=2))
+    found = set()
+    for batch_id, begin in enumerate([0, 100, 101, 180, None]):
+        ends = {0: 100, 100: 101, 101: 180, 180: 240}
+        part = rows[begin : ends[begin]] if begin is not None else []
+        now = part[-1][0] if part else rows[-1][0] + dt.timedelta(days=1)
+        frame = frame_of(spark, part) if part else frame_of(spark, rows).limit(0)
+        for _ in range(2):
+            fired = panes_module.carried_panes(
+                frame, "1 hour", limit, f"{minutes} minutes", str(tmp_path), batch_id,
+                int(now.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000), block_rows=block_rows, slice_rows=60,
+            )
+            got = set(map(tuple, fired.collect()))
+        found |= got
+    assert sorted(found) == replayed(rows, HOUR, limit, dt.timedelta(minutes=minutes))
+
+
 def test_last_pane_holds_the_window(spark):
     rows = made_rows(8)
     found = panes(frame_of(spark, rows), "1 hour", 20, "5 minutes")
