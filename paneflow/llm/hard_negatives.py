@@ -218,7 +218,7 @@ def _passed(rows: DataFrame, anchors: DataFrame, groups: int, rule: Rule, second
 
     everywhere = anchors.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(groups - 1))), "is_anchor": F.lit(True)})
     here = rows.withColumns({"part": F.pmod("at", F.lit(groups)).cast("int"), "is_anchor": F.lit(False)})
-    both = here.unionByName(everywhere, allowMissingColumns=True).repartition("part")
+    both = here.unionByName(everywhere, allowMissingColumns=True).repartition(groups, "part")
     order = ["part", "is_anchor", F.col("vec_id").asc_nulls_last(), "at"]
     return both.sortWithinPartitions(*order).mapInArrow(work, "anchor long, number int, score long, id long, at long")
 

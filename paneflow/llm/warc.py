@@ -265,7 +265,9 @@ def read_archives(index: DataFrame) -> DataFrame:
                     for offset, packed, _ in seek_table(archive):
                         yield _rows([described(*record) for record in parsed(frame(archive, offset, packed))])
 
-    return index.select("archive").distinct().mapInArrow(work, RECORDS)
+    archives = index.select("archive").distinct()
+    # a task each, however short their names are
+    return archives.repartition(max(1, archives.count())).mapInArrow(work, RECORDS)
 
 
 def fetch_records(index: DataFrame, record_ids: DataFrame) -> DataFrame:
