@@ -13,7 +13,8 @@ import argparse
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .functions import FIXED_PATTERN, PARITY_PATTERN
@@ -26,6 +27,10 @@ from .sources import kafka
 from .streaming import jobs
 
 
+#: Panes of a micro-batch that are printed one by one.
+PANES_SHOWN = 20
+
+
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="paneflow", description="Load messages of topics.")
     commands = parser.add_subparsers(dest="job", required=True)
@@ -43,6 +48,7 @@ def arguments() -> argparse.ArgumentParser:
         job.add_argument("--tap")
         job.add_argument("--max-offsets", type=int)
         job.add_argument("--min-partitions", type=int)
+        job.add_argument("--quiet", action="store_true", help="do not print the counts of writes and panes")
         if name == "table":
             job.add_argument("--table", default=APPEND_TABLE)
         elif name == "jdbc":
@@ -53,11 +59,22 @@ def arguments() -> argparse.ArgumentParser:
         else:
             job.add_argument("--store", required=True)
             job.add_argument("--fire-by-count", action="store_true", help="put every 10 rows, the rest at the window's end")
-            job.add_argument("--shards", type=int, default=1, help="tasks that count a window's rows, with --fire-by-count")
             job.add_argument("--plain-clock", action="store_true", help="24-hour row keys with minutes")
     return parser
 
 
+def print_report(batch_id: int, counts: dict[str, int]) -> None:
+    print(f"batch {batch_id}:", ", ".join(f"{n} {verdict}" for verdict, n in sorted(counts.items())) or "nothing", flush=True)
+
+
+def print_panes(batch_id: int, panes: DataFrame) -> None:
+    """How many panes and rows, and the first panes."""
+    found = panes.agg(F.count(F.lit(1)).alias("panes"), F.sum("n").alias("rows")).first()
+    print(f"batch {batch_id}: {found.panes} panes of {found.rows or 0} rows", flush=True)
+    for row in panes.orderBy(*[c for c in panes.columns if c != "n"]).take(PANES_SHOWN):
+        print("  " + ", ".join(f"{name} {value}" for name, value in row.asDict().items()), flush=True)
+
+
 def start(spark: SparkSession, given: argparse.Namespace) -> StreamingQuery:
     options = kafka.consumer_options(
         given.servers,
@@ -66,7 +83,8 @@ def start(spark: SparkSession, given: argparse.Namespace) -> StreamingQuery:
         min_partitions=given.min_partitions,
     )
     messages = kafka.topic_stream(spark, options)
-    sides = SideOutputs(given.dead_letters, given.tap)
+    told = (None, None) if given.quiet else (print_report, print_panes)
+    sides = SideOutputs(given.dead_letters, given.tap, *told)
     if given.job == "table":
         create_append_table(spark, given.table)
         return jobs.start_table_job(messages, given.checkpoint, given.table, sides, given.cadence)
@@ -80,16 +98,7 @@ def start(spark: SparkSession, given: argparse.Namespace) -> StreamingQuery:
         cadence = given.cadence or KEYED_JOB_WINDOW
         return jobs.start_keyed_job(messages, given.checkpoint, given.store, sides, cadence, **how)
     cadence = given.cadence or TABLE_JOB_CADENCE
-    # The gate's side outputs have queries, and offsets, of their own.
-    if given.dead_letters:
-        folder = f"{given.dead_letters}/messages"
-        jobs.start_dead_letters(messages, f"{given.checkpoint}-dead", folder, cadence)
-    if given.tap:
-        jobs.start_tap(messages, f"{given.checkpoint}-tap", given.tap, cadence)
-    sides = SideOutputs(given.dead_letters)
-    return jobs.start_keyed_job_by_count(
-        messages, given.checkpoint, given.store, sides, cadence, shards=given.shards, **how
-    )
+    return jobs.start_keyed_job_by_count(messages, given.checkpoint, given.store, sides, cadence, **how)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

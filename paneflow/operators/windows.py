@@ -6,10 +6,13 @@ Windows are aligned to the epoch and closed-open. A pane's rows stay rows, tagge
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import ARRIVAL, DEFAULT_BATCH_ROWS
 from .numbering import SLICE_ROWS, number_rows
@@ -161,6 +164,47 @@ def window_lists(
     )
 
 
+#: Of a batch's window, number and rows (in order, an Arrow batch), the rows it becomes.
+BatchFunction = Callable[[object, int, pa.RecordBatch], pa.RecordBatch]
+
+
+def each_batch(tagged: DataFrame, function: BatchFunction, schema: str | T.StructType) -> DataFrame:
+    """A function of the caller over every batch of every window.
+
+    ``tagged`` has ``window_start``, ``batch_no`` and ``rn``, as from ``count_batches`` or, on a stream,
+    ``operators.carry.held_batches``. A pane of any size comes in its batches, which are bounded and spread
+    over the tasks; the function holds one of them.
+    """
+    place = ["window_start", "batch_no"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def key(batch: pa.RecordBatch, row: int) -> tuple:
+            return batch["window_start"][row].as_py(), batch["batch_no"][row].as_py()
+
+        def called() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            return function(*key(whole, 0), whole)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts, numbers = (batch[c].cast(pa.int64()).to_numpy() for c in place)
+            turns = np.flatnonzero((np.diff(starts) != 0) | (np.diff(numbers) != 0)) + 1
+            edges = [0, *turns.tolist(), batch.num_rows]
+            for begin, end in zip(edges, edges[1:], strict=False):
+                piece = batch.slice(begin, end - begin)
+                if held and key(held[0], 0) != key(piece, 0):
+                    yield called()
+                    held = []
+                held.append(piece)
+        if held:
+            yield called()
+
+    return tagged.repartition(*place).sortWithinPartitions(*place, "rn").mapInArrow(work, schema)
+
+
 def running_count(
     rows: DataFrame,
     size: str,

@@ -11,27 +11,35 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import PARITY_PATTERN
-from ..operators.carry import carried_batches
+from ..operators.carry import carried_batches, held_batches
 from ..operators.quality import classify, dead_letters, good_rows
 from ..operators.tap import raw_tap
 from ..operators.windows import count_batches, with_window
 from ..schema import (
     APPEND_TABLE,
     ARRIVAL,
+    BAD_FIELD,
+    BAD_JSON,
+    BLANK,
     JDBC_JOB_WINDOW,
     KEYED_JOB_BATCH_ROWS,
     KEYED_JOB_WINDOW,
+    NOT_OBJECT,
+    OK,
     USER,
 )
-from ..sinks import jdbc, keyed, table
+from ..session import written
+from ..sinks import jdbc, keyed, ledger, table
 from ..sinks.loads import DEFAULT_LOAD, batch_folder
 
 
+VERDICTS = (OK, BLANK, BAD_JSON, NOT_OBJECT, BAD_FIELD)
+
 #: A folder, or what opens a client with ``put(rows)`` and ``close()``.
 KeyedStore = str | Callable[[], object]
 
@@ -41,7 +49,9 @@ class SideOutputs:
     """What a job gives besides its target; None leaves an output out.
 
     ``dead_letters`` and ``tap`` are folders. ``report`` is called with the batch's id and its
-    messages per verdict, ``panes`` with the batch's id and a table of the rows per pane.
+    messages per verdict, which are counted while the batch is written, not by a job of their own (a
+    task that runs again may count twice). ``panes`` is called with the batch's id and a table of the
+    rows per pane.
     """
 
     dead_letters: str | None = None
@@ -71,24 +81,25 @@ def _checked(
     """The classified batch, its side outputs written.
 
     It is persisted if it is read more than once, so that the gate runs once; blocks lost
-    with an executor are computed again from the source.
+    with an executor are computed again from the source. What is done with it inside must run it whole.
     """
     if sides.tap:
         _write_batch(raw_tap(messages), sides.tap, batch_id, load_id)
-    classified = classify(messages, schema)
-    if not (reused or sides.dead_letters or sides.report):
-        yield classified
-        return
-    classified = (classified if sides.dead_letters else classified.drop("value")).persist()
+    classified, seen = classify(messages, schema), Observation()
+    if sides.report:
+        classified = classified.observe(seen, *[F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS])
+    held = reused or sides.dead_letters
+    if held:
+        classified = (classified if sides.dead_letters else classified.drop("value")).persist()
     try:
         if sides.dead_letters:
             _write_batch(dead_letters(classified), f"{sides.dead_letters}/messages", batch_id, load_id)
-        if sides.report:
-            counted = classified.groupBy("verdict").count().collect()
-            sides.report(batch_id, {row["verdict"]: row["count"] for row in counted})
         yield classified
     finally:
-        classified.unpersist()
+        if held:
+            classified.unpersist()
+    if sides.report:
+        sides.report(batch_id, {verdict: n for verdict, n in seen.get.items() if n})
 
 
 def load_table(
@@ -113,7 +124,7 @@ def jdbc_panes(good: DataFrame, window: str = JDBC_JOB_WINDOW, ts: str = ARRIVAL
 def load_jdbc(
     messages: DataFrame,
     batch_id: int,
-    target: jdbc.JdbcTarget,
+    target: jdbc.JdbcTarget | str,
     sides: SideOutputs = SideOutputs(),
     schema: T.StructType = USER,
     load_id: str = DEFAULT_LOAD,
@@ -125,18 +136,18 @@ def load_jdbc(
 ) -> bool:
     """Job B: good records of the batch, in panes, to a database, all or nothing.
 
-    A batch that holds several windows, as after an outage, has a pane for each. ``keep`` names
-    further columns that the target has, ``window_start`` or those of arrival.
+    ``target`` is the database, or the folder of a table with the same protocol (``sinks.ledger``). A batch
+    that holds several windows, as after an outage, has a pane for each. ``keep`` names further columns
+    that the target has, ``window_start`` or those of arrival.
     """
     with _checked(messages, batch_id, sides, schema, load_id) as classified:
-        panes = jdbc_panes(good_rows(classified), window, ts).persist()
-        try:
-            # The transfer has a task per connection. Here the gate runs at full width.
-            panes.count()
-            _tell_panes(panes, batch_id, sides, "window_start")
-            return jdbc.append_batch(panes.select(*schema.fieldNames(), *keep), batch_id, target, load_id, **how)
-        finally:
-            panes.unpersist()
+        # The transfer has a task per connection. Here the gate runs at full width, once: on disk.
+        panes = written(jdbc_panes(good_rows(classified), window, ts), "jdbc-panes")
+    _tell_panes(panes, batch_id, sides, "window_start")
+    rows = panes.select(*schema.fieldNames(), *keep)
+    if isinstance(target, str):
+        return ledger.append_batch(rows, batch_id, target, load_id)
+    return jdbc.append_batch(rows, batch_id, target, load_id, **how)
 
 
 def load_keyed(
@@ -150,19 +161,23 @@ def load_keyed(
     pattern: str = PARITY_PATTERN,
     order: Sequence[str] = ARRIVAL,
     totals: str | None = None,
+    now_us: int | None = None,
     load_id: str = DEFAULT_LOAD,
 ) -> T.StructType:
     """Job C: good records as puts, tagged with window and batch, to a keyed store.
 
     ``store`` is the folder of a log of puts, or opens a store's client in a task
-    (``sinks.keyed.put_partitions``). ``totals`` is a folder for the rows per window so far; without it each batch of messages
-    is counted by itself. Gives the schema of the puts, which reading the store takes.
+    (``sinks.keyed.put_partitions``). ``totals`` is a folder for the rows per window so far; without it each
+    batch of messages is counted by itself. With ``now_us``, the clock, records wait until their batch is
+    full or their window ends. Gives the schema of the puts, which reading the store takes.
     """
     with _checked(messages, batch_id, sides, load_id=load_id, reused=True) as classified:
         good = good_rows(classified)
         put_aside(good, batch_id, sides, load_id)
         if totals is None:
             tagged = count_batches(good, window, batch_rows, order)
+        elif now_us is not None:
+            tagged = held_batches(good, window, batch_rows, totals, batch_id, now_us, order).drop("reason")
         else:
             tagged = carried_batches(good, window, batch_rows, totals, batch_id, order)
         return put_tagged(tagged.drop("rn"), batch_id, store, sides, load_id, pattern=pattern, order=order)

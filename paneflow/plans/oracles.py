@@ -179,3 +179,13 @@ from numbered group by all""",
     "stream_resume": USER_ROWS,
     "stream_windows": _tumbling("1 hour"),
 }
+
+# The same rows by other plans: in micro-batches, by functions, merged.
+ORACLES |= {
+    "held_batches": ORACLES["count_batches"],
+    "carried_panes": ORACLES["panes_count_interval"],
+    "ended_windows": _tumbling("1 hour"),
+    "window_function": ORACLES["window_collect"],
+    "sink_keyed_merge": ORACLES["sink_keyed_upsert"],
+    "stream_reducers": f"with {NUMBERED} select window_start, size as c, event_id as last_id, event_type from numbered where rn = size",
+}

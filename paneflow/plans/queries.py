@@ -8,12 +8,16 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import FIXED_PATTERN, cell_rows, complete, json_bytes, json_html_safe, json_plain, row_key
-from ..operators.panes import panes, panes_by_count
+from ..operators.carry import ended_windows, held_batches
+from ..operators.panes import carried_panes, panes, panes_by_count
 from ..operators.quality import (
     blank_filter,
     classify,
@@ -25,6 +29,7 @@ from ..operators.tap import raw_tap
 from ..operators.windows import (
     batch_summary,
     count_batches,
+    each_batch,
     keep_latest,
     pane_counts,
     running_count,
@@ -32,13 +37,18 @@ from ..operators.windows import (
     window_lists,
 )
 from ..schema import JDBC_JOB_WINDOW, KEYED_JOB_WINDOW, USER
-from ..session import scratch_path
-from ..sinks import jdbc, kafka, keyed, table
+from ..session import scratch_path, written
+from ..sinks import kafka, keyed, ledger, table
 from ..sources.replay import message_stream
-from ..streaming.jobs import read_window_counts, start_table_job, start_window_counts
+from ..streaming.jobs import (
+    read_window_counts,
+    read_window_reducers,
+    start_table_job,
+    start_window_counts,
+    start_window_reducers,
+)
 from . import jobs
 from .messages import messages
-from .stand_in import FileDatabase
 
 FIELDS = USER.fieldNames()
 
@@ -195,6 +205,64 @@ def timed_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panes(events(spark, sf_dir).select("ts", "event_id"), WINDOW, PANE_ROWS, PANE_INTERVAL)
 
 
+#: Gets a micro-batch, the folder it goes on from, its id and the clock in microseconds.
+MicroBatch = Callable[[DataFrame, str, int, int], DataFrame]
+
+
+def in_micro_batches(spark: SparkSession, sf_dir: str, fire: MicroBatch) -> DataFrame:
+    """All that fires when the events come in three micro-batches, by time, and the clock then goes past
+    the last window in one without rows. Each runs twice, as after a failure before its commit."""
+    rows = events(spark, sf_dir).select("ts", "event_id")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    if first is None:
+        first = last = 0
+    cuts = [first + (last - first) * k // 3 for k in (1, 2)]
+    ends = [*cuts, last + 1, last + 1 + 86_400_000_000]
+    folder, fired = scratch_path(spark, "micro-batches"), []
+    for batch_id, (begin, end) in enumerate(zip([first, *ends[:-1]], ends, strict=True)):
+        batch = rows.filter((at >= begin) & (at < end))
+        fire(batch, folder, batch_id, end)
+        fired.append(written(fire(batch, folder, batch_id, end), "fired"))
+    return reduce(DataFrame.unionByName, fired)
+
+
+def batches_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def fire(batch: DataFrame, folder: str, batch_id: int, now_us: int) -> DataFrame:
+        return held_batches(batch, WINDOW, BATCH_ROWS, folder, batch_id, now_us)
+
+    return batch_summary(in_micro_batches(spark, sf_dir, fire))
+
+
+def panes_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def fire(batch: DataFrame, folder: str, batch_id: int, now_us: int) -> DataFrame:
+        return carried_panes(batch, WINDOW, PANE_ROWS, PANE_INTERVAL, folder, batch_id, now_us)
+
+    return in_micro_batches(spark, sf_dir, fire)
+
+
+def windows_ended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def fire(batch: DataFrame, folder: str, batch_id: int, now_us: int) -> DataFrame:
+        return ended_windows(batch, WINDOW, folder, batch_id, now_us)
+
+    return in_micro_batches(spark, sf_dir, fire)
+
+
+def ids_of(start, list_no, batch):
+    """A list as one row; a function of the caller's kind."""
+    ids = ",".join(map(str, batch["user_id"].to_pylist()))
+    return pa.RecordBatch.from_pydict(
+        {"window_start": batch["window_start"].slice(0, 1), "list_no": [list_no], "n": [batch.num_rows], "uids": [ids]}
+    )
+
+
+def lists_by_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select("ts", "event_id", "user_id")
+    time_type = rows.schema["ts"].dataType.simpleString()
+    parts = count_batches(rows, LIST_WINDOW, LIST_ROWS)
+    return each_batch(parts, ids_of, f"window_start {time_type}, list_no long, n long, uids string")
+
+
 def counter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running_count(events(spark, sf_dir).select("ts", "event_id"), WINDOW).select("event_id", "c")
 
@@ -222,13 +290,13 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jdbc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch staged, committed and run again, with files in the place of a database."""
-    target = jdbc.JdbcTarget("jdbc:files", "none")
-    database = FileDatabase(spark, scratch_path(spark, "jdbc"))
+    """A batch staged, committed with its entry in the ledger, and run again, by the protocol of the JDBC
+    sink on tables of files."""
+    folder = scratch_path(spark, "ledger")
     rows = users(spark, sf_dir).select(*FIELDS)
     for _ in range(2):
-        jdbc.append_batch(rows, 0, target, connect=database.connect, write=database.write)
-    return database.rows(target.table)
+        ledger.append_batch(rows, 0, folder)
+    return ledger.read_rows(spark, folder, rows.schema)
 
 
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +307,16 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.latest_puts(stored).select("rowkey", "info.*")
 
 
+def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Puts in two logs, each merged into the table of the store, the later one twice."""
+    store, puts = scratch_path(spark, "keyed-store"), keyed.keyed_puts(users(spark, sf_dir))
+    for part in (0, 1, 1):
+        log = scratch_path(spark, "keyed-log")
+        keyed.append_batch(puts.filter(F.pmod("event_id", F.lit(2)) == part), 0, log)
+        keyed.merge(spark, log, puts.schema, store, digits=1)
+    return keyed.read_merged(spark, store, puts.schema).select("rowkey", "info.*")
+
+
 def kafka_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = kafka.kafka_frame(users(spark, sf_dir), "uid", FIELDS)
     return frame.select("key", F.hex("value").alias("value"))
@@ -251,13 +329,14 @@ def table_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jdbc_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job B, run twice, with files in the place of its database and the pane of each row kept."""
-    target = jdbc.JdbcTarget("jdbc:files", "none")
-    database = FileDatabase(spark, scratch_path(spark, "jdbc-job"))
-    how = {"keep": ("event_id", "window_start"), "connect": database.connect, "write": database.write}
+    """Job B, run twice, into a table of files with a ledger, and the pane of each row kept."""
+    folder, keep = scratch_path(spark, "jdbc-job"), ("event_id", "window_start")
+    rows = event_messages(spark, sf_dir)
     for _ in range(2):
-        jobs.load_jdbc(event_messages(spark, sf_dir), 0, target, **how)
-    return database.rows(target.table)
+        jobs.load_jdbc(rows, 0, folder, keep=keep)
+    time_type = rows.schema["ts"].dataType
+    schema = T.StructType([*USER.fields, rows.schema["event_id"], T.StructField("window_start", time_type)])
+    return ledger.read_rows(spark, folder, schema)
 
 
 def keyed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,6 +384,16 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_window_counts(spark, place, stream.schema["ts"].dataType)
 
 
+def stream_reducers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counter and the last event of every window, from a stream of three micro-batches in any order."""
+    rows = events(spark, sf_dir).select("ts", "event_id", "event_type")
+    folder, place = scratch_path(spark, "stream-events"), scratch_path(spark, "stream-reducers")
+    rows.repartition(3, "event_id").write.parquet(folder)
+    stream = message_stream(spark, folder, rows.schema, files_per_trigger=1)
+    start_window_reducers(stream, scratch_path(spark, "stream-checkpoint"), place, WINDOW, None).awaitTermination()
+    return read_window_reducers(spark, place).select("window_start", "c", F.col("event_id").alias("last_id"), "event_type")
+
+
 QUERIES: dict[str, Query] = {
     "source_messages": source_messages,
     "raw_tap": tap,
@@ -332,15 +421,21 @@ QUERIES: dict[str, Query] = {
     "count_batches_by_range": _batches("range"),
     "panes_count_only": counted_panes,
     "panes_count_interval": timed_panes,
+    "held_batches": batches_held,
+    "carried_panes": panes_carried,
+    "ended_windows": windows_ended,
+    "window_function": lists_by_function,
     "running_count": counter,
     "keep_latest": last_event,
     "sink_table_append": table_append,
     "sink_jdbc_batch": jdbc_rows,
     "sink_keyed_upsert": keyed_upsert,
+    "sink_keyed_merge": keyed_merge,
     "kafka_sink_frame": kafka_rows,
     "job_table": table_job,
     "job_jdbc": jdbc_job,
     "job_keyed": keyed_job,
     "stream_resume": stream_resume,
     "stream_windows": stream_windows,
+    "stream_reducers": stream_reducers,
 }

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -58,9 +61,33 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_open = threading.local()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{scratch_root(spark)}/paneflow/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/paneflow/{label}-{uuid.uuid4().hex}"
+    if getattr(_open, "paths", None) is not None:
+        _open.paths.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, by the session's own file systems (not through Spark Connect)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written to fresh paths inside is removed at the end; results must be used by then."""
+    outer, _open.paths = getattr(_open, "paths", None), []
+    try:
+        yield
+    finally:
+        mine, _open.paths = _open.paths, outer
+        for path in mine:
+            remove(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

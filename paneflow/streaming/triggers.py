@@ -1,237 +1,29 @@
-"""Windows that fire by count and by the wall clock, as stateful stream operators.
-
-A window's key is ``(window_start, shard)``. A window over all messages that counts as one,
-``shards=1``, passes through one task: that is for a stream that one task can take. More shards
-spread it by a hash of the row's id, which is even whatever the data. The price is that each
-shard counts for itself: a batch still has at most the threshold rows, but a window leaves up to
-``shards`` remainders. Where rows need not be held until their batch is full,
-``operators.carry`` numbers the batches of the whole window on all tasks.
-
-Firing at a window's end without new input needs a query that runs on (a processing-time
-trigger); with ``availableNow`` a query waits for its timers and may not end.
-
-A shard's rows of one micro-batch are put in arrival order in memory; the source's limit per trigger
-and the number of shards bound them. Counters are kept for every window, a few numbers each, so that
-rows that come after the window's end are numbered on.
+"""What moves windows on: the clock, and the watermark.
+
+A micro-batch only comes when there is input. ``with_clock`` adds a tick a second to a stream, so that
+a query is called at every trigger, also while its topics are silent, and can fire what is due by the
+clock: the rest of a window at its end, a pane at its deadline. What fires is found by the operators of
+``operators.carry`` and ``operators.panes`` on all tasks, from written tables and not from the state of
+a single task. Such a query always has a next micro-batch, so it does not end by itself, and waiting for
+it to have processed all there is (``processAllAvailable``) does not end either.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from ..operators.panes import UNSET, end_pane, replay_block
-from ..operators.windows import duration_micros, with_window
-from ..schema import ARRIVAL, DEFAULT_BATCH_ROWS, DEFAULT_FIRE_INTERVAL
-
-_WINDOW_MS = "window_ms"
-_SHARD = "shard"
-
-
-def _keyed(rows: DataFrame, size: str, order: Sequence[str], shards: int) -> DataFrame:
-    start = F.unix_millis(F.col("window_start").cast("timestamp"))
-    spread = F.pmod(F.xxhash64(*order[1:]), F.lit(shards)).cast("int")
-    return (
-        with_window(rows, size, order[0])
-        .withColumn(_WINDOW_MS, start)
-        .withColumn(_SHARD, spread)
-        .drop("window_start")
-    )
-
-
-class CountOrEnd(StatefulProcessor):
-    """Emit and clear on every ``threshold`` rows; emit the rest at the window's end.
-
-    The state holds fewer than ``threshold`` rows between micro-batches. Rows of a window that come
-    after its end (a stream that lags behind the arrival times) go out one window length later, under
-    further batch numbers, however late they come.
-    """
-
-    def __init__(self, threshold: int, size_ms: int, row: T.StructType, order: Sequence[str]):
-        self.threshold = threshold
-        self.size_ms = size_ms
-        self.row = row
-        self.order = list(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.rows = handle.getListState("rows", self.row)
-        self.counts = handle.getValueState("counts", "held long, batches long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.counts.exists()
-        held, batches = self.counts.get() if known else (0, 0)
-        now, end = timerValues.getCurrentProcessingTimeInMs(), key[0] + self.size_ms
-        if not known:
-            self.handle.registerTimer(max(end, now + 1))
-        elif not held and now >= end:
-            self.handle.registerTimer(now + self.size_ms)
-        # The parts come in no order, so they are sorted as one.
-        fresh = pd.concat(list(rows), ignore_index=True)[self.row.fieldNames()].sort_values(self.order)
-        if held + len(fresh) < self.threshold:
-            self.rows.appendList(list(fresh.itertuples(index=False, name=None)))
-            self.counts.update((held + len(fresh), batches))
-            return
-        if held:
-            fresh = pd.concat([self._held(), fresh], ignore_index=True)
-        full = len(fresh) // self.threshold
-        done, rest = fresh.iloc[: full * self.threshold], fresh.iloc[full * self.threshold :]
-        batch_no = batches + np.arange(len(done)) // self.threshold
-        self.rows.clear()
-        if len(rest):
-            self.rows.put(list(rest.itertuples(index=False, name=None)))
-        self.counts.update((len(rest), batches + full))
-        yield self._tagged(key, done, batch_no, "count")
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held, batches = self.counts.get()
-        if held:
-            done = self._held()
-            self.rows.clear()
-            self.counts.update((0, batches + 1))
-            yield self._tagged(key, done, np.full(len(done), batches), "window_end")
-
-    def _held(self) -> pd.DataFrame:
-        return pd.DataFrame(list(self.rows.get()), columns=self.row.fieldNames())
 
-    def _tagged(self, key, done: pd.DataFrame, batch_no: np.ndarray, reason: str) -> pd.DataFrame:
-        return done.assign(window_ms=key[0], shard=key[1], batch_no=batch_no, reason=reason)
+from ..schema import ARRIVAL
 
-    def close(self) -> None:
-        pass
+#: Marks the rows of the clock.
+TICK = "_tick"
 
 
-def count_or_end(
-    rows: DataFrame,
-    size: str,
-    threshold: int = DEFAULT_BATCH_ROWS,
-    order: Sequence[str] = ARRIVAL,
-    *,
-    shards: int,
-) -> DataFrame:
-    """A stream's rows, tagged with ``window_start, shard, batch_no, reason``, as they fire.
-
-    With a processing-time column as ``order[0]`` the windows are those of the clock.
-    """
-    row = rows.schema
-    tags = "window_ms long, shard int, batch_no long, reason string"
-    tagged = T.StructType([*row.fields, *T.StructType.fromDDL(tags).fields])
-    processor = CountOrEnd(threshold, duration_micros(size) // 1000, row, order)
-    fired = (
-        _keyed(rows, size, order, shards)
-        .groupBy(_WINDOW_MS, _SHARD)
-        .transformWithStateInPandas(processor, tagged, "append", "processingTime")
-    )
-    return fired.withColumn("window_start", F.timestamp_millis(_WINDOW_MS)).drop(_WINDOW_MS)
-
-
-class EarlyPanes(StatefulProcessor):
-    """Fire without clearing, by count, by interval and at the window's end.
-
-    The state is five numbers, for a pane is told by its length: the rows themselves are
-    not held. Rows that come after their window's end count on and fire one window length later.
-    """
-
-    def __init__(self, limit: int, interval_us: int, size_ms: int, order: Sequence[str], row_id: str):
-        self.limit = limit
-        self.interval_us = interval_us
-        self.size_ms = size_ms
-        self.order = list(order)
-        self.row_id = row_id
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", f"c long, d long, n long, panes long, last {self.row_id}")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows)).sort_values(["at_us", *self.order[1:]])
-        known = self.state.exists()
-        c, d, n, panes, last = self.state.get() if known else (0, UNSET, 0, 0, None)
-        now = timerValues.getCurrentProcessingTimeInMs()
-        end = key[0] + self.size_ms
-        if not known:
-            self.handle.registerTimer(max(end, now + 1))
-        elif now >= end:
-            self.handle.registerTimer(now + self.size_ms)
-        ids = fresh[self.order[-1]].tolist()
-        fired, c, d = replay_block(fresh["at_us"].to_numpy(), c, d, self.limit, self.interval_us)
-        found = [
-            (at, reason, n + upto, ids[upto - 1] if upto else last) for at, reason, upto in fired
-        ]
-        self.state.update((c, d, n + len(ids), panes + len(found), ids[-1]))
-        due = -(-d // 1000)
-        if c and due < end:
-            self.handle.registerTimer(max(due, now + 1))
-        if found:
-            yield self._described(key, panes, found)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
-            return
-        c, d, n, panes, last = self.state.get()
-        at_ms = expiredTimerInfo.getExpiryTimeInMs()
-        end_us = (key[0] + self.size_ms) * 1000
-        if at_ms * 1000 >= end_us:
-            fired = end_pane(c, d, end_us)
-            self.state.update((0, UNSET, n, panes + len(fired), last))
-        elif c and d <= at_ms * 1000:
-            fired = [(d, "interval")]
-            self.state.update((0, UNSET, n, panes + 1, last))
-        else:
-            # A count came first; the timer of that pane has nothing to fire.
-            return
-        if fired:
-            yield self._described(key, panes, [(at, reason, n, last) for at, reason in fired])
-
-    def _described(self, key, panes: int, found: list[tuple]) -> pd.DataFrame:
-        made = pd.DataFrame(found, columns=["fired_us", "reason", "n_rows", "last_id"])
-        return made.assign(window_ms=key[0], shard=key[1], pane_no=panes + 1 + np.arange(len(made)))
-
-    def close(self) -> None:
-        pass
-
-
-def early_panes(
-    rows: DataFrame,
-    size: str,
-    limit: int,
-    interval: str = DEFAULT_FIRE_INTERVAL,
-    order: Sequence[str] = ARRIVAL,
-    *,
-    shards: int,
-) -> DataFrame:
-    """Pane descriptors of a stream, as they fire; only arrival and id go to the state."""
-    row_id = rows.schema[order[-1]].dataType.simpleString()
-    processor = EarlyPanes(
-        limit, duration_micros(interval), duration_micros(size) // 1000, order, row_id
-    )
-    slim = (
-        _keyed(rows.select(*order), size, order, shards)
-        .withColumn("at_us", F.unix_micros(F.col(order[0]).cast("timestamp")))
-        .drop(order[0])
-    )
-    fired = slim.groupBy(_WINDOW_MS, _SHARD).transformWithStateInPandas(
-        processor,
-        f"fired_us long, reason string, n_rows long, last_id {row_id}, "
-        "window_ms long, shard int, pane_no long",
-        "append",
-        "processingTime",
-    )
-    return fired.select(
-        F.timestamp_millis(_WINDOW_MS).alias("window_start"),
-        _SHARD,
-        "pane_no",
-        F.timestamp_micros("fired_us").alias("fired_at"),
-        "reason",
-        "n_rows",
-        "last_id",
-    )
+def with_clock(stream: DataFrame) -> DataFrame:
+    """The stream's rows and a tick a second, told apart by ``TICK``."""
+    ticks = stream.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema.fields]
+    return stream.withColumn(TICK, F.lit(False)).union(ticks.select(*nothing, F.lit(True).alias(TICK)))
 
 
 def declared_windows(rows: DataFrame, size: str, lateness: str, ts: str = ARRIVAL[0]) -> DataFrame:

@@ -1,7 +1,10 @@
+import time
 import uuid
+from collections import Counter
 
 import pytest
 from helpers import GOLDEN, messages_frame
+from pyspark.errors import AnalysisException
 
 from paneflow import __main__ as main
 from paneflow.sources import kafka
@@ -51,6 +54,28 @@ def test_keyed_job(spark, tmp_path, topic):
     assert puts.filter("rowkey like '%_2024-01-01 00:00:03_1004'").count() == 1
 
 
+def test_keyed_job_that_fires_by_count(spark, tmp_path, topic, capsys):
+    """Such a query has the clock as a source, so it is not waited for but looked at, then stopped."""
+    store = f"{tmp_path}/store"
+    given = main.arguments().parse_args(
+        ["keyed", *COMMON, "--checkpoint", f"{tmp_path}/c", "--store", store, "--cadence", "1 second", "--fire-by-count", "--dead-letters", f"{tmp_path}/dead"]
+    )
+    query, until, rows = main.start(spark, given), time.time() + 120, []
+    try:
+        while len(rows) < 16 and time.time() < until:
+            assert query.exception() is None
+            time.sleep(0.5)
+            try:
+                rows = spark.read.parquet(store).collect()
+            except AnalysisException:  # nothing is there
+                pass
+    finally:
+        query.stop()
+    assert sorted(Counter(r.batch_no for r in rows).items()) == [(0, 10), (1, 6)]
+    out = capsys.readouterr().out
+    assert "16 ok" in out and "2 panes of 16 rows" in out and "batch_no 1, n 6" in out
+
+
 def test_what_a_job_needs_is_asked_for(capsys):
     with pytest.raises(SystemExit):
         main.arguments().parse_args(["jdbc", *COMMON, "--checkpoint", "c"])

@@ -4,6 +4,7 @@ import uuid
 from pathlib import Path
 
 import pytest
+from file_database import FileDatabase
 from helpers import GOLDEN, messages_frame
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -11,8 +12,7 @@ from pyspark.sql import functions as F
 from paneflow.operators.quality import classify, good_rows
 from paneflow.plans import jobs
 from paneflow.plans.jobs import SideOutputs
-from paneflow.plans.stand_in import FileDatabase
-from paneflow.sinks import jdbc, kafka, keyed, table
+from paneflow.sinks import jdbc, kafka, keyed, ledger, table
 from paneflow.sources import kafka as topics
 from paneflow.sources import line_table
 
@@ -318,3 +318,68 @@ def test_kafka_needs_its_connector(spark):
 def test_lines_of_files(spark, tmp_path):
     (tmp_path / "a.txt").write_text("\n".join(GOLDEN))
     assert good_rows(classify(line_table(spark, str(tmp_path)))).count() == 16
+
+
+def test_ledger_shows_whole_batches_once(spark, tmp_path):
+    folder, rows = str(tmp_path / "t"), golden(spark).select(*FIELDS)
+    assert [ledger.append_batch(rows, b, folder, load) for load, b in (("a", 0), ("a", 0), ("a", 1), ("b", 0))] == [True, False, True, True]
+    assert ledger.append_batch(rows.limit(0), 2, folder, "a") and not ledger.append_batch(rows, 2, folder, "a")
+    assert ledger.read_rows(spark, folder, rows.schema).count() == 48
+    assert {(r.load_id, r.batch_id): r.n_rows for r in ledger.read_ledger(spark, folder).collect()} == {
+        ("a", 0): 16, ("a", 1): 16, ("a", 2): 0, ("b", 0): 16}
+    # A batch that stopped between its rows and its entry is not seen, and is replaced when it runs again.
+    rows.limit(5).write.parquet(f"{folder}/rows/load_id=a/batch_id=3")
+    assert ledger.read_rows(spark, folder, rows.schema).count() == 48
+    assert ledger.append_batch(rows.limit(3), 3, folder, "a")
+    assert ledger.read_rows(spark, folder, rows.schema).count() == 51
+    assert not list((tmp_path / "t" / "staging").rglob("*.parquet"))
+
+
+def test_jdbc_job_into_a_table_with_a_ledger(spark, tmp_path):
+    seen, folder = [], str(tmp_path / "t")
+    sides = SideOutputs(report=lambda b, counts: seen.append(counts), panes=lambda b, panes: seen.append(panes.collect()[0].n))
+    for _ in range(2):
+        jobs.load_jdbc(messages_frame(spark, GOLDEN + DEFECTS), 7, folder, sides)
+    assert ledger.read_rows(spark, folder, golden(spark).select(*FIELDS).schema).count() == 17
+    assert seen == [{"ok": 17, "blank": 1, "bad_json": 1, "not_object": 1, "bad_field": 1}, 17] * 2
+
+
+def test_verdicts_are_counted_without_a_job_of_their_own(spark, target):
+    frame, counts = messages_frame(spark, GOLDEN + DEFECTS).repartition(3), []
+    status = spark.sparkContext.statusTracker()
+
+    def jobs_of(sides, group):
+        spark.sparkContext.setJobGroup(group, group)
+        jobs.load_table(frame, 0, target, sides)
+        return len(status.getJobIdsForGroup(group))
+
+    plain = jobs_of(SideOutputs(), uuid.uuid4().hex)
+    assert jobs_of(SideOutputs(report=lambda b, c: counts.append(c)), uuid.uuid4().hex) == plain
+    assert counts == [{"ok": 17, "blank": 1, "bad_json": 1, "not_object": 1, "bad_field": 1}]
+
+
+def test_merged_store_rewrites_and_reads_only_what_it_must(spark, tmp_path):
+    base, log = str(tmp_path / "base"), str(tmp_path / "log")
+    puts = keyed.keyed_puts(messages_frame(spark, GOLDEN).transform(lambda m: good_rows(classify(m))))
+    keyed.append_batch(puts, 0, log)
+    for _ in range(2):
+        keyed.merge(spark, log, puts.schema, base)
+    merged = keyed.read_merged(spark, base, puts.schema)
+    assert sorted(map(str, merged.collect())) == sorted(map(str, keyed.latest_puts(puts).select(puts.columns).collect()))
+    key, n = merged.first().rowkey, merged.count()
+    one = keyed.read_merged(spark, base, puts.schema, key)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert [r.rowkey for r in one.collect()] == [key] and "PartitionFilters: [isnotnull(salt" in plan
+    # A later and an earlier put of that key: the later one wins, other partitions keep their files.
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "base").rglob("*.parquet")}
+    small, later = str(tmp_path / "small"), puts.filter(F.col("rowkey") == key)
+    changed = later.withColumn("info", F.col("info").withField("Name", F.lit("new")))
+    both = changed.withColumn("event_id", F.col("event_id") + 1).unionByName(
+        changed.withColumn("event_id", F.col("event_id") - 100).withColumn("info", F.col("info").withField("Name", F.lit("old")))
+    )
+    keyed.append_batch(both, 0, small)
+    keyed.merge(spark, small, puts.schema, base)
+    assert keyed.read_merged(spark, base, puts.schema, key).first().info.Name == "new"
+    assert keyed.read_merged(spark, base, puts.schema).count() == n
+    same = [p for p in files if p.exists() and p.stat().st_mtime_ns == files[p]]
+    assert len(same) == len([p for p in files if f"salt={key[:2]}" not in str(p)]) > 0

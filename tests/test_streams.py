@@ -1,16 +1,19 @@
 import time
 import uuid
 
+import pyarrow as pa
 import pytest
 from helpers import GOLDEN, messages_frame
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from paneflow.operators.windows import keep_latest, tumbling_counts
 from paneflow.plans.jobs import SideOutputs, load_keyed
-from paneflow.sinks import keyed, table
+from paneflow.sinks import table
 from paneflow.sinks.jdbc import JdbcTarget
 from paneflow.sources import line_stream, message_stream
 from paneflow.streaming import jobs
-from paneflow.streaming.triggers import count_or_end, declared_windows, early_panes
+from paneflow.streaming.triggers import declared_windows
 
 
 def stored(spark, tmp_path, values, files):
@@ -22,13 +25,16 @@ def stored(spark, tmp_path, values, files):
     return folder, frame.schema
 
 
-def collected(spark, query, name, done, seconds=90):
-    """Wait until the memory table's rows fulfil ``done``, then stop the query."""
-    until = time.time() + seconds
+def wait_for(query, folder, done, spark, seconds=120):
+    """Wait until the rows of a folder fulfil ``done``, then stop the query."""
+    until, rows = time.time() + seconds, []
     try:
         while time.time() < until:
             assert query.exception() is None
-            rows = spark.table(name).collect()
+            try:
+                rows = spark.read.parquet(folder).collect()
+            except AnalysisException:  # nothing is there
+                pass
             if done(rows):
                 return rows
             time.sleep(0.5)
@@ -148,82 +154,78 @@ def clocked(spark, tmp_path):
 
 
 def test_ten_by_count_and_six_by_the_clock(spark, tmp_path):
-    fired = count_or_end(clocked(spark, tmp_path), "6 seconds", 10, shards=1)
-    name = f"fired_{uuid.uuid4().hex}"
-    writer = fired.writeStream.format("memory").outputMode("append")
-    query = jobs.resumable(writer, name, str(tmp_path / "c"), "1 second").start()
-    rows = collected(spark, query, name, lambda rows: len(rows) == 16)
-    batches = {(r.batch_no, r.reason): set() for r in rows}
-    for r in rows:
-        batches[r.batch_no, r.reason].add(r.event_id)
-    assert batches == {(0, "count"): set(range(10)), (1, "window_end"): set(range(10, 16))}
-    assert len({r.window_start for r in rows}) == 1
-
-
-def test_batches_follow_arrival_whatever_the_parts(spark, tmp_path):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    try:
-        folder = str(tmp_path / "messages")
-        frame = messages_frame(spark, GOLDEN)
-        frame.coalesce(1).sortWithinPartitions(F.desc("event_id")).write.parquet(folder)
-        source = message_stream(spark, folder, frame.schema).withColumn("ts", F.current_timestamp())
-        fired = count_or_end(source, "6 seconds", 8, shards=1)
-        name = f"fired_{uuid.uuid4().hex}"
-        writer = fired.writeStream.format("memory").outputMode("append")
-        query = jobs.resumable(writer, name, str(tmp_path / "c"), "1 second").start()
-        rows = collected(spark, query, name, lambda rows: len(rows) == 16)
-        assert {(r.event_id, r.batch_no) for r in rows} == {(n, n // 8) for n in range(16)}
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-
-
-def test_shards_keep_batches_within_the_threshold(spark, tmp_path):
-    fired = count_or_end(clocked(spark, tmp_path), "6 seconds", 5, shards=3)
-    name = f"fired_{uuid.uuid4().hex}"
-    writer = fired.writeStream.format("memory").outputMode("append")
-    query = jobs.resumable(writer, name, str(tmp_path / "c"), "1 second").start()
-    rows = collected(spark, query, name, lambda rows: len(rows) == 16)
-    assert {r.event_id for r in rows} == set(range(16))
-    sizes = {}
-    for r in rows:
-        sizes[r.shard, r.batch_no, r.reason] = sizes.get((r.shard, r.batch_no, r.reason), 0) + 1
-    for (_, _, reason), n in sizes.items():
-        assert n == 5 if reason == "count" else n <= 5
+    store = str(tmp_path / "store")
+    query = jobs.start_keyed_job_by_count(clocked(spark, tmp_path), str(tmp_path / "c"), store, cadence="1 second", window="6 seconds")
+    puts = wait_for(query, store, lambda rows: len(rows) == 16, spark)
+    batches = {}
+    for r in puts:
+        batches.setdefault(r.batch_no, set()).add(r.event_id)
+    assert batches == {0: set(range(10)), 1: set(range(10, 16))}
+    # The ten came at once, the six when the window ended, without any new message.
+    assert len({r.batch_id for r in puts if r.batch_no == 0}) == 1
+    assert {r.batch_id for r in puts if r.batch_no == 0} < {r.batch_id for r in puts}
+
+
+def test_a_query_on_the_clock_goes_on_after_a_stop(spark, tmp_path):
+    """Records that wait for their batch are there again when the query is started anew."""
+    store, checkpoint, folder = str(tmp_path / "store"), str(tmp_path / "c"), str(tmp_path / "messages")
+    frame = messages_frame(spark, GOLDEN, start="2124-01-01 00:00:00")  # a window that does not end
+    for part in ("event_id < 4", "event_id >= 4"):
+        frame.filter(part).coalesce(1).write.mode("append").parquet(folder)
+        source = message_stream(spark, folder, frame.schema)
+        query = jobs.start_keyed_job_by_count(source, checkpoint, store, cadence="1 second", window="6 hours")
+        wait_for(query, store, lambda rows, p=part: len(rows) == (10 if ">" in p else 0) and query.lastProgress and query.lastProgress.batchId > 0, spark)
+    assert {r.event_id for r in spark.read.parquet(store).collect()} == set(range(10))
 
 
 def test_early_panes_by_interval_and_window_end(spark, tmp_path):
-    fired = early_panes(clocked(spark, tmp_path), "8 seconds", 10, "1 second", shards=1)
-    name = f"panes_{uuid.uuid4().hex}"
-    writer = fired.writeStream.format("memory").outputMode("append")
-    query = jobs.resumable(writer, name, str(tmp_path / "c"), "1 second").start()
-    rows = collected(spark, query, name, lambda rows: len(rows) == 2)
-    first, last = sorted(rows, key=lambda r: r.pane_no)
+    place = str(tmp_path / "panes")
+    query = jobs.start_early_panes(clocked(spark, tmp_path), str(tmp_path / "c"), place, "8 seconds", 10, "1 second", "1 second")
+    first, last = sorted(wait_for(query, place, lambda rows: len(rows) == 2, spark), key=lambda r: r.pane_no)
     assert (first.reason, first.n_rows, first.last_id) == ("count", 10, 9)
     # The rest fires after the interval, or at the end if the window ends before that.
     assert last.reason in ("interval", "window_end") and (last.n_rows, last.last_id) == (16, 15)
 
 
-def test_keyed_job_by_count(spark, tmp_path):
-    store = str(tmp_path / "store")
-    query = jobs.start_keyed_job_by_count(
-        clocked(spark, tmp_path), str(tmp_path / "c"), store, cadence="1 second", window="6 seconds", shards=1
+def test_a_silent_window_is_given_at_its_end(spark, tmp_path):
+    place = str(tmp_path / "ends")
+    query = jobs.start_window_ends(clocked(spark, tmp_path), str(tmp_path / "c"), place, "4 seconds", "1 second")
+    assert [r.n for r in wait_for(query, place, len, spark)] == [16]
+
+
+def test_a_function_over_the_windows_of_a_stream(spark, tmp_path):
+    place = str(tmp_path / "parts")
+
+    def total(start, batch_no, batch):
+        return pa.RecordBatch.from_pydict({"n": [batch.num_rows], "uids": [[r["uid"] for r in batch["record"].to_pylist()] if "record" in batch.schema.names else batch["value"].to_pylist()]})
+
+    query = jobs.start_pane_function(
+        clocked(spark, tmp_path), str(tmp_path / "c"), place, "4 seconds", total, "n long, uids array<string>", 10, "1 second"
     )
-    until = time.time() + 90
-    try:
-        while time.time() < until:
-            assert query.exception() is None
-            try:
-                if spark.read.parquet(store).count() == 16:
-                    break
-            except Exception:
-                pass
-            time.sleep(1)
-    finally:
-        query.stop()
-    puts = spark.read.parquet(store)
-    assert sorted((r.batch_no, r["count"]) for r in puts.groupBy("batch_no").count().collect()) == [(0, 10), (1, 6)]
-    schema = puts.drop("load_id", "batch_id").schema
-    assert keyed.latest_puts(keyed.read_puts(spark, store, schema)).count() == 16
+    rows = wait_for(query, place, lambda rows: len(rows) == 2, spark)
+    assert sorted(r.n for r in rows) == [6, 10] and sorted(x for r in rows for x in r.uids) == sorted(GOLDEN)
+
+
+def test_reducers_whatever_the_order(spark, tmp_path):
+    frame = messages_frame(spark, GOLDEN)
+    folder, place, checkpoint = str(tmp_path / "messages"), str(tmp_path / "reduced"), str(tmp_path / "c")
+    for part in ("event_id between 6 and 9", "event_id > 9", "event_id < 6"):
+        frame.filter(part).coalesce(1).write.mode("append").parquet(folder)
+        source = message_stream(spark, folder, frame.schema, files_per_trigger=1)
+        jobs.start_window_reducers(source, checkpoint, place, "5 seconds", None).awaitTermination()
+    got = sorted((r.window_start, r.c, r.event_id, r.value) for r in jobs.read_window_reducers(spark, place).collect())
+    kept = {r.window_start: r for r in keep_latest(frame, "5 seconds").collect()}
+    counts = {r.window_start: r.n for r in tumbling_counts(frame, "5 seconds").collect()}
+    assert got == [(w, counts[w], kept[w].event_id, kept[w].value) for w in sorted(kept)]
+
+
+def test_a_stream_leaves_no_intermediates(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("paneflow.session.scratch_root", lambda spark: str(tmp_path / "scratch"))
+    folder, schema = stored(spark, tmp_path, GOLDEN, 3)
+    source = message_stream(spark, folder, schema, files_per_trigger=1)
+    jobs.start_keyed_job(source, str(tmp_path / "c"), str(tmp_path / "store"), cadence=None).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "store")).count() == 16
+    assert not list((tmp_path / "scratch").rglob("*.parquet"))
 
 
 def test_watermarked_windows_are_written_once(spark, tmp_path):

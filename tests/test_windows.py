@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paneflow.operators import panes as panes_module
-from paneflow.operators.carry import carried_batches
+from paneflow.operators.carry import carried_batches, ended_windows, held_batches
 from paneflow.operators.panes import panes, panes_by_count
 from paneflow.operators.windows import (
     NUMBER_BLOCK,
@@ -15,6 +15,7 @@ from paneflow.operators.windows import (
     batch_summary,
     count_batches,
     duration_micros,
+    each_batch,
     keep_latest,
     numbered_in_window,
     pane_counts,
@@ -280,5 +281,96 @@ def test_sizes_of_batches_of_a_very_large_window(spark):
 def test_totals_are_kept_for_all_windows(spark, tmp_path):
     rows = made_rows(12, n=100)
     carried_batches(frame_of(spark, rows), "1 hour", 7, str(tmp_path), 0)
-    kept = spark.read.parquet(str(tmp_path / "batch_id=0"))
+    kept = spark.read.parquet(str(tmp_path / "totals"))
     assert sorted(r.window_start for r in kept.collect()) == sorted(by_window(rows))
+
+
+def micros(moment):
+    return int(moment.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+
+
+def fired_in(spark, tmp_path, parts, threshold, **how):
+    """Rows that fire, by micro-batch; parts: (rows, clock). Each micro-batch runs twice."""
+    found = []
+    for batch_id, (part, now) in enumerate(parts):
+        frame = frame_of(spark, part) if part else frame_of(spark, made_rows(1, n=30)).limit(0)
+        for _ in range(2):
+            fired = held_batches(frame, "1 hour", threshold, str(tmp_path), batch_id, micros(now), **how)
+            got = [(r.event_id, r.window_start, r.rn, r.batch_no, r.reason) for r in fired.collect()]
+        found.append(got)
+    return found
+
+
+@pytest.mark.parametrize(("threshold", "slice_rows"), [(7, 25), (1, 1000), (1000, 30)])
+def test_held_batches_are_those_of_the_rows_in_one(spark, tmp_path, threshold, slice_rows):
+    rows = sorted(made_rows(21, n=200, hot=0.3))
+    cuts = [0, 60, 61, 140, 200]
+    parts = [(rows[a:b], rows[b - 1][0]) for a, b in zip(cuts, cuts[1:], strict=False)] + [([], START + 24 * HOUR)]
+    found = fired_in(spark, tmp_path, parts, threshold, slice_rows=slice_rows)
+    expected = {
+        (m[1], start, rn, (rn - 1) // threshold, "count" if (rn - 1) // threshold < len(members) // threshold else "window_end")
+        for start, members in by_window(rows).items()
+        for rn, m in enumerate(members, start=1)
+    }
+    fired = [row for part in found for row in part]
+    assert set(fired) == expected and len(fired) == 200
+    # A batch is given whole, in one micro-batch, and nothing is left.
+    given = defaultdict(set)
+    for k, part in enumerate(found):
+        for _, start, _, batch_no, _ in part:
+            given[start, batch_no].add(k)
+    assert all(len(ks) == 1 for ks in given.values())
+
+
+def test_rows_after_their_windows_end_are_new_batches(spark, tmp_path):
+    at = lambda n: (START + dt.timedelta(seconds=n), n, "u")
+    parts = [([at(0), at(1), at(2)], START), ([], START + HOUR), ([at(3), at(4)], START + 2 * HOUR), ([at(n) for n in range(5, 10)], START + 2 * HOUR)]
+    found = fired_in(spark, tmp_path, parts, 4)
+    assert [sorted((r[0], r[3], r[4]) for r in part) for part in found] == [
+        [], [(n, 0, "window_end") for n in range(3)], [(n, 1, "window_end") for n in (3, 4)],
+        [(n, 2, "count") for n in range(5, 9)] + [(9, 3, "window_end")],
+    ]
+
+
+def test_nothing_piles_up_over_micro_batches(spark, tmp_path):
+    def sizes():
+        return {p.parent.name for p in tmp_path.rglob("*.parquet")}, len({p.parent for p in tmp_path.rglob("*.parquet")})
+
+    seen = set()
+    for batch_id in range(10):
+        rows = [(START + dt.timedelta(seconds=batch_id * 10 + k), batch_id * 10 + k, "u") for k in range(10)]
+        held_batches(frame_of(spark, rows), "1 hour", 4, str(tmp_path), batch_id, micros(START)).collect()
+        seen.add(sizes()[1])
+    assert max(seen) <= 6  # two turns of totals, of fired rows and of waiting ones
+
+
+def test_windows_are_given_once_at_their_end(spark, tmp_path):
+    at = lambda n: (START + dt.timedelta(minutes=n), n, "u")
+    given = []
+    for batch_id, (part, now) in enumerate(
+        [([at(0), at(59), at(61)], START), ([at(30)], START + HOUR), ([], START + HOUR), ([at(119)], START + HOUR), ([], START + 3 * HOUR), ([at(5)], START + 3 * HOUR)]
+    ):
+        frame = frame_of(spark, part) if part else frame_of(spark, [at(0)]).limit(0)
+        for _ in range(2):
+            ended = ended_windows(frame, "1 hour", str(tmp_path), batch_id, micros(now)).collect()
+        given.append(sorted((r.window_start, r.n) for r in ended))
+    assert given == [[], [(START, 3)], [], [], [(START + HOUR, 2)], [(START, 1)]]
+
+
+def test_a_function_over_every_batch(spark):
+    rows = made_rows(5, n=300, hot=0.5)
+    calls = []
+
+    def longest(start, batch_no, batch):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_pydict({"n": [batch.num_rows], "no": [batch_no], "ids": [batch["event_id"].to_pylist()]})
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        calls = each_batch(count_batches(frame_of(spark, rows), "1 hour", 40, slice_rows=60), longest, "n long, no long, ids array<long>").collect()
+        none = each_batch(count_batches(frame_of(spark, rows).limit(0), "1 hour", 40), longest, "n long, no long, ids array<long>").count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = [[m[1] for m in members[k : k + 40]] for members in by_window(rows).values() for k in range(0, len(members), 40)]
+    assert sorted(r.ids for r in calls) == sorted(expected) and none == 0
