@@ -1,16 +1,19 @@
 """Chat formatting: typed content parts become one marked-up text per conversation.
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. A visitor goes through a turn's parts in order:
-text is escaped, any other kind becomes a placeholder ``<|kind|>`` and an entry in
-``attachments`` (turn place, part place, kind, reference, expanded tokens). Escaping puts one more
+text is escaped, an image, audio or document becomes a placeholder ``<|kind|>`` and any other kind
+``<|other|>``, with an entry in ``attachments`` (turn place, part place, kind as given, reference,
+expanded tokens). Placeholders are a closed set, so no kind can hold a control string either, and
+``read_turns`` gives a turn back as typed parts, in which a text that looks like a placeholder is a
+text. Escaping puts one more
 backslash into ``<|``, ``<\\|``, ``<\\\\|`` ..., so no text can hold a control string, and
 unescaping takes one away. Roles are escaped likewise, and their line ends and percent signs as
 ``%0A`` and ``%25``. ``loss_spans`` are the code points (start, end) of assistant text.
 
 Cases: a null text, part list, role or part is empty; turns of a conversation are ordered by
 turn, role and text, nulls first, so ties and repeated rows have a defined place and all stay;
-a null conversation id is a conversation of its own; a part of unknown kind is a placeholder of
-no tokens; an empty table gives no rows. A conversation becomes one row, whatever its length:
+a null conversation id is a conversation of its own; a part of another kind has no tokens;
+neighbouring text parts of a turn are read back as one; an empty table gives no rows. A conversation becomes one row, whatever its length:
 that is the result asked for, and its size is limited by what a row holds (2 GB).
 """
 
@@ -21,6 +24,9 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 ASSISTANT = "assistant"
+#: Kinds of parts that have a placeholder of their own.
+KINDS, OTHER = ("image", "audio", "document"), "other"
+PLACEHOLDER = rf"<\|({'|'.join((*KINDS, OTHER))})\|>"
 PART_TYPE = "array<struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
 #: Expanded tokens: image pixels to a side of a patch, audio frames a second, tokens a page.
 PATCH, FRAMES, PAGE = 28, 25, 1024
@@ -66,7 +72,7 @@ def flattened(parts: Column) -> Column:
 
     def visit(part):
         kind = F.coalesce(part["kind"], F.lit("text"))
-        return F.when(kind == "text", escaped(F.coalesce(part["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), kind, F.lit("|>")))
+        return F.when(kind == "text", escaped(F.coalesce(part["text"], F.lit("")))).otherwise(F.concat(F.lit("<|"), F.when(kind.isin(*KINDS), kind).otherwise(OTHER), F.lit("|>")))
 
     return F.coalesce(F.array_join(F.transform(parts, visit), ""), F.lit(""))
 
@@ -107,16 +113,31 @@ def formatted_chats(turns: DataFrame, conv_id: str = "conv_id", turn: str = "tur
     )
 
 
-def read_turns(formatted: Column) -> Column:
-    """The (role, text) pairs of a formatted conversation; placeholders stay in the text."""
+def read_parts(body: Column) -> Column:
+    """The (kind, text) parts of a turn's body; text is null for what is no text."""
+
+    def one(piece):
+        kind = F.regexp_extract(piece, f"^{PLACEHOLDER}$", 1)
+        return F.struct(F.when(kind == "", "text").otherwise(kind).alias("kind"), F.when(kind == "", unescaped(piece)).alias("text"))
+
+    # Placeholders are the only control strings in a body that are not escaped; it is cut before and behind them.
+    pieces = F.split(body, f"(?={PLACEHOLDER})|(?<={PLACEHOLDER})")
+    return F.transform(F.filter(pieces, lambda p: p != ""), one)
+
+
+def read_turns(formatted: Column, typed: bool = True) -> Column:
+    """The (role, text, parts) of the turns of a formatted conversation; in ``text`` placeholders stand as they
+    are, in ``parts`` (with ``typed``) they are told from texts."""
     pieces = F.split(formatted, r"<\|im_end\|>\n")
     pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
 
     def one(piece):
         role = F.substring_index(piece, "\n", 1)
+        body = F.substring(piece, F.char_length(role) + 2, F.char_length(piece))
         return F.struct(
             unescaped_role(F.substring(role, F.lit(len(START) + 1), F.char_length(role))).alias("role"),
-            unescaped(F.substring(piece, F.char_length(role) + 2, F.char_length(piece))).alias("text"),
+            unescaped(body).alias("text"),
+            *([read_parts(body).alias("parts")] if typed else []),
         )
 
     return F.transform(pieces, one)
@@ -129,7 +150,7 @@ def read_loss(formatted: Column, spans: Column) -> Column:
 
 def digests(chats: DataFrame) -> DataFrame:
     """What is read back from formatted conversations."""
-    read = chats.select("*", F.inline(F.array(F.struct(read_turns(F.col("formatted")).alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")))))
+    read = chats.select("*", F.inline(F.array(F.struct(read_turns(F.col("formatted"), typed=False).alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")))))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id",
@@ -138,4 +159,6 @@ def digests(chats: DataFrame) -> DataFrame:
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        "n_attachment_tokens",
     )

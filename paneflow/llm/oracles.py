@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from paneflow.llm.licenses import ABOUT, HINT, RULES, SENTENCES, rule_key
+from paneflow.llm.licenses import ABOUT, BY_NAME, BY_SHORT, HINT, PHRASES, RULES, SENTENCES, SHORT_PHRASES, WORDS, identifiers, rule_key
 from paneflow.llm.mixing import STEP
 from paneflow.llm.quality import Limits
 
@@ -25,13 +25,19 @@ select conv_id, count(*) as n_turns,
   cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
   sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls first, role, text), '')) as loss_sha256,
   cast(sum(24 + length(regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(\\*)\|', '<\\\1|', 'g'))
-      + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) as bigint) as formatted_chars
+      + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))) as bigint) as formatted_chars,
+  cast(0 as bigint) as n_attachments, cast(0 as bigint) as n_attachment_tokens
 from turns group by conv_id
 """
 
 
 def _licenses() -> str:
-    known = ", ".join(f"({quoted(s)}, {quoted(name)})" for s, name in SENTENCES.items())
+    """Every piece stands between two bars of its own; a known sentence may hold such a double bar for a blank."""
+    known = ", ".join(f"({quoted(s)}, {quoted(name)})" for s, name in identifiers().items())
+    longest = lambda texts: "|".join(sorted(texts, key=len, reverse=True))
+    made = [longest(SENTENCES), f"(?:{longest(PHRASES)}) (?:{longest(BY_NAME)})", f"(?:{longest(SHORT_PHRASES)}) (?:{longest(BY_SHORT)})"]
+    sentence = "|".join(made).replace(" ", r"(?: |\|\|)")
+    phrase, names = longest(PHRASES), longest(BY_NAME)
     runs = [(quoted(rule_key(ids)), quoted(name)) for ids, name in RULES]
     steps, last = [], "r0"
     for k, (run, name) in enumerate(runs, 1):
@@ -43,17 +49,27 @@ def _licenses() -> str:
     return rf"""
 with known(sentence, name) as (values {known}),
 cut as (
-  select doc_id, unnest(string_split(regexp_replace(coalesce(text, ''), '([.!?;:]){_SPACE}+', '\1' || chr(10), 'g'), chr(10))) as s,
-    generate_subscripts(string_split(regexp_replace(coalesce(text, ''), '([.!?;:]){_SPACE}+', '\1' || chr(10), 'g'), chr(10)), 1) as place
-  from documents
+  select doc_id, unnest(string_split(regexp_replace(text, '([.!?;:]){_SPACE}+', '\1' || chr(10), 'g'), chr(10))) as s,
+    generate_subscripts(string_split(regexp_replace(text, '([.!?;:]){_SPACE}+', '\1' || chr(10), 'g'), chr(10)), 1) as place
+  from documents where regexp_matches(text, '{WORDS}')
 ),
 plain as (
-  select doc_id, place, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' ') as sentence from cut where regexp_matches(s, '{HINT}')
+  select doc_id, place, regexp_replace(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'), ' '), '^(dnl|rem) ', '') as piece from cut
+),
+barred as (select doc_id, string_agg('|' || piece || '|', '' order by place) as t from plain where piece <> '' group by doc_id),
+split as (
+  select doc_id, unnest(regexp_extract_all(t, {quoted(chr(92) + '|(' + sentence + '|[^|]*)' + chr(92) + '|')}, 1)) as s,
+    generate_subscripts(regexp_extract_all(t, {quoted(chr(92) + '|(' + sentence + '|[^|]*)' + chr(92) + '|')}, 1), 1) as place
+  from barred
+),
+named as (
+  select doc_id, place, t.sentence, coalesce(k.name, u.name) as name from (
+    select doc_id, place, replace(s, '||', ' ') as sentence, regexp_replace(replace(s, '||', ' '), '^(?:{phrase}) ((?:{names}).*)$', 'under \1') as key from split
+  ) t left join known k on t.sentence = k.sentence left join known u on key = u.sentence
 ),
-named as (select doc_id, place, sentence, name from plain left join known using (sentence)),
 sums as (
   select doc_id, string_agg(name, ',' order by place) as ids, string_agg(',' || name || ',', '' order by place) as seq,
-    count(*) filter (where name is null and regexp_matches(sentence, '{ABOUT}')) as n_unknown
+    count(*) filter (where name is null and regexp_matches(sentence, '{HINT}') and regexp_matches(sentence, '{ABOUT}')) as n_unknown
   from named group by doc_id
 ),
 r0 as (
@@ -84,16 +100,12 @@ lines as (
   select doc_id, host, place, lower(trim(regexp_replace(line, '{_SPACE}+', ' ', 'g'), ' ')) as line
   from raw join docs using (doc_id) where regexp_matches(line, '{_WORD}')
 ),
-least2 as (
-  select doc_id, list(h order by h) as hs from (select distinct doc_id, md5(line) as h from lines) group by doc_id
-),
-marked as (
-  select l.*, case when md5(line) = hs[1] then hs[2] else hs[1] end as other from lines l join least2 using (doc_id)
-),
-hosts as (select host, count(*) as host_docs from docs group by host),
+told as (select doc_id, string_agg(line, chr(10) order by place) as same from lines group by doc_id),
+marked as (select l.*, same from lines l join told using (doc_id)),
+hosts as (select host, count(distinct coalesce(same, '')) as host_docs from docs left join told using (doc_id) group by host),
 hot as (
   select m.host, m.line from marked m join hosts h on m.host = h.host group by m.host, m.line, host_docs
-  having count(distinct other) >= {limits.min_docs} and count(distinct other) > host_docs * cast({limits.max_share} as double)
+  having count(distinct same) >= {limits.min_docs} and count(distinct same) > host_docs * cast({limits.max_share} as double)
 ),
 lost as (
   select m.doc_id, sum(len(string_split(m.line, ' '))) as removed_words from marked m join hot h on m.host = h.host and m.line = h.line group by m.doc_id

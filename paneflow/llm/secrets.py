@@ -3,9 +3,12 @@
 Three kinds are matched by pattern: ``assign``, ``access`` and ``hex``. The fourth, ``novel``, is
 measured: a candidate is a run of token characters that has a sensitive word closely before or
 behind it, or in it; runs joined by dots are as close as the nearest of them. Every candidate is
-measured, and where it holds sensitive words, also what is between and behind them. Its
-marginal compressed size, by zstandard with a dictionary of common identifiers, is that of the
-text around it with the candidate less that without, in bytes per byte. Strings that are made of
+measured, and where it holds sensitive words, also the pieces between them. Its
+marginal compressed size, by zstandard with a dictionary of identifiers, is that of the
+text around it with the candidate less that without, in bytes per byte. The dictionary holds common
+identifiers and the words that the documents' own identifiers are most often made of, counted over all
+documents (``corpus_words``: letters only, in ``LEAST_DOCS`` documents or more, ``WORDS`` at most, the most
+frequent ones). Strings that are made of
 known identifiers or recur nearby cost little; those at ``NOVEL`` or more are reported, unless a
 pattern has their place already or they are part of one that is reported.
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -64,6 +68,13 @@ IDENTIFIERS = (
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,novelty:float>>"
 
 
+#: An identifier of several words, and its words: those that random strings hardly hold.
+IDENTIFIER = re.compile(r"[A-Za-z][A-Za-z0-9]*(?:_[A-Za-z0-9]+)+|[a-z]+(?:[A-Z][a-z]+)+|[A-Za-z]{3,20}(?=[(=:])")
+WORD = re.compile(r"[A-Z]?[a-z]{2,19}|[A-Z]{3,20}")
+#: How many words of the corpus prime the compressor, each in so many documents.
+WORDS, LEAST_DOCS = 2048, 20
+
+
 class Novelty:
     """Marginal compressed size of a string beside the text around it."""
 
@@ -97,8 +108,8 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
         for run in CANDIDATE.finditer(text, token.start(), token.end()):
             start, end = run.span()
             inside = words[bisect_left(starts, start) : bisect_left(starts, end)]
-            parts = [(start, end), *((e, end) for _, e in inside)]
-            parts += zip([start, *(e for _, e in inside)], (s for s, _ in inside), strict=False)
+            # the whole and the pieces that the words leave, which are as long as the whole together
+            parts = [(start, end), *zip([start, *(e for _, e in inside)], [*(s for s, _ in inside), end], strict=True)]
             yield from ((s, e) for s, e in parts if e - s >= LEAST_CANDIDATE)
 
 
@@ -140,8 +151,26 @@ def _may_hold(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return may
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    novelty = Novelty()
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, documents) of the words of identifiers, an Arrow batch at a time."""
+    for batch in batches:
+        found: Counter[str] = Counter()
+        for text in batch.column(0):
+            names = set(IDENTIFIER.findall(text.as_py() or ""))
+            found.update({word for name in names for word in WORD.findall(name)})
+        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
+
+
+def corpus_words(docs: DataFrame, text: str = "text", most: int = WORDS, least_docs: int = LEAST_DOCS) -> list[str]:
+    """The words that identifiers of the documents are most often made of, the rarest first; ``most`` bounds
+    what comes to the driver."""
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(_count_words, "word string, n long")
+    counted = counted.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_docs)
+    return [r.word for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()][::-1]
+
+
+def _scan(batches: Iterator[pa.RecordBatch], identifiers: bytes) -> Iterator[pa.RecordBatch]:
+    novelty = Novelty(identifiers)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("novelty", pa.float32())]))
     for batch in batches:
         out = []
@@ -155,8 +184,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, spans): all spans of each document, by start and kind."""
+    # The compressor finds what is nearest to the dictionary's end with the least bytes: the typed ones go last.
+    identifiers = " ".join(corpus_words(docs, text)).encode() + b" " + IDENTIFIERS
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_scan, f"doc_id long, spans {SPAN_TYPE}")
+    return rows.mapInArrow(lambda batches: _scan(batches, identifiers), f"doc_id long, spans {SPAN_TYPE}")
 
 
 def _joined(spans: Column) -> Column:
