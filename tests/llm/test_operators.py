@@ -43,6 +43,20 @@ def test_repeats_by_brute_force(documents, options):
     assert sorted(map(tuple, got.collect()), key=repr) == brute_repeats(texts(documents), 50)
 
 
+def test_more_parts_than_tasks_and_buckets(documents):
+    """Over 100,000 chunks and parts, on a few tasks: most have an anchor or a document at most."""
+    some = documents.orderBy("doc_id").limit(40).withColumn("text", F.substring("text", 1, 1500))
+    got = suffix_dedup.digests(suffix_dedup.deduplicated(some, parts=100_001, tasks=4))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_repeats(texts(some), 50)
+
+
+def test_messages_come_back_as_they_were():
+    for arrays in ([np.arange(3, dtype=np.uint64)], [np.zeros((2, 0), np.uint8), np.arange(700, dtype=np.int64).reshape(7, 100)], []):
+        got = suffix_dedup.unpack(suffix_dedup.pack(*arrays))
+        assert [(a.dtype, a.shape, a.tolist()) for a in got] == [(a.dtype, a.shape, a.tolist()) for a in arrays]
+    assert len(suffix_dedup.pack(np.array([5], np.uint64), np.array([1], np.uint8))) < 40
+
+
 def test_repeats_odd(odd, empty):
     some = odd.filter("doc_id is null or doc_id <> 7").withColumn("text", F.substring("text", 1, 3000))
     got = suffix_dedup.digests(suffix_dedup.deduplicated(some))
