@@ -122,8 +122,9 @@ def removals(profile: DataFrame, limits: Limits) -> DataFrame:
     profile = profile.select("doc_id", "host", "row_key", F.xxhash64("lines.line").alias("same"), "lines")
     lines = profile.select("doc_id", "host", "row_key", "same", F.posexplode("lines").alias("place", "entry")).select("doc_id", "host", "row_key", "same", "place", "entry.*")
     hosts = profile.groupBy("host").agg(F.count_distinct("same").alias("host_docs"))
-    found = frequent_lines(lines, hosts, limits)
-    hit = lines.drop("same").join(found.select("host", "line"), ["host", "line"])
+    # written first: these are the hot keys, and the planner sees how few they are
+    found = written(frequent_lines(lines, hosts, limits).select("host", "line"), "quality-lines")
+    hit = lines.drop("same").join(found, ["host", "line"])
     hit = hit.select("doc_id", "row_key", "place", "line", "n_words").distinct()
     return hit.groupBy(F.col("doc_id").alias("lost_id"), F.col("row_key").alias("lost_key")).agg(
         F.sum("n_words").cast("long").alias("removed_words"), F.collect_set("line").alias("removed_lines")

@@ -4,13 +4,14 @@ Records are ordered by the hash of their text, so that equal texts are neighbour
 hash with their id. Keys are sampled with a chance in proportion to size; quantiles of the sample
 are the splitters of ranges, several to a shard. The bytes of each range are then counted; ranges
 that turned out overfull are sampled again and subdivided, a group of equal texts too, by the
-second hash. With the ranges' counts known, a record's place in the whole order follows from its
+second hash. A range that is still overfull holds one row many times; its rows are alike, and are numbered
+where they lie, in as many tasks as there are. With the ranges' counts known, a record's place in the whole order follows from its
 place in its range, and the shard from that: the bytes before the record's middle, as a share of
 all. A shard so differs from the mean by no more than its records on the two borders.
 
 What the driver holds is bounded by parameters: ``SAMPLE`` keys a range and the counts of the
 ranges. Cases: a null text has no bytes and the checksum of an empty one; equal rows are
-interchangeable and get slots of their own; a range of one key cannot be divided; an empty table
+interchangeable and get slots of their own; an empty table
 gives no rows.
 """
 
@@ -121,13 +122,32 @@ def splitters_of(rows: DataFrame, shards: int = SHARDS, ranges: int = RANGES, se
     return splitters, counts
 
 
+def numbered_alike(rows: DataFrame) -> DataFrame:
+    """Adds ``run_bytes`` and ``run_rows`` to rows that are alike in each ``part``, without bringing them together."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a place on disk stays what it is, whatever is run again
+    laid = rows.repartition(tasks).sortWithinPartitions("part").withColumn("pos", F.monotonically_increasing_id())
+    laid = written(laid.withColumn("piece", F.shiftright("pos", 33)), "shard-alike")
+    spans = laid.groupBy("part", "piece").agg(F.count("*").alias("n"), F.min("pos").alias("first_pos"))
+    ahead = F.sum("n").over(Window.partitionBy("part").orderBy("piece")) - F.col("n")  # a row to a task
+    spans = written(spans.select("part", "piece", "first_pos", ahead.alias("ahead")), "shard-spans")
+    found = laid.join(spans, ["part", "piece"]).withColumn("run_rows", F.col("ahead") + F.col("pos") - F.col("first_pos") + 1)
+    return found.withColumn("run_bytes", F.col("run_rows") * F.col("size")).drop("pos", "piece", "first_pos", "ahead")
+
+
 def placed(rows: DataFrame, splitters: np.ndarray, counts: pd.DataFrame, shards: int) -> DataFrame:
     """Adds ``shard`` and ``at``, the place in the whole order."""
     total = int(counts["bytes"].sum()) or 1
     ahead = counts[["part"]].assign(bytes_ahead=counts["bytes"].cumsum() - counts["bytes"], rows_ahead=counts["rows"].cumsum() - counts["rows"])
     table = rows.sparkSession.createDataFrame([tuple(map(int, x)) for x in ahead.itertuples(index=False)], "part int, bytes_ahead long, rows_ahead long")
     run = Window.partitionBy("part").orderBy("k1", "k2").rowsBetween(Window.unboundedPreceding, 0)
-    ordered = in_ranges(rows, splitters).select("*", F.sum("size").over(run).alias("run_bytes"), F.count("*").over(run).alias("run_rows"))
+    parted = in_ranges(rows, splitters)
+    alike = (counts["lo"] == counts["hi"]) & (counts["lo2"] == counts["hi2"]) & (counts["bytes"] > OVERFULL * total / max(1, len(counts)))
+    hot = [int(p) for p in counts["part"][alike]]
+    cold = parted.filter(~F.col("part").isin(hot)) if hot else parted
+    ordered = cold.select("*", F.sum("size").over(run).alias("run_bytes"), F.count("*").over(run).alias("run_rows"))
+    if hot:
+        ordered = ordered.unionByName(numbered_alike(parted.filter(F.col("part").isin(hot))))
     # as many rows as ranges: a bound set by the parameters
     whole = ordered.join(F.broadcast(table), "part")
     middle = (F.col("bytes_ahead") + F.col("run_bytes") - F.col("size") / 2) * F.lit(float(shards)) / F.lit(float(total))

@@ -281,6 +281,12 @@ def test_shards(spark, documents, odd, empty):
     assert all(sorted(s for s, _ in x) == list(range(len(x))) for x in slots.values())
     mean, most = sum(r.size for r in got) / 8, max(r.size for r in got)
     assert all(abs(sum(n for _, n in slots[k]) - mean) <= most for k in range(8))
+    whole = sharding.sharded_documents(many, shards=8).collect()  # the repeated row is in ranges of its own, split over shards
+    placed = {(r.shard, r.slot) for r in whole}
+    assert len(placed) == len(whole) == len(rows) and Counter((r.doc_id, r.text) for r in whole) == Counter(texts(many))
+    assert all({s for k, s in placed if k == shard} == set(range(sum(k == shard for k, _ in placed))) for shard in range(8))
+    hot = Counter(r.shard for r in whole if r.doc_id == many.first().doc_id)
+    assert len(hot) > 2
     out = sharding.sharded_documents(odd, shards=3)
     assert out.count() == odd.count() and "root" in out.columns
     assert sharding.sharded(empty).count() == 0 and sharding.sharded_documents(empty).count() == 0
@@ -500,3 +506,31 @@ def test_toxicity_held_out(spark, odd, empty):
     assert n[True, True] >= 0.7 * (n[True, True] + n[True, False]) and n[False, True] <= 0.01 * (n[False, True] + n[False, False])
     assert toxicity.graded(odd, labels).count() == odd.count() and toxicity.graded(empty, labels).count() == 0
     assert {r.severity for r in toxicity.graded(odd, labels.limit(0)).collect()} == {0.0}
+
+
+def test_toxicity_fit_by_plain_gradients():
+    """At the fitted model the gradients, by plain loops over all documents, are those of an optimum."""
+    rng = np.random.default_rng(4)
+    rows, grades = [], []
+    for k in range(400):
+        grade = int(rng.integers(1, 3)) if k % 4 == 0 else 0
+        chance = (0.02, 0.4, 0.7)[grade]
+        rows.append(np.unique([*(f for f in range(10) if rng.random() < chance), *(1000 + 50 * k + np.arange(20))]).astype(np.int64))
+        grades.append(grade)
+    grades = np.array(grades)
+    assert len(toxicity.one_of_each(rows)) == len(rows)
+    model = toxicity.fit(rows, grades)
+    assert set(np.flatnonzero(model.weights)) <= set(range(10)) and np.count_nonzero(model.weights) >= 8
+    n, m = len(rows), int((grades > 0).sum())
+    slope, down = Counter(), [0.0] * (toxicity.GRADES - 1)
+    for row, grade in zip(rows, grades.tolist(), strict=True):
+        score = sum(float(model.weights[f]) for f in row.tolist())
+        for k in range(1, toxicity.GRADES):
+            miss = 1 / (1 + np.exp(model.thresholds[k - 1] - score)) - (grade >= k)
+            miss *= n / (2 * m) if grade else n / (2 * (n - m))
+            down[k - 1] += miss / n
+            for f in row.tolist():
+                slope[f] += miss / n
+    assert all(abs(x) < 1e-3 for x in down) and model.thresholds[0] <= model.thresholds[1]
+    assert all(abs(slope[f] + toxicity.PENALTY) < 1e-3 for f in np.flatnonzero(model.weights))
+    assert all(slope[f] + toxicity.PENALTY > -1e-3 for f in range(10))
