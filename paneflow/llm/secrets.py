@@ -68,8 +68,12 @@ IDENTIFIERS = (
 SPAN_TYPE = "array<struct<kind:string,start:int,end:int,novelty:float>>"
 
 
-#: An identifier of several words, and its words: those that random strings hardly hold.
-IDENTIFIER = re.compile(r"[A-Za-z][A-Za-z0-9]*(?:_[A-Za-z0-9]+)+|[a-z]+(?:[A-Z][a-z]+)+|[A-Za-z]{3,20}(?=[(=:])")
+#: Kinds of bytes: of an identifier, its capitals, its small letters, and what may stand behind a name.
+_BYTES = np.arange(256)
+_UPPER, _LOWER = (_BYTES >= 65) & (_BYTES <= 90), (_BYTES >= 97) & (_BYTES <= 122)
+_IN_NAME = _UPPER | _LOWER | (_BYTES >= 48) & (_BYTES <= 57) | (_BYTES == 95)
+_BEHIND_NAME = np.isin(_BYTES, np.frombuffer(b"(=:", np.uint8))
+#: The words of an identifier: those that random strings hardly hold.
 WORD = re.compile(r"[A-Z]?[a-z]{2,19}|[A-Z]{3,20}")
 #: How many words of the corpus prime the compressor, each in so many documents.
 WORDS, LEAST_DOCS = 2048, 20
@@ -151,13 +155,39 @@ def _may_hold(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return may
 
 
+def identifiers(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, end) of the identifiers: names of several words, or before a bracket, equals sign or colon."""
+    inside = _IN_NAME[flat]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
+    first[heads] = inside[heads]
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:] | first[1:]
+    start, end = np.flatnonzero(first), np.flatnonzero(stop) + 1
+    joint = flat == 95
+    joint[1:] |= _UPPER[flat[1:]] & _LOWER[flat[:-1]]
+    ahead = np.concatenate([[0], np.cumsum(joint)])
+    behind = np.zeros(len(flat) + 1, bool)
+    behind[:-1] = _BEHIND_NAME[flat]
+    mine = (ahead[end] > ahead[np.minimum(start + 1, end)]) | behind[end]
+    start, end = start[mine], end[mine]
+    return np.searchsorted(offsets, start, "right") - 1, start, end
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, documents) of the words of identifiers, an Arrow batch at a time."""
     for batch in batches:
         found: Counter[str] = Counter()
-        for text in batch.column(0):
-            names = set(IDENTIFIER.findall(text.as_py() or ""))
-            found.update({word for name in names for word in WORD.findall(name)})
+        for _, _, flat, offsets in chunks(batch.column(0)):
+            raw, names = flat.tobytes(), {}
+            for doc, start, end in zip(*(x.tolist() for x in identifiers(flat, offsets)), strict=True):
+                names.setdefault(raw[start:end], set()).add(doc)
+            held: dict[str, set[int]] = {}
+            for name, docs in names.items():
+                for word in WORD.findall(name.decode("ascii")):
+                    held.setdefault(word, set()).update(docs)
+            found.update({word: len(docs) for word, docs in held.items()})
         yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
 
 

@@ -460,6 +460,15 @@ def test_long_runs_of_sensitive_words_take_time_in_proportion():
     assert large < 64 * max(small, 0.005) and large < 10
 
 
+def test_identifiers_of_texts():
+    some = ["get_index(x) fooBar = 1 plain Word: HTTP2 _x a_", "tail", "", "é_ü name(", "x=y"]
+    raw = [t.encode() for t in some]
+    offsets = np.cumsum([0, *map(len, raw)])
+    flat = np.frombuffer(b"".join(raw), np.uint8)
+    got = [(d, b"".join(raw)[s:e].decode()) for d, s, e in zip(*secrets.identifiers(flat, offsets), strict=True)]
+    assert got == [(0, "get_index"), (0, "fooBar"), (0, "Word"), (0, "a_"), (3, "name"), (4, "x")]
+
+
 def test_words_of_the_corpus_prime_the_compressor(spark):
     rows = [(n, f"call load_quarzitfels_index(x) and fjordKlippenTor = {n}", "en", "a", 1) for n in range(30)] + [(99, "rare_zwiebelturm_name only once", "en", "a", 1)]
     words = secrets.corpus_words(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
