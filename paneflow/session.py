@@ -17,8 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-#: Static settings for streams with custom firing: state lives in RocksDB, and the
-#: Python state calls go over a unix socket, so that no port is opened for them.
+#: Static settings for streams whose state Spark keeps: it lives in RocksDB, and should a caller use
+#: Python state functions, their calls go over a unix socket, so that no port is opened for them.
 STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -129,12 +129,12 @@ def start_table_job(
 def start_jdbc_job(
     messages: DataFrame,
     checkpoint: str,
-    target: JdbcTarget,
+    target: JdbcTarget | str,
     sides: SideOutputs = SideOutputs(),
     cadence: str | None = JDBC_JOB_WINDOW,
     **how,
 ) -> StreamingQuery:
-    """Job B: a window's messages to a database in one transaction."""
+    """Job B: a window's messages to a database in one transaction, or to the folder of a table with a ledger."""
 
     def load(batch: DataFrame, batch_id: int, load_id: str) -> None:
         plans.load_jdbc(batch, batch_id, target, sides, load_id=load_id, **how)
