@@ -285,7 +285,8 @@ def test_shards(spark, documents, odd, empty):
     placed = {(r.shard, r.slot) for r in whole}
     assert len(placed) == len(whole) == len(rows) and Counter((r.doc_id, r.text) for r in whole) == Counter(texts(many))
     assert all({s for k, s in placed if k == shard} == set(range(sum(k == shard for k, _ in placed))) for shard in range(8))
-    hot = Counter(r.shard for r in whole if r.doc_id == many.first().doc_id)
+    repeated = documents.first().doc_id
+    hot = Counter(r.shard for r in whole if r.doc_id == repeated)
     assert len(hot) > 2
     out = sharding.sharded_documents(odd, shards=3)
     assert out.count() == odd.count() and "root" in out.columns
